@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from ledgerspark.plans import registry, relational  # noqa: F401
+from ledgerspark.plans import checks, registry, relational, writes  # noqa: F401
 
 
 def queries():
