@@ -2,8 +2,8 @@
 
 Checks that need neither balances nor keys are joins. What is left is a fixpoint: a request is accepted when no
 accepted request of the same key comes before it and the balance of its account, given the accepted requests
-before it, covers the amount. Starting from "all accepted", every round decides all requests anew from the
-decisions of the round before. A decision only depends on smaller ``seq``, so the right decisions grow from the
+before it, covers the amount. Starting from "the first request of each key is accepted", every round decides all
+requests anew from the decisions of the round before. A decision only depends on smaller ``seq``, so the right decisions grow from the
 front, the fixpoint is unique, and it equals serial execution.
 
 A round goes through each account's entries in order, so a chain of rejections inside one account is settled in
@@ -83,15 +83,19 @@ def _prepare(candidates: DataFrame, rows_per_split: int) -> tuple[DataFrame, boo
     hot = F.col("_entries") > rows_per_split
     payer = busy.select(F.col("account").alias("_a"), hot.alias("hot"))
     payee = busy.select(F.col("account").alias("_b"), (F.col("_debits") > 0).alias("matters"), hot.alias("to_hot"))
-    repeated = candidates.groupBy(F.col("idempotency_key").alias("_k")).agg(F.count(F.lit(1)).alias("_uses")).filter("_uses > 1")
+    repeated = candidates.groupBy(F.col("idempotency_key").alias("_k")).agg(
+        F.count(F.lit(1)).alias("_uses"), F.min("seq").alias("_first")
+    ).filter("_uses > 1")
     rows = (
         candidates.join(payer, F.col("from_account") == F.col("_a"))
         .join(payee, F.col("to_account") == F.col("_b"))
         .join(repeated, F.col("idempotency_key") == F.col("_k"), "left")
         .withColumn("repeats", F.col("_k").isNotNull())
-        .drop("_a", "_b", "_k", "_uses")
+        .withColumn("accept", F.coalesce(F.col("_first") == F.col("seq"), F.lit(True)))
+        .withColumn("changed", F.lit(True))
+        .drop("_a", "_b", "_k", "_uses", "_first")
     )
-    rows = materialize(rows.withColumn("accept", F.lit(True)).withColumn("changed", F.lit(True)), "round")
+    rows = materialize(rows, "round")
     return rows, rows.filter("hot").limit(1).count() > 0
 
 

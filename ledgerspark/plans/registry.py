@@ -12,8 +12,8 @@ QUERIES: dict[str, Callable[[Views], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 
-def query(sql: str | None = None, name: str | None = None, also: str = ""):
-    """Register a function of ``Views``; ``sql`` continues the prelude, ``also`` adds CTEs to it."""
+def query(sql: str | None = None, name: str | None = None, also: str = "", raw: str | None = None):
+    """Register a function of ``Views``; ``sql`` continues the prelude, ``also`` adds CTEs to it, ``raw`` stands alone."""
 
     def add(fn: Callable[[Views], DataFrame]):
         key = name or fn.__name__
@@ -22,6 +22,8 @@ def query(sql: str | None = None, name: str | None = None, also: str = ""):
         QUERIES[key] = fn
         if sql is not None:
             ORACLES[key] = PRELUDE + (f", {also}\n" if also else "") + sql
+        if raw is not None:
+            ORACLES[key] = raw
         return fn
 
     return add
