@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ledgerspark.functions.batches import extended, lists
 from ledgerspark.functions.scalars import request_hash
-from ledgerspark.operators.scans import ROWS_PER_SPLIT, _with_split, global_rank, split_bounds
+from ledgerspark.operators.scans import ROWS_PER_SPLIT, global_rank, split_bounds, with_split
 from ledgerspark.session import materialize
 
 
@@ -50,14 +50,10 @@ def optimistic_updates(rows: DataFrame, commands: DataFrame, rows_per_split: int
     start = rows.select(F.col("id").alias("_id"), F.col("version").alias("_start"))
     joined = commands.join(start, F.col("row_id") == F.col("_id"), "left").drop("_id")
     joined = joined.withColumn("_start", F.coalesce("_start", F.lit(-1).cast("bigint")))
-    total = commands.count()
-    largest = 0
-    if total > rows_per_split:
-        largest = commands.groupBy("row_id").count().agg(F.max("count")).first()[0]
-    if largest <= rows_per_split:
+    bounds = split_bounds(commands, ["row_id"], ["seq"], rows_per_split)
+    if bounds is None:
         return _follow(joined.withColumn("_split", F.lit(0)), columns)
-    bounds = split_bounds(commands, ["row_id"], ["seq"], rows_per_split, total)
-    split = materialize(_with_split(joined, ["row_id"], ["seq"], bounds, False), "commands")
+    split = materialize(with_split(joined, ["row_id"], ["seq"], bounds), "commands")
     hot = split.join(F.broadcast(bounds.select(F.col("row_id").alias("_hot"))), F.col("row_id") == F.col("_hot"), "left_semi")
     begins = materialize(_walk(_range_maps(hot)), "begins")  # one row per range, MAX_SPLITS at most
     begins = begins.select(F.col("row_id").alias("_row"), F.col("_split").alias("_range"), "_begin")

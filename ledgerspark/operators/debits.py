@@ -13,13 +13,14 @@ Three exact ways, chosen per account by aggregates:
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerspark.functions.batches import extended, lists
-from ledgerspark.operators.scans import ROWS_PER_SPLIT, Running, ordered_scan
+from ledgerspark.operators.scans import ROWS_PER_SPLIT, Running, ordered_scan, split_bounds
 from ledgerspark.session import materialize
 
 
@@ -86,36 +87,38 @@ def _fold(rows: DataFrame, columns: list[str]) -> DataFrame:
 
 def _phases(rows: DataFrame, columns: list[str], rows_per_split: int) -> DataFrame:
     left = materialize(rows, "debits")
+    bounds = split_bounds(left, ["account_id"], ["seq"], rows_per_split)
     # one row per hot account; each has more than rows_per_split debits, so the table is small
     state = materialize(left.groupBy(F.col("account_id").alias("_payer")).agg(F.max("_balance").alias("_now")), "state")
-    left = left.drop("_balance")
-    done: DataFrame | None = None
-    amount, now = F.col("amount_minor"), F.col("_now")
-    while left.limit(1).count():
-        with_state = left.join(F.broadcast(state), F.col("account_id") == F.col("_payer")).drop("_payer")
-        # the balance never grows, so a debit above it is settled at once
-        hopeless = with_state.filter(amount > now).select(*columns, _outcome(F.lit(False)))
-        small = F.when(amount * 2 <= now, amount).otherwise(0).alias("_small")
-        open_rows = materialize(with_state.filter(amount <= now).select("*", small), "open")
-        scanned = materialize(
-            ordered_scan(
-                open_rows, ["account_id"], ["seq"], running={"_used": Running("sum", "_small", inclusive=False)},
-                rows_per_split=rows_per_split,
-            ).withColumn("_used", F.coalesce("_used", F.lit(0))),
-            "scanned",
+    amount, now, used, end = F.col("amount_minor"), F.col("_now"), F.col("_used"), F.col("_end")
+    is_small = amount * 2 <= now
+    done = []
+    while True:
+        with_state = left.select(*columns).join(F.broadcast(state), F.col("account_id") == F.col("_payer")).drop("_payer")
+        scanned = ordered_scan(
+            with_state.withColumn("_small", F.when(is_small, amount).otherwise(0)), ["account_id"], ["seq"],
+            running={"_used": Running("sum", "_small", inclusive=False)}, bounds=bounds,
         )
-        is_small = F.col("_small") > 0
-        ends = F.when(is_small, (F.col("_used") + amount) * 2 > now).otherwise(F.col("_used") + amount <= now)
-        end = scanned.filter(ends).groupBy(F.col("account_id").alias("_payer")).agg(
-            F.min("seq").alias("_end"), F.min_by(now - F.col("_used") - amount, "seq").alias("_next")
+        scanned = materialize(scanned.withColumn("_used", F.coalesce(used, F.lit(0))), "phase")
+        # the first row after which less than half of the balance is left
+        ends = F.when(is_small, (used + amount) * 2 > now).otherwise(used + amount <= now)
+        closing = scanned.filter(ends).groupBy(F.col("account_id").alias("_payer")).agg(
+            F.min("seq").alias("_end"), F.min_by(now - used - amount, "seq").alias("_next")
         )
-        end = materialize(end, "ends")
-        marked = scanned.join(F.broadcast(end), F.col("account_id") == F.col("_payer"), "left").drop("_payer")
-        settled = F.col("_end").isNull() | (F.col("seq") <= F.col("_end"))
-        applies = is_small | F.coalesce(F.col("seq") == F.col("_end"), F.lit(False))
-        decided = marked.filter(settled).select(*columns, _outcome(applies)).unionByName(hopeless)
-        decided = materialize(decided, "decided")
-        done = decided if done is None else done.unionByName(decided)
-        left = materialize(marked.filter(~settled).select(*columns), "debits")
-        state = end.select("_payer", F.col("_next").alias("_now"))
-    return done
+        closing = materialize(closing, "ends")
+        marked = scanned.join(F.broadcast(closing), F.col("account_id") == F.col("_payer"), "left").drop("_payer")
+        # a debit above the balance is settled wherever it stands, since the balance never grows
+        settled = end.isNull() | (F.col("seq") <= end) | (amount > now)
+        applies = (is_small & (end.isNull() | (F.col("seq") <= end))) | F.coalesce(F.col("seq") == end, F.lit(False))
+        done.append(marked.filter(settled).select(*columns, _outcome(applies)))
+        left = marked.filter(~settled).select(*columns)
+        sizes = left.groupBy(F.col("account_id").alias("_account")).agg(F.count(F.lit(1)).alias("_left"))
+        balances = closing.select("_payer", F.col("_next").alias("_now"))
+        state = materialize(balances.join(sizes, F.col("_payer") == F.col("_account")).drop("_account"), "state")
+        # accounts with few open debits are finished in one pass
+        few = state.filter(F.col("_left") <= rows_per_split).select("_payer", F.col("_now").alias("_balance"))
+        rest = left.join(F.broadcast(few), F.col("account_id") == F.col("_payer")).drop("_payer")
+        done.append(_fold(rest, columns))
+        state = state.filter(F.col("_left") > rows_per_split).drop("_left")
+        if not state.limit(1).count():
+            return reduce(DataFrame.unionByName, done)

@@ -58,10 +58,15 @@ def largest_group(df: DataFrame, keys: list[str], rows_per_split: int) -> tuple[
     return total, top or 0
 
 
-def split_bounds(df: DataFrame, keys: list[str], order: list[str], rows_per_split: int, total: int) -> DataFrame:
-    """One row per group above the limit with its cut points, ``MAX_SPLITS`` of them in all groups together at most."""
+def split_bounds(df: DataFrame, keys: list[str], order: list[str], rows_per_split: int) -> DataFrame | None:
+    """One row per group above the limit with its cut points, ``MAX_SPLITS`` of them in all groups together at most.
+
+    None when no group is above the limit.
+    """
+    total, top = largest_group(df, keys, rows_per_split)
+    if top <= rows_per_split:
+        return None
     size = max(rows_per_split, -(-total // MAX_SPLITS))
-    # the key parts are coded so that a NULL key finds its group again
     sizes = df.groupBy(*keys).count().filter(F.col("count") > size).select(*keys)
     step = max(1, size // SAMPLES_PER_SPLIT)
     point = F.struct(*order)
@@ -81,7 +86,10 @@ def _same(left: DataFrame, right: DataFrame, keys: list[str]) -> Column:
     return condition
 
 
-def _with_split(df: DataFrame, keys: list[str], order: list[str], bounds: DataFrame, descending: bool) -> DataFrame:
+def with_split(
+    df: DataFrame, keys: list[str], order: list[str], bounds: DataFrame, descending: bool = False
+) -> DataFrame:
+    """Add ``_split``, the number of the range a row falls in; 0 in groups that are not cut."""
     point = F.struct(*order)
     if keys:
         right = bounds.select(*[F.col(k).alias(f"_b_{k}") for k in keys], "_bounds")
@@ -106,22 +114,24 @@ def ordered_scan(
     previous: dict[str, str] | None = None,
     descending: bool = False,
     rows_per_split: int = ROWS_PER_SPLIT,
+    bounds: DataFrame | None = None,
 ) -> DataFrame:
     """Add running values, the row number and values of the previous row, per ``keys`` in ``order``.
 
     ``order`` must be a total order inside a group for ``number`` and ``previous`` to be repeatable. With
-    ``keys=[]`` the whole table is one group.
+    ``keys=[]`` the whole table is one group. ``bounds`` are cut points found earlier, for loops over one table.
     """
     running = dict(running or {})
     previous = dict(previous or {})
     columns = df.columns
     if number:
         running[number] = Running("count", F.lit(1))
-    total, top = largest_group(df, keys, rows_per_split)
-    split = top > rows_per_split
+    if bounds is None:
+        bounds = split_bounds(df, keys, order, rows_per_split)
+    split = bounds is not None
     group = list(keys)
     if split:
-        df = _with_split(df, keys, order, split_bounds(df, keys, order, rows_per_split, total), descending)
+        df = with_split(df, keys, order, bounds, descending)
         group = [*keys, "_split"]
     sorting = [F.col(o).desc() if descending else F.col(o).asc() for o in order]
     window = Window.partitionBy(*(group or [F.lit(0)])).orderBy(*sorting)

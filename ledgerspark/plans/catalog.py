@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from ledgerspark.plans import checks, registry, relational, stateful, writes  # noqa: F401
+from ledgerspark.plans import checks, layouts, registry, relational, reports, stateful, streams, writes  # noqa: F401
 
 
 def queries():

@@ -144,7 +144,23 @@ def apply_transfers(v):
 # ---- versions and operations
 
 
-@query()
+VERSIONS = """WITH RECURSIVE ranked AS (
+  SELECT l_orderkey AS row_id, CAST(l_linenumber - 1 AS BIGINT) AS expected_version, row_number() OVER (ORDER BY l_shipdate, l_orderkey,
+    l_linenumber, l_partkey, l_suppkey, l_extendedprice, l_quantity, l_discount, l_tax) AS seq FROM lineitem),
+numbered AS MATERIALIZED (
+  SELECT r.*, row_number() OVER (PARTITION BY row_id ORDER BY seq) AS n,
+         CASE WHEN o.o_orderstatus IN ('F', 'P') THEN CAST(0 AS BIGINT) END AS opening
+  FROM ranked r LEFT JOIN orders o ON o.o_orderkey = r.row_id),
+walk AS (
+  SELECT *, opening AS before, CASE WHEN expected_version = opening THEN opening + 1 ELSE opening END AS version FROM numbered WHERE n = 1
+  UNION ALL
+  SELECT d.*, w.version, CASE WHEN d.expected_version = w.version THEN w.version + 1 ELSE w.version END
+  FROM walk w JOIN numbered d ON d.row_id = w.row_id AND d.n = w.n + 1)
+SELECT seq, row_id, expected_version, CASE WHEN before IS NULL THEN 'NOT_FOUND' WHEN expected_version = before THEN 'APPLIED'
+  ELSE 'STALE' END AS outcome, version FROM walk"""
+
+
+@query(raw=VERSIONS)
 def optimistic_updates(v):
     """One command per line item on the version of its order."""
     ranked = global_rank(v.table("lineitem").select(*TRANSFER_ORDER), TRANSFER_ORDER, "seq")
