@@ -89,14 +89,12 @@ def validate_then_require(df: DataFrame, column: str, is_new: Column, rule: Colu
 
 
 def require_column(df: DataFrame, column: str) -> DataFrame:
-    """The table with a column that cannot be NULL; refused while a row has no value."""
-    missing = df.filter(F.col(column).isNull()).limit(1).count()
-    if missing:
+    """The table with a required column: refused while a stored row has no value, and a job that meets such a row
+    later stops."""
+    if df.filter(F.col(column).isNull()).limit(1).count():
         raise ValueError(f"{column} has rows without a value")
-    kind = df.schema[column].dataType
-    # the value is known to be present, the coalesce only tells the schema
-    filler = F.raise_error(F.lit(f"{column} is required")).cast(kind)
-    return df.withColumn(column, F.coalesce(F.col(column), filler))
+    stop = F.raise_error(F.lit(f"{column} is required")).cast(df.schema[column].dataType)
+    return df.withColumn(column, F.coalesce(F.col(column), stop))
 
 
 # fixed values: whether a change of type reads or rewrites the stored rows

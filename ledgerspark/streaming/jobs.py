@@ -162,7 +162,8 @@ def relay_outbox_batch(
 
 
 class StuckOperations(StatefulProcessor):
-    """Reports an operation that has been RESERVED for ``age_ms`` of event time without a final status."""
+    """Reports an operation when ``age_ms`` of event time have passed since its last reservation without a final
+    status after it. Only the two latest times are kept, so the order inside a batch does not matter."""
 
     def __init__(self, age_ms: int):
         self.age_ms = age_ms
@@ -170,28 +171,31 @@ class StuckOperations(StatefulProcessor):
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         self.reserved = handle.getValueState("reserved", "at_ms BIGINT")
-        self.final = handle.getValueState("final", "done BOOLEAN")
+        self.final = handle.getValueState("final", "at_ms BIGINT")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         for frame in rows:
-            for status, at in zip(frame["status"], frame["at_ms"], strict=True):
-                if status != "RESERVED":
-                    self.final.update((True,))
-                    self._forget()
-                elif not self.final.exists() and not self.reserved.exists():
-                    self.reserved.update((int(at),))
-                    self.handle.registerTimer(int(at) + self.age_ms)
+            is_reserved = frame["status"] == "RESERVED"
+            self._raise(self.reserved, frame.loc[is_reserved, "at_ms"])
+            self._raise(self.final, frame.loc[~is_reserved, "at_ms"])
         yield from ()
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        if self.reserved.exists():
-            yield pd.DataFrame({"idempotency_key": [key[0]], "reserved_ms": [self.reserved.get()[0]]})
-            self.reserved.clear()
-
-    def _forget(self) -> None:
-        if self.reserved.exists():
-            self.handle.deleteTimer(self.reserved.get()[0] + self.age_ms)
-            self.reserved.clear()
+        reserved, final = self._at(self.reserved), self._at(self.final)
+        if expiredTimerInfo.getExpiryTimeInMs() < max(reserved, final) + self.age_ms:
+            return  # a later status has come since
+        if reserved > final:
+            yield pd.DataFrame({"idempotency_key": [key[0]], "reserved_ms": [reserved]})
+        self.reserved.clear()
+        self.final.clear()
+
+    def _at(self, state) -> int:
+        return state.get()[0] if state.exists() else -1
+
+    def _raise(self, state, times: pd.Series) -> None:
+        if len(times) and int(times.max()) > self._at(state):
+            state.update((int(times.max()),))
+            self.handle.registerTimer(int(times.max()) + self.age_ms)
 
     def close(self) -> None:
         pass
