@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ledgerspark.functions.batches import extended, lists
 from ledgerspark.functions.scalars import request_hash
-from ledgerspark.operators.scans import ROWS_PER_SPLIT, global_rank, split_bounds, with_split
+from ledgerspark.operators.scans import ROWS_PER_SPLIT, ROWS_PER_SPLIT_GLOBAL, global_rank, largest_group, seq_split
 from ledgerspark.session import materialize
 
 
@@ -50,16 +50,19 @@ def optimistic_updates(rows: DataFrame, commands: DataFrame, rows_per_split: int
     start = rows.select(F.col("id").alias("_id"), F.col("version").alias("_start"))
     joined = commands.join(start, F.col("row_id") == F.col("_id"), "left").drop("_id")
     joined = joined.withColumn("_start", F.coalesce("_start", F.lit(-1).cast("bigint")))
-    bounds = split_bounds(commands, ["row_id"], ["seq"], rows_per_split)
-    if bounds is None:
-        return _follow(joined.withColumn("_split", F.lit(0)), columns)
-    split = materialize(with_split(joined, ["row_id"], ["seq"], bounds), "commands")
-    hot = split.join(F.broadcast(bounds.select(F.col("row_id").alias("_hot"))), F.col("row_id") == F.col("_hot"), "left_semi")
-    begins = materialize(_walk(_range_maps(hot)), "begins")  # one row per range, MAX_SPLITS at most
+    _, largest = largest_group(commands, ["row_id"], rows_per_split)
+    if largest <= rows_per_split:
+        return _follow(joined.withColumn("_split", F.lit(0).cast("bigint")), columns)
+    # each of these rows has more than rows_per_split commands, so there are few of them
+    hot = commands.groupBy(F.col("row_id").alias("_hot")).count().filter(F.col("count") > rows_per_split).select("_hot")
+    marked = joined.join(F.broadcast(hot), F.col("row_id") == F.col("_hot"), "left")
+    part = F.when(F.col("_hot").isNotNull(), seq_split(rows_per_split)).otherwise(0)
+    marked = materialize(marked.withColumn("_split", part), "commands")
+    begins = materialize(_walk(_range_maps(marked.filter(F.col("_hot").isNotNull()))), "begins")
     begins = begins.select(F.col("row_id").alias("_row"), F.col("_split").alias("_range"), "_begin")
     same = (F.col("row_id") == F.col("_row")) & (F.col("_split") == F.col("_range"))
-    placed = split.join(F.broadcast(begins), same, "left").withColumn("_start", F.coalesce("_begin", "_start"))
-    return _follow(placed.drop("_row", "_range", "_begin"), columns)
+    placed = marked.join(begins, same, "left").withColumn("_start", F.coalesce("_begin", "_start"))
+    return _follow(placed.drop("_row", "_range", "_begin", "_hot"), columns)
 
 
 def _number_expected(df: DataFrame) -> DataFrame:
@@ -97,7 +100,7 @@ def _range_maps(commands: DataFrame) -> DataFrame:
     ``_out``) and the number of creates (``_shift``), which every other version moves by."""
 
     kind = commands.schema["row_id"].dataType.simpleString()
-    schema = f"row_id {kind}, _split int, _start bigint, _shift bigint, _low bigint, _high bigint, _out bigint"
+    schema = f"row_id {kind}, _split bigint, _start bigint, _shift bigint, _low bigint, _high bigint, _out bigint"
     names = ["row_id", "_split", "_start", "_shift", "_low", "_high", "_out"]
 
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -127,7 +130,7 @@ def _range_maps(commands: DataFrame) -> DataFrame:
             else:
                 runs.append([before, before, out])
         n = len(runs)
-        columns = [pa.array([current[0]] * n, types.field("row_id").type), pa.array([current[1]] * n, pa.int32())]
+        columns = [pa.array([current[0]] * n, types.field("row_id").type), pa.array([current[1]] * n, pa.int64())]
         columns += [pa.array([v] * n, pa.int64()) for v in (start, shift)]
         columns += [pa.array(list(c), pa.int64()) for c in zip(*runs, strict=True)]
         return pa.RecordBatch.from_arrays(columns, names=names)
@@ -156,13 +159,13 @@ def _walk(maps: DataFrame) -> DataFrame:
                         column.append(value)
                 if low <= version <= high and low > -2:
                     after = out
-            types = (batch.schema.field("row_id").type, pa.int32(), pa.int64())
+            types = (batch.schema.field("row_id").type, pa.int64(), pa.int64())
             arrays = [pa.array(c, t) for c, t in zip(found, types, strict=True)]
             yield pa.RecordBatch.from_arrays(arrays, names=["row_id", "_split", "_begin"])
 
     kind = maps.schema["row_id"].dataType.simpleString()
     ordered = maps.repartition("row_id").sortWithinPartitions("row_id", "_split", "_low")
-    return ordered.mapInArrow(step, f"row_id {kind}, _split int, _begin bigint")
+    return ordered.mapInArrow(step, f"row_id {kind}, _split bigint, _begin bigint")
 
 
 def versions_after(rows: DataFrame, outcomes: DataFrame) -> DataFrame:
@@ -262,7 +265,7 @@ def access_checks(tokens: DataFrame, uses: DataFrame) -> DataFrame:
 # ---- queues and errors
 
 
-def claim_jobs(jobs: DataFrame, workers: int, per_worker: int, rows_per_split: int = ROWS_PER_SPLIT) -> DataFrame:
+def claim_jobs(jobs: DataFrame, workers: int, per_worker: int, rows_per_split: int = ROWS_PER_SPLIT_GLOBAL) -> DataFrame:
     """READY jobs in id order, ``per_worker`` for each worker in turn; jobs beyond the last worker stay unclaimed (NULL)."""
     ranked = global_rank(jobs.filter(F.col("status") == "READY"), ["id"], "_rank", rows_per_split)
     worker = F.floor((F.col("_rank") - 1) / per_worker)

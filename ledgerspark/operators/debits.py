@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerspark.functions.batches import extended, lists
-from ledgerspark.operators.scans import ROWS_PER_SPLIT, Running, ordered_scan, split_bounds
+from ledgerspark.operators.scans import ROWS_PER_SPLIT, Running, ordered_scan, seq_split
 from ledgerspark.session import materialize
 
 
@@ -87,7 +87,6 @@ def _fold(rows: DataFrame, columns: list[str]) -> DataFrame:
 
 def _phases(rows: DataFrame, columns: list[str], rows_per_split: int) -> DataFrame:
     left = materialize(rows, "debits")
-    bounds = split_bounds(left, ["account_id"], ["seq"], rows_per_split)
     # one row per hot account; each has more than rows_per_split debits, so the table is small
     state = materialize(left.groupBy(F.col("account_id").alias("_payer")).agg(F.max("_balance").alias("_now")), "state")
     amount, now, used, end = F.col("amount_minor"), F.col("_now"), F.col("_used"), F.col("_end")
@@ -97,7 +96,7 @@ def _phases(rows: DataFrame, columns: list[str], rows_per_split: int) -> DataFra
         with_state = left.select(*columns).join(F.broadcast(state), F.col("account_id") == F.col("_payer")).drop("_payer")
         scanned = ordered_scan(
             with_state.withColumn("_small", F.when(is_small, amount).otherwise(0)), ["account_id"], ["seq"],
-            running={"_used": Running("sum", "_small", inclusive=False)}, bounds=bounds,
+            running={"_used": Running("sum", "_small", inclusive=False)}, split=seq_split(rows_per_split),
         )
         scanned = materialize(scanned.withColumn("_used", F.coalesce(used, F.lit(0))), "phase")
         # the first row after which less than half of the balance is left

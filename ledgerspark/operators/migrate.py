@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerspark.operators.scans import ROWS_PER_SPLIT, global_rank
+from ledgerspark.operators.scans import ROWS_PER_SPLIT_GLOBAL, global_rank
 from ledgerspark.sources.store import VersionedStore
 
 
@@ -21,7 +21,7 @@ def add_column_default(spark: SparkSession, paths: list[str], schema: T.StructTy
     return spark.read.schema(wider).parquet(*paths)
 
 
-def backfill_ranges(df: DataFrame, key: str, pending: Column, batch_rows: int, rows_per_split: int = ROWS_PER_SPLIT) -> list:
+def backfill_ranges(df: DataFrame, key: str, pending: Column, batch_rows: int, rows_per_split: int = ROWS_PER_SPLIT_GLOBAL) -> list:
     """Upper key of each batch, so that a batch holds at most ``batch_rows`` pending rows. ``key`` is unique."""
     ranked = global_rank(df.filter(pending).select(key), [key], "_rank", rows_per_split)
     batch = F.floor((F.col("_rank") - 1) / batch_rows).alias("_batch")
@@ -37,7 +37,7 @@ def backfill_batches(
     values: dict[str, Column],
     batch_rows: int,
     on_batch: Callable[[int], None] | None = None,
-    rows_per_split: int = ROWS_PER_SPLIT,
+    rows_per_split: int = ROWS_PER_SPLIT_GLOBAL,
 ) -> int:
     """Fill columns of the pending rows in batches of bounded size, and publish the table when none is left.
 

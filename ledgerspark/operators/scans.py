@@ -1,10 +1,10 @@
 """Running values over ordered groups, safe when one group holds a large part of all rows.
 
-A window puts a whole group into one task. ``ordered_scan`` first counts the groups. Where every group is
-within ``rows_per_split`` it is a plain window. Larger groups are cut into ranges of the order columns; each
-range is scanned as a group of its own, and what the earlier ranges contribute is carried over from one
-aggregate row per range. The cut points come from a hash sample, so they only decide the balance of the
-tasks, never the result.
+A window puts a whole group into one task. ``ordered_scan`` first counts the groups. Where every group is within
+``rows_per_split`` it is a plain window. Otherwise the rows are range-partitioned by (keys, order), which cuts a
+large group into several ranges, and written once with the number of their range, so that the cut never moves.
+Each range is scanned as a group of its own, and what the earlier ranges of a group contribute is carried over
+from one aggregate row per group and range.
 """
 
 from __future__ import annotations
@@ -17,8 +17,9 @@ from pyspark.sql import functions as F
 from ledgerspark.session import materialize
 
 ROWS_PER_SPLIT = 4_000_000
+# one ordering of a whole table has no other groups to keep the tasks busy, so it is cut earlier
+ROWS_PER_SPLIT_GLOBAL = 100_000
 MAX_SPLITS = 20_000
-SAMPLES_PER_SPLIT = 20
 
 
 @dataclass(frozen=True)
@@ -58,50 +59,16 @@ def largest_group(df: DataFrame, keys: list[str], rows_per_split: int) -> tuple[
     return total, top or 0
 
 
-def split_bounds(df: DataFrame, keys: list[str], order: list[str], rows_per_split: int) -> DataFrame | None:
-    """One row per group above the limit with its cut points, ``MAX_SPLITS`` of them in all groups together at most.
-
-    None when no group is above the limit.
-    """
+def cut(df: DataFrame, keys: list[str], order: list[str], rows_per_split: int) -> DataFrame | None:
+    """``df`` written in ranges of (keys, order), with their number as ``_split``; None when no group is too large."""
+    if not keys:
+        rows_per_split = min(rows_per_split, ROWS_PER_SPLIT_GLOBAL)
     total, top = largest_group(df, keys, rows_per_split)
     if top <= rows_per_split:
         return None
-    size = max(rows_per_split, -(-total // MAX_SPLITS))
-    sizes = df.groupBy(*keys).count().filter(F.col("count") > size).select(*keys)
-    step = max(1, size // SAMPLES_PER_SPLIT)
-    point = F.struct(*order)
-    sample = df.select(*keys, point.alias("_point")).filter(F.pmod(F.xxhash64("_point"), F.lit(step)) == 0)
-    if keys:
-        sample = sample.join(F.broadcast(sizes), _same(sample, sizes, keys), "left_semi")
-    every = min(SAMPLES_PER_SPLIT, size)
-    points = sample.groupBy(*keys).agg(F.array_sort(F.collect_list("_point")).alias("_points"))
-    bounds = F.filter("_points", lambda p, i: (i + 1) % every == 0)
-    return materialize(points.select(*keys, bounds.alias("_bounds")), "bounds")
-
-
-def _same(left: DataFrame, right: DataFrame, keys: list[str]) -> Column:
-    condition = F.lit(True)
-    for k in keys:
-        condition = condition & left[k].eqNullSafe(right[k])
-    return condition
-
-
-def with_split(
-    df: DataFrame, keys: list[str], order: list[str], bounds: DataFrame, descending: bool = False
-) -> DataFrame:
-    """Add ``_split``, the number of the range a row falls in; 0 in groups that are not cut."""
-    point = F.struct(*order)
-    if keys:
-        right = bounds.select(*[F.col(k).alias(f"_b_{k}") for k in keys], "_bounds")
-        condition = F.lit(True)
-        for k in keys:
-            condition = condition & df[k].eqNullSafe(right[f"_b_{k}"])
-        df = df.join(F.broadcast(right), condition, "left").drop(*[f"_b_{k}" for k in keys])
-    else:
-        cuts = bounds.select("_bounds")
-        df = df.withColumn("_bounds", cuts.scalar())
-    split = F.coalesce(F.size(F.filter("_bounds", lambda b: b <= point)), F.lit(0))
-    return df.withColumn("_split", -split if descending else split).drop("_bounds")
+    ranges = min(MAX_SPLITS, -(-total // rows_per_split))
+    ranged = df.repartitionByRange(ranges, *keys, *order)
+    return materialize(ranged.withColumn("_split", F.spark_partition_id()), "ranges")
 
 
 def ordered_scan(
@@ -114,25 +81,23 @@ def ordered_scan(
     previous: dict[str, str] | None = None,
     descending: bool = False,
     rows_per_split: int = ROWS_PER_SPLIT,
-    bounds: DataFrame | None = None,
+    split: Column | None = None,
 ) -> DataFrame:
     """Add running values, the row number and values of the previous row, per ``keys`` in ``order``.
 
     ``order`` must be a total order inside a group for ``number`` and ``previous`` to be repeatable. With
-    ``keys=[]`` the whole table is one group. ``bounds`` are cut points found earlier, for loops over one table.
+    ``keys=[]`` the whole table is one group. ``split`` is a number that never falls along ``order``, for callers
+    that know how to cut their groups; then nothing is counted or written.
     """
     running = dict(running or {})
     previous = dict(previous or {})
     columns = df.columns
     if number:
         running[number] = Running("count", F.lit(1))
-    if bounds is None:
-        bounds = split_bounds(df, keys, order, rows_per_split)
-    split = bounds is not None
+    ranged = df.withColumn("_split", split) if split is not None else cut(df, keys, order, rows_per_split)
     group = list(keys)
-    if split:
-        df = with_split(df, keys, order, bounds, descending)
-        group = [*keys, "_split"]
+    if ranged is not None:
+        df, group = ranged, [*keys, "_split"]
     sorting = [F.col(o).desc() if descending else F.col(o).asc() for o in order]
     window = Window.partitionBy(*(group or [F.lit(0)])).orderBy(*sorting)
     local = df.select(
@@ -140,7 +105,7 @@ def ordered_scan(
         *[r.over(window).alias(f"_r_{n}") for n, r in running.items()],
         *[F.lag(F.struct(F.col(c).alias("v"))).over(window).alias(f"_p_{n}") for n, c in previous.items()],
     )
-    if not split:
+    if ranged is None:
         return local.select(
             *columns,
             *[F.col(f"_r_{n}").alias(n) for n in running],
@@ -152,19 +117,19 @@ def ordered_scan(
         *[r.total().alias(f"_t_{n}") for n, r in running.items()],
         *[last(F.struct(F.col(c).alias("v")), F.struct(*order)).alias(f"_l_{n}") for n, c in previous.items()],
     )
-    between = Window.partitionBy(*(keys or [F.lit(0)])).orderBy("_split")
+    along = F.col("_split").desc() if descending else F.col("_split").asc()
+    between = Window.partitionBy(*(keys or [F.lit(0)])).orderBy(along)
     before = between.rowsBetween(Window.unboundedPreceding, -1)
     carried = parts.select(
         *[F.col(g).alias(f"_c_{g}") for g in group],
         F.lag("_rows").over(between).alias("_before"),
         *[getattr(F, r.merge_fn())(f"_t_{n}").over(before).alias(f"_c_r_{n}") for n, r in running.items()],
         *[F.lag(f"_l_{n}").over(between).alias(f"_c_p_{n}") for n in previous],
-    ).filter(F.col("_before").isNotNull())
-    # at most MAX_SPLITS rows are left: only ranges after the first one of a cut group carry anything
+    ).filter(F.col("_before").isNotNull())  # the first range of a group has nothing before it
     condition = F.lit(True)
     for g in group:
         condition = condition & local[g].eqNullSafe(carried[f"_c_{g}"])
-    joined = local.join(F.broadcast(carried), condition, "left")
+    joined = local.join(carried, condition, "left")
     return joined.select(
         *columns,
         *[r.merge(F.col(f"_r_{n}"), F.col(f"_c_r_{n}")).alias(n) for n, r in running.items()],
@@ -172,6 +137,11 @@ def ordered_scan(
     )
 
 
-def global_rank(df: DataFrame, order: list[str], name: str = "rank", rows_per_split: int = ROWS_PER_SPLIT) -> DataFrame:
+def global_rank(df: DataFrame, order: list[str], name: str = "rank", rows_per_split: int = ROWS_PER_SPLIT_GLOBAL) -> DataFrame:
     """1-based position of every row in ``order`` over the whole table, without a one-task sort of a large table."""
     return ordered_scan(df, [], order, number=name, rows_per_split=rows_per_split)
+
+
+def seq_split(rows_per_split: int, seq: str = "seq") -> Column:
+    """Ranges of a whole-number order that is unique inside a group: none holds more than ``rows_per_split`` rows of it."""
+    return F.floor(F.col(seq) / F.lit(rows_per_split))

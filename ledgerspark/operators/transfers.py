@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from ledgerspark.functions.batches import extended, lists
 from ledgerspark.functions.scalars import is_request_name, stable_id
-from ledgerspark.operators.scans import ROWS_PER_SPLIT, Running, ordered_scan, split_bounds
+from ledgerspark.operators.scans import ROWS_PER_SPLIT, Running, ordered_scan, seq_split
 from ledgerspark.session import materialize
 
 PAYLOAD = ["from_account", "to_account", "amount_minor"]
@@ -69,18 +69,16 @@ def _check(accounts: DataFrame, stored: DataFrame, requests: DataFrame) -> DataF
     )
 
 
-def _prepare(candidates: DataFrame, rows_per_split: int) -> tuple[DataFrame, DataFrame | None]:
-    """Flags that stay the same in all rounds (whether the key repeats, whether a credit can matter, hot accounts),
-    and the cut points of the hot accounts."""
+def _prepare(candidates: DataFrame, rows_per_split: int) -> tuple[DataFrame, bool]:
+    """Flags that stay the same in all rounds: whether the key repeats, whether a credit can matter, hot accounts."""
     sides = candidates.select(
-        "seq",
         F.explode(
             F.array(
                 F.struct(F.col("from_account").alias("account"), F.lit(1).alias("debits")),
                 F.struct(F.col("to_account").alias("account"), F.lit(0).alias("debits")),
             )
-        ).alias("s"),
-    ).select("seq", "s.*")
+        ).alias("s")
+    ).select("s.*")
     busy = sides.groupBy("account").agg(F.count(F.lit(1)).alias("_entries"), F.sum("debits").alias("_debits"))
     hot = F.col("_entries") > rows_per_split
     payer = busy.select(F.col("account").alias("_a"), hot.alias("hot"))
@@ -97,16 +95,17 @@ def _prepare(candidates: DataFrame, rows_per_split: int) -> tuple[DataFrame, Dat
         .withColumn("changed", F.lit(True))
         .drop("_a", "_b", "_k", "_uses", "_first")
     )
-    return materialize(rows, "round"), split_bounds(sides, ["account"], ["seq"], rows_per_split)
+    rows = materialize(rows, "round")
+    return rows, rows.filter("hot").limit(1).count() > 0
 
 
 def decide(candidates: DataFrame, rows_per_split: int = ROWS_PER_SPLIT, on_round=None) -> DataFrame:
     """Candidates with ``accept``; ``on_round`` is told the number of changed decisions of each round."""
-    state, bounds = _prepare(candidates, rows_per_split)
+    state, any_hot = _prepare(candidates, rows_per_split)
     every = True
     while True:
         concerned = None if every else _concerned(state)
-        state = materialize(_round(state, concerned, bounds), "round")
+        state = materialize(_round(state, concerned, any_hot, rows_per_split), "round")
         changes = state.filter("changed").count()
         if on_round:
             on_round(changes)
@@ -127,7 +126,7 @@ def _concerned(state: DataFrame) -> DataFrame:
     return F.broadcast(accounts) if accounts.count() <= BROADCAST_ROWS else accounts
 
 
-def _round(state: DataFrame, concerned: DataFrame | None, bounds: DataFrame | None) -> DataFrame:
+def _round(state: DataFrame, concerned: DataFrame | None, any_hot: bool, rows_per_split: int) -> DataFrame:
     debits, credits = state, state.filter("accept AND matters")
     kept = None
     if concerned is not None:
@@ -143,9 +142,9 @@ def _round(state: DataFrame, concerned: DataFrame | None, bounds: DataFrame | No
     incoming = credits.select("seq", F.col("to_account").alias("account"), F.col("amount_minor").alias("credit"), F.col("to_hot").alias("hot"))
     own = debits.select("*", F.col("from_account").alias("account"), F.lit(None).cast("bigint").alias("credit"))
     entries = own.unionByName(incoming, allowMissingColumns=True)
-    parts = [_in_order(entries if bounds is None else entries.filter("NOT hot"), columns)]
-    if bounds is not None:
-        parts.append(_by_running_sum(entries.filter("hot"), columns, bounds))
+    parts = [_in_order(entries.filter("NOT hot") if any_hot else entries, columns)]
+    if any_hot:
+        parts.append(_by_running_sum(entries.filter("hot"), columns, rows_per_split))
     if kept is not None:
         parts.append(kept.select(*columns))
     return reduce(DataFrame.unionByName, parts)
@@ -189,12 +188,13 @@ def _in_order(entries: DataFrame, columns: list[str]) -> DataFrame:
     return _compared(decided, columns)
 
 
-def _by_running_sum(entries: DataFrame, columns: list[str], bounds: DataFrame) -> DataFrame:
+def _by_running_sum(entries: DataFrame, columns: list[str], rows_per_split: int) -> DataFrame:
     """Decide the debits of accounts with very many entries from all decisions of the round before."""
     value = F.coalesce("credit", F.when(F.col("accept"), -F.col("amount_minor")).otherwise(0))
     scanned = ordered_scan(
         entries.withColumn("_value", value), ["account"], ["seq"],
-        running={"_before": Running("sum", "_value", inclusive=False)}, bounds=bounds,
+        running={"_before": Running("sum", "_value", inclusive=False)},
+        split=seq_split(rows_per_split),
     )
     balance = F.col("opening") + F.coalesce("_before", F.lit(0))
     decided = scanned.filter("credit IS NULL").withColumn("_new", F.col("free") & (balance >= F.col("amount_minor")))

@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from ledgerspark.operators.scans import Running, global_rank, ordered_scan, split_bounds, with_split
+from ledgerspark.operators.scans import Running, cut, global_rank, ordered_scan, seq_split
 
 
 @pytest.fixture(scope="module")
@@ -32,13 +32,18 @@ def test_cut_groups_equal_whole_groups(rows, keys, descending):
 
 
 def test_hot_group_is_spread(rows):
-    bounds = split_bounds(rows, ["k"], ["at", "id"], 40)
-    sizes = with_split(rows, ["k"], ["at", "id"], bounds).filter("k = 0").groupBy("_split").count().toPandas()["count"]
+    sizes = cut(rows, ["k"], ["at", "id"], 40).filter("k = 0").groupBy("_split").count().toPandas()["count"]
     assert len(sizes) > 5 and sizes.max() < 0.5 * sizes.sum()
 
 
-def test_no_bounds_when_every_group_is_small(rows):
-    assert split_bounds(rows, ["k"], ["at", "id"], 100_000) is None
+def test_nothing_is_cut_when_every_group_is_small(rows):
+    assert cut(rows, ["k"], ["at", "id"], 100_000) is None
+
+
+def test_a_known_split_needs_no_count(spark):
+    df = spark.range(200).select((F.col("id") % 3).alias("k"), F.col("id").alias("seq"))
+    got = ordered_scan(df, ["k"], ["seq"], running={"n": Running("count", "seq")}, split=seq_split(16))
+    assert all(r.n == r.seq // 3 + 1 for r in got.collect())
 
 
 def test_equal_order_values_keep_all_rows(spark):
