@@ -65,7 +65,8 @@ def json_contains(document: str | Column, pattern: dict) -> Column:
 
 def _contains(variant: Column, pattern, path: str) -> Column:
     if isinstance(pattern, dict):
-        result = F.try_variant_get(variant, path, "map<string,variant>").isNotNull()
+        # a member that is found proves that this is an object
+        result = F.lit(True) if pattern else F.try_variant_get(variant, path, "map<string,variant>").isNotNull()
         for name, value in pattern.items():
             result = result & F.coalesce(_contains(variant, value, f"{path}['{name}']"), F.lit(False))
         return result
@@ -94,6 +95,11 @@ def _kind(variant: Column, path: str, name: str) -> Column:
     return F.schema_of_variant(F.try_variant_get(variant, path, "variant")) == name
 
 
-def tokens(text: str | Column) -> Column:
-    """Distinct lower-case words of a text."""
-    return F.array_distinct(F.filter(F.split(F.lower(_col(text)), "[^a-z0-9]+"), lambda w: w != ""))
+def has_word(text: str | Column, word: str) -> Column:
+    """Whether a text has the word, as a run of letters and digits of its own, in any case."""
+    wanted = word.lower()
+    if not wanted.isalnum() or not wanted.isascii():
+        raise ValueError(f"not a word: {word}")
+    low = F.lower(_col(text))
+    # the plain search settles most texts before the pattern is tried
+    return low.contains(wanted) & low.rlike(f"(^|[^a-z0-9]){wanted}($|[^a-z0-9])")

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ledgerspark.functions.scalars import is_safe_id, one_line, percent_of, stable_id
 from ledgerspark.operators.joins import lateral_unnest_join
 from ledgerspark.operators.scans import ROWS_PER_SPLIT, ordered_scan
-from ledgerspark.session import materialize
+from ledgerspark.session import discard, materialize
 
 
 def query_stats(log: DataFrame, width: int = 70) -> DataFrame:
@@ -61,11 +61,12 @@ def wait_cycles(edges: DataFrame) -> DataFrame:
     """
 
     def shrink(rows: DataFrame, end: str, other: str) -> DataFrame:
-        rows = materialize(rows, "edges")
+        rows = materialize(rows, "edges")  # a copy of its own, which the first round may remove
         size = rows.count()
         while size:
-            keys = rows.select(F.col(other).alias("_k")).distinct()
+            keys, before = rows.select(F.col(other).alias("_k")).distinct(), rows
             rows = materialize(rows.join(keys, F.col(end) == F.col("_k"), "left_semi"), "edges")
+            discard(before)
             smaller = rows.count()
             if smaller == size:
                 break

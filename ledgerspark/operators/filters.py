@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerspark.functions.scalars import is_currency, is_safe_id, json_contains, normalized_email, tokens
+from ledgerspark.functions.scalars import has_word, is_currency, is_safe_id, json_contains, normalized_email
 
 MAX_PAGE = 100
 
@@ -95,10 +95,9 @@ def json_build(df: DataFrame, name: str, **members: Column) -> DataFrame:
 
 def text_search(df: DataFrame, text: str, words: list[str]) -> DataFrame:
     """Rows whose text holds every word, read over the whole text, without a shuffle."""
-    found = tokens(text)
     condition = F.lit(True)
     for word in words:
-        condition = condition & F.array_contains(found, word.lower())
+        condition = condition & has_word(text, word)
     return df.filter(condition)
 
 

@@ -18,7 +18,7 @@ from ledgerspark.session import materialize
 
 ROWS_PER_SPLIT = 4_000_000
 # one ordering of a whole table has no other groups to keep the tasks busy, so it is cut earlier
-ROWS_PER_SPLIT_GLOBAL = 100_000
+ROWS_PER_SPLIT_GLOBAL = 1_000_000
 MAX_SPLITS = 20_000
 
 

@@ -6,7 +6,8 @@ before it, covers the amount. Starting from "the first request of each key is ac
 requests anew from the decisions of the round before. A decision only depends on smaller ``seq``, so the right decisions grow from the
 front, the fixpoint is unique, and it equals serial execution.
 
-A round goes through each account's entries in order, so a chain of rejections inside one account is settled in
+An account that has the money for all its debits without any credit is not ordered at all. For the others a
+round goes through each account's entries in order, so a chain of rejections inside one account is settled in
 one round; only effects on other accounts take further rounds, and these only look at the accounts concerned.
 Accounts with very many entries are decided by a distributed running sum instead. Every round is a written
 table, so lineage stays short.
@@ -18,13 +19,13 @@ from collections.abc import Iterator
 from functools import reduce
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerspark.functions.batches import extended, lists
 from ledgerspark.functions.scalars import is_request_name, stable_id
 from ledgerspark.operators.scans import ROWS_PER_SPLIT, Running, ordered_scan, seq_split
-from ledgerspark.session import materialize
+from ledgerspark.session import discard, materialize
 
 PAYLOAD = ["from_account", "to_account", "amount_minor"]
 BROADCAST_ROWS = 1_000_000
@@ -70,19 +71,23 @@ def _check(accounts: DataFrame, stored: DataFrame, requests: DataFrame) -> DataF
 
 
 def _prepare(candidates: DataFrame, rows_per_split: int) -> tuple[DataFrame, bool]:
-    """Flags that stay the same in all rounds: whether the key repeats, whether a credit can matter, hot accounts."""
-    sides = candidates.select(
-        F.explode(
-            F.array(
-                F.struct(F.col("from_account").alias("account"), F.lit(1).alias("debits")),
-                F.struct(F.col("to_account").alias("account"), F.lit(0).alias("debits")),
-            )
-        ).alias("s")
-    ).select("s.*")
-    busy = sides.groupBy("account").agg(F.count(F.lit(1)).alias("_entries"), F.sum("debits").alias("_debits"))
-    hot = F.col("_entries") > rows_per_split
-    payer = busy.select(F.col("account").alias("_a"), hot.alias("hot"))
-    payee = busy.select(F.col("account").alias("_b"), (F.col("_debits") > 0).alias("matters"), hot.alias("to_hot"))
+    """Flags that stay the same in all rounds: whether the key repeats, whether the account has money for all its
+    debits without any credit (covered), whether a credit can matter, and hot accounts."""
+
+    def side(account: str, amount: Column) -> Column:
+        opening = F.when(amount.isNotNull(), F.col("opening"))
+        return F.struct(F.col(account).alias("account"), amount.alias("amount"), opening.alias("opening"))
+
+    debit, credit = side("from_account", F.col("amount_minor")), side("to_account", F.lit(None).cast("bigint"))
+    busy = candidates.select(F.explode(F.array(debit, credit)).alias("s")).select("s.*").groupBy("account").agg(
+        F.count(F.lit(1)).alias("_entries"), F.sum("amount").alias("_needed"), F.max("opening").alias("_opening")
+    )
+    covered = F.col("_needed") <= F.col("_opening")
+    hot = ~covered & (F.col("_entries") > rows_per_split)
+    payer = busy.select(F.col("account").alias("_a"), covered.alias("covered"), hot.alias("hot"))
+    payee = busy.select(
+        F.col("account").alias("_b"), F.coalesce(~covered, F.lit(False)).alias("matters"), F.coalesce(hot, F.lit(False)).alias("to_hot")
+    )
     repeated = candidates.groupBy(F.col("idempotency_key").alias("_k")).agg(
         F.count(F.lit(1)).alias("_uses"), F.min("seq").alias("_first")
     ).filter("_uses > 1")
@@ -102,16 +107,17 @@ def _prepare(candidates: DataFrame, rows_per_split: int) -> tuple[DataFrame, boo
 def decide(candidates: DataFrame, rows_per_split: int = ROWS_PER_SPLIT, on_round=None) -> DataFrame:
     """Candidates with ``accept``; ``on_round`` is told the number of changed decisions of each round."""
     state, any_hot = _prepare(candidates, rows_per_split)
-    every = True
+    concerned = None
     while True:
-        concerned = None if every else _concerned(state)
-        state = materialize(_round(state, concerned, any_hot, rows_per_split), "round")
+        before = state
+        state = materialize(_round(before, concerned, any_hot, rows_per_split), "round")
+        discard(before, concerned)
         changes = state.filter("changed").count()
         if on_round:
             on_round(changes)
         if changes == 0:
             return state.select("seq", "idempotency_key", *PAYLOAD, "accept")
-        every = False
+        concerned = _concerned(state)
 
 
 def _concerned(state: DataFrame) -> DataFrame:
@@ -122,14 +128,15 @@ def _concerned(state: DataFrame) -> DataFrame:
     keys = changed.filter("repeats").select(F.col("idempotency_key").alias("_k")).distinct()
     same_key = state.filter("repeats").join(keys, F.col("idempotency_key") == F.col("_k"), "left_semi")
     parts = [credited, itself, same_key.select(F.col("from_account").alias("_account"))]
-    accounts = materialize(reduce(DataFrame.unionByName, parts).distinct(), "concerned")
-    return F.broadcast(accounts) if accounts.count() <= BROADCAST_ROWS else accounts
+    return materialize(reduce(DataFrame.unionByName, parts).distinct(), "concerned")
 
 
 def _round(state: DataFrame, concerned: DataFrame | None, any_hot: bool, rows_per_split: int) -> DataFrame:
     debits, credits = state, state.filter("accept AND matters")
     kept = None
     if concerned is not None:
+        if concerned.count() <= BROADCAST_ROWS:
+            concerned = F.broadcast(concerned)
         debits = state.join(concerned, F.col("from_account") == F.col("_account"), "left_semi")
         kept = state.join(concerned, F.col("from_account") == F.col("_account"), "left_anti").withColumn("changed", F.lit(False))
         credits = credits.join(concerned, F.col("to_account") == F.col("_account"), "left_semi")
@@ -142,9 +149,13 @@ def _round(state: DataFrame, concerned: DataFrame | None, any_hot: bool, rows_pe
     incoming = credits.select("seq", F.col("to_account").alias("account"), F.col("amount_minor").alias("credit"), F.col("to_hot").alias("hot"))
     own = debits.select("*", F.col("from_account").alias("account"), F.lit(None).cast("bigint").alias("credit"))
     entries = own.unionByName(incoming, allowMissingColumns=True)
-    parts = [_in_order(entries.filter("NOT hot") if any_hot else entries, columns)]
+    ordered = entries.filter("credit IS NOT NULL OR NOT covered")
+    parts = [
+        _compared(own.filter("covered").withColumn("_new", F.col("free")), columns),
+        _in_order(ordered.filter("NOT hot") if any_hot else ordered, columns),
+    ]
     if any_hot:
-        parts.append(_by_running_sum(entries.filter("hot"), columns, rows_per_split))
+        parts.append(_by_running_sum(ordered.filter("hot"), columns, rows_per_split))
     if kept is not None:
         parts.append(kept.select(*columns))
     return reduce(DataFrame.unionByName, parts)

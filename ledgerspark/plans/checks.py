@@ -94,12 +94,14 @@ def reconcile_drift(v):
 @query("""SELECT id, account_id FROM payments WHERE status = 'COMPLETED'
 AND id NOT IN (SELECT payment_id FROM ledger_entries WHERE payment_id IS NOT NULL AND id % 7 <> 0)""")
 def unposted_payments(v):
+    """Against a ledger that has lost every seventh entry."""
     return R.unposted_payments(v.payments, v.ledger_entries.filter("id % 7 <> 0")).select("id", "account_id")
 
 
 @query("""SELECT payment_id, count(*) AS keys_pointing_here FROM (SELECT payment_id FROM idempotency_keys
 UNION ALL SELECT payment_id FROM idempotency_keys WHERE payment_id % 60 = 0) GROUP BY 1 HAVING count(*) > 1""")
 def multi_key_payments(v):
+    """Every sixtieth payment has got a second key."""
     keys = v.idempotency_keys.select("payment_id")
     return R.multi_key_payments(keys.unionByName(keys.filter("payment_id % 60 = 0")))
 
@@ -119,6 +121,7 @@ def money_conserved(v):
 
 @query("SELECT id, account_id, amount_minor FROM ledger_entries WHERE id % 61 = 0 OR id % 53 = 0")
 def ledger_append_only(v):
+    """Against a newer version that has lost some entries and changed others."""
     rows = v.ledger_entries.select("id", "account_id", "amount_minor", "created_at")
     changed = F.when(F.col("id") % 53 == 0, F.col("amount_minor") + 1).otherwise(F.col("amount_minor"))
     newer = rows.filter("id % 61 <> 0").withColumn("amount_minor", changed)

@@ -221,6 +221,7 @@ def anti_join_left_null(v):
 @query("""SELECT p.id, p.account_id FROM payments p WHERE p.status = 'COMPLETED'
 AND NOT EXISTS (SELECT 1 FROM ledger_entries le WHERE le.payment_id = p.id AND le.id % 5 <> 0)""")
 def anti_join_not_exists(v):
+    """Against a ledger that has lost every fifth entry."""
     done = v.payments.filter("status = 'COMPLETED'")
     return J.anti_join(done, v.ledger_entries.filter("id % 5 <> 0"), "id", "payment_id").select("id", "account_id")
 
@@ -545,6 +546,7 @@ def union_entries(v):
   UNION ALL SELECT id, amount_minor + CASE WHEN id % 40 = 0 THEN 1 ELSE 0 END, -1 FROM payments WHERE id % 25 <> 3)
 GROUP BY 1, 2 HAVING sum(n) <> 0""")
 def table_diff(v):
+    """Against a copy with lost and changed rows."""
     left = v.payments.select("id", "amount_minor")
     changed = (F.col("amount_minor") + F.when(F.col("id") % 40 == 0, 1).otherwise(0)).alias("amount_minor")
     return setops.table_diff(left, left.filter("id % 25 <> 3").select("id", changed))

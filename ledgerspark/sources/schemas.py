@@ -33,10 +33,10 @@ REQUESTS = (
     "seq BIGINT, idempotency_key STRING, from_account BIGINT, to_account BIGINT, amount_minor BIGINT, actor STRING"
 )
 
-# fixed values: the closed lists of the data model
+# fixed values: the closed lists and patterns of the data model; \z, since $ would let a last line feed through
 PAYMENT_STATUSES = ["PENDING", "COMPLETED", "FAILED"]
 OPERATION_STATUSES = ["RESERVED", "COMPLETED", "FAILED"]
 JOB_STATUSES = ["READY", "DONE"]
-CURRENCY_PATTERN = "^[A-Z]{3}$"
-SAFE_ID_PATTERN = "^[A-Za-z0-9._:-]+$"
+CURRENCY_PATTERN = r"^[A-Z]{3}\z"
+SAFE_ID_PATTERN = r"^[A-Za-z0-9._:-]+\z"
 KEY_MAX_LENGTH = 128

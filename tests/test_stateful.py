@@ -74,6 +74,20 @@ def test_transfers_equal_serial(spark, split, seed):
     assert entries.groupBy("transfer_id").agg(F.count("*").alias("n"), F.sum("amount_minor").alias("s")).filter("n <> 2 OR s <> 0").count() == 0
 
 
+def test_registered_transfers_equal_serial(spark, small):
+    """The registered query with many rejections, on all requests of the small tables."""
+    from ledgerspark.plans import stateful
+    from ledgerspark.plans.fixtures import SMALL_OPENING_MINOR, Views
+
+    v = Views(spark, small)
+    accounts = {r.id: (r.currency, r.balance_minor) for r in stateful.wallets(v, SMALL_OPENING_MINOR).collect()}
+    requests = [tuple(r) for r in stateful.requests(v).collect()]
+    want, _ = serial.transfers(accounts, {}, requests)
+    got = stateful.apply_transfers(v).collect()
+    assert named(got) == want
+    assert {r.reason for r in got} >= {None, "funds", "key reused", "accounts"}
+
+
 def test_same_key_runs_once_and_cannot_change(spark):
     accounts = {1: ("RUB", 1000), 2: ("RUB", 1000)}
     requests = [(1, "same-key", 1, 2, 100, "t"), (2, "same-key", 1, 2, 100, "t"), (3, "same-key", 1, 2, 200, "t")]

@@ -171,3 +171,13 @@ def test_sorted_layout_touches_fewer_files(spark, medium):
         assert report["files"] == 8
         touched[name] = report["files_touched"]
     assert touched["key"] <= 2 and touched["time"] == 8
+
+
+def test_scratch_tables_can_be_removed(spark):
+    from ledgerspark.session import discard, materialize
+
+    one, two = materialize(spark.range(3)), materialize(spark.range(4))
+    discard(one, None, spark.range(1))
+    assert two.count() == 4
+    with pytest.raises(Exception):
+        spark.read.parquet(one.scratch_path).count()
