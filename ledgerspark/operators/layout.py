@@ -20,21 +20,25 @@ def layout_sorted(df: DataFrame, columns: list[str], path: str, files: int, row_
     writer.parquet(path)
 
 
-def zone_map(df: DataFrame, columns: list[str]) -> DataFrame:
-    """Smallest and largest value per file of a DataFrame read from files: the summary a range read prunes with."""
+def zone_map(df: DataFrame, columns: list[str], block_rows: int | None = None) -> DataFrame:
+    """Smallest and largest value per file of a DataFrame read from files, or per block of ``block_rows`` rows of a
+    file: the summary a range read prunes with."""
     ranges = [f(c).alias(f"{n}_{c}") for c in columns for n, f in (("min", F.min), ("max", F.max))]
-    return df.groupBy(F.col("_metadata.file_path").alias("file")).agg(F.count(F.lit(1)).alias("rows"), *ranges)
+    zone = [F.col("_metadata.file_path").alias("file")]
+    if block_rows:
+        zone.append(F.floor(F.col("_metadata.row_index") / block_rows).alias("block"))
+    return df.groupBy(*zone).agg(F.count(F.lit(1)).alias("rows"), *ranges)
 
 
-def files_touched(df: DataFrame, bounds: dict[str, tuple], columns: list[str] | None = None) -> DataFrame:
-    """One row: files in all, files and rows that a range read on ``bounds`` {column: (low, high)} cannot skip."""
-    zones = zone_map(df, columns or list(bounds))
+def zones_touched(df: DataFrame, bounds: dict[str, tuple], block_rows: int | None = None) -> DataFrame:
+    """One row: zones in all, zones and rows that a range read on ``bounds`` {column: (low, high)} cannot skip."""
+    zones = zone_map(df, list(bounds), block_rows)
     overlaps = F.lit(True)
     for c, (low, high) in bounds.items():
         overlaps = overlaps & (F.col(f"max_{c}") >= low) & (F.col(f"min_{c}") <= high)
     return zones.agg(
-        F.count(F.lit(1)).alias("files"),
-        F.count_if(overlaps).alias("files_touched"),
+        F.count(F.lit(1)).alias("zones"),
+        F.count_if(overlaps).alias("zones_touched"),
         F.sum(F.when(overlaps, F.col("rows")).otherwise(0)).alias("rows_touched"),
     )
 

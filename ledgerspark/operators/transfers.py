@@ -6,8 +6,8 @@ before it, covers the amount. Starting from "the first request of each key is ac
 requests anew from the decisions of the round before. A decision only depends on smaller ``seq``, so the right decisions grow from the
 front, the fixpoint is unique, and it equals serial execution.
 
-An account that has the money for all its debits without any credit is not ordered at all. For the others a
-round goes through each account's entries in order, so a chain of rejections inside one account is settled in
+An account that has the money for all its debits without any credit is not ordered at all, and most requests of
+such accounts are settled before the first round. For the others a round goes through each account's entries in order, so a chain of rejections inside one account is settled in
 one round; only effects on other accounts take further rounds, and these only look at the accounts concerned.
 Accounts with very many entries are decided by a distributed running sum instead. Every round is a written
 table, so lineage stays short.
@@ -19,7 +19,7 @@ from collections.abc import Iterator
 from functools import reduce
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerspark.functions.batches import extended, lists
@@ -32,91 +32,102 @@ BROADCAST_ROWS = 1_000_000
 
 
 def apply_transfers(
-    accounts: DataFrame, stored: DataFrame, requests: DataFrame, rows_per_split: int = ROWS_PER_SPLIT
+    accounts: DataFrame, stored: DataFrame, requests: DataFrame, rows_per_split: int = ROWS_PER_SPLIT, on_round=None
 ) -> DataFrame:
     """``requests`` with ``outcome``, ``reason`` and ``transfer_id``.
 
     COMPLETED moves money; REPLAY gives the id of the earlier transfer of that key; INVALID_REQUEST is a bad
     argument or a key used for another payload; OPERATION_REJECTED a missing account, another currency or too
-    little money. A request that fails does not use up its key.
+    little money. A request that fails does not use up its key. ``on_round`` is told the number of changed
+    decisions of each round.
     """
-    checked = materialize(_check(accounts, stored, requests), "requests")
-    candidates = checked.filter(F.col("_open")).select(
-        "seq", "idempotency_key", *PAYLOAD, F.col("_opening").alias("opening")
+    checked = materialize(_check(accounts, stored, requests, rows_per_split), "requests")
+    candidates = checked.filter("_open").select("seq", "idempotency_key", *PAYLOAD, *FLAGS)
+    return _label(checked, _decide(candidates, rows_per_split, on_round), requests.columns)
+
+
+# What the rounds know about the two accounts of a request: the balance of the payer, whether it covers all debits of
+# the batch without any credit, whether the payer has very many entries, and for the payee whether credits can matter.
+FLAGS = ["opening", "covered", "hot", "matters", "to_hot"]
+
+
+def _account_states(accounts: DataFrame, requests: DataFrame, rows_per_split: int) -> DataFrame:
+    """One row per account that the requests name and that exists."""
+    debit = F.struct(F.col("from_account").alias("account"), F.col("amount_minor").alias("amount"))
+    credit = F.struct(F.col("to_account").alias("account"), F.lit(None).cast("bigint").alias("amount"))
+    sides = requests.filter("_valid").select(F.explode(F.array(debit, credit)).alias("s")).select("s.*")
+    busy = sides.groupBy("account").agg(F.count(F.lit(1)).alias("_entries"), F.sum("amount").alias("_needed"))
+    covered = F.coalesce(F.col("_needed") <= F.col("balance_minor"), F.lit(True))
+    return busy.join(accounts.select("id", "currency", "balance_minor"), F.col("account") == F.col("id")).select(
+        "account", "currency", F.col("balance_minor").alias("opening"), covered.alias("covered"),
+        (~covered & (F.col("_entries") > rows_per_split)).alias("hot"),
     )
-    decided = decide(candidates, rows_per_split)
-    return _label(checked, decided, requests.columns)
 
 
-def _check(accounts: DataFrame, stored: DataFrame, requests: DataFrame) -> DataFrame:
-    payer = accounts.select(F.col("id").alias("_payer"), F.col("currency").alias("_c1"), F.col("balance_minor").alias("_opening"))
-    payee = accounts.select(F.col("id").alias("_payee"), F.col("currency").alias("_c2"))
-    known = stored.select(
-        F.col("idempotency_key").alias("_key"), F.col("transfer_id").alias("_stored_id"), F.struct(*PAYLOAD).alias("_stored")
-    )
+def _check(accounts: DataFrame, stored: DataFrame, requests: DataFrame, rows_per_split: int) -> DataFrame:
     valid = (
         is_request_name("idempotency_key")
         & is_request_name("actor")
         & F.coalesce(F.col("amount_minor") > 0, F.lit(False))
         & F.coalesce(F.col("from_account") != F.col("to_account"), F.lit(False))
     )
+    judged = requests.withColumn("_valid", valid)
+    state = _account_states(accounts, judged, rows_per_split)
+    payer = state.select(F.col("account").alias("_payer"), F.col("currency").alias("_c1"), "opening", "covered", "hot")
+    payee = state.select(
+        F.col("account").alias("_payee"), F.col("currency").alias("_c2"), (~F.col("covered")).alias("matters"),
+        F.col("hot").alias("to_hot"),
+    )
+    known = stored.select(
+        F.col("idempotency_key").alias("_key"), F.col("transfer_id").alias("_stored_id"), F.struct(*PAYLOAD).alias("_stored")
+    )
+    same_currency = F.coalesce(F.col("_c1") == F.col("_c2"), F.lit(False))
     return (
-        requests.withColumn("_valid", valid)
-        .join(payer, F.col("from_account") == F.col("_payer"), "left")
+        judged.join(payer, F.col("from_account") == F.col("_payer"), "left")
         .join(payee, F.col("to_account") == F.col("_payee"), "left")
         .join(known, F.col("idempotency_key") == F.col("_key"), "left")
-        .withColumn("_open", F.col("_valid") & F.col("_stored_id").isNull() & F.coalesce(F.col("_c1") == F.col("_c2"), F.lit(False)))
+        .withColumn("_open", F.col("_valid") & F.col("_stored_id").isNull() & same_currency)
         .drop("_payer", "_payee", "_key", "_c1", "_c2")
     )
 
 
-def _prepare(candidates: DataFrame, rows_per_split: int) -> tuple[DataFrame, bool]:
-    """Flags that stay the same in all rounds: whether the key repeats, whether the account has money for all its
-    debits without any credit (covered), whether a credit can matter, and hot accounts."""
-
-    def side(account: str, amount: Column) -> Column:
-        opening = F.when(amount.isNotNull(), F.col("opening"))
-        return F.struct(F.col(account).alias("account"), amount.alias("amount"), opening.alias("opening"))
+def _decide(candidates: DataFrame, rows_per_split: int, on_round=None) -> DataFrame:
+    """The accepted candidates.
 
-    debit, credit = side("from_account", F.col("amount_minor")), side("to_account", F.lit(None).cast("bigint"))
-    busy = candidates.select(F.explode(F.array(debit, credit)).alias("s")).select("s.*").groupBy("account").agg(
-        F.count(F.lit(1)).alias("_entries"), F.sum("amount").alias("_needed"), F.max("opening").alias("_opening")
-    )
-    covered = F.col("_needed") <= F.col("_opening")
-    hot = ~covered & (F.col("_entries") > rows_per_split)
-    payer = busy.select(F.col("account").alias("_a"), covered.alias("covered"), hot.alias("hot"))
-    payee = busy.select(
-        F.col("account").alias("_b"), F.coalesce(~covered, F.lit(False)).alias("matters"), F.coalesce(hot, F.lit(False)).alias("to_hot")
+    A request is settled from the start when its account, and that of every other request of its key, is covered:
+    the first of the key is accepted. Only the others go through the rounds.
+    """
+    per_key = candidates.groupBy(F.col("idempotency_key").alias("_k")).agg(
+        F.count(F.lit(1)).alias("_uses"), F.min("seq").alias("_first"), F.bool_and("covered").alias("_all_covered")
     )
-    repeated = candidates.groupBy(F.col("idempotency_key").alias("_k")).agg(
-        F.count(F.lit(1)).alias("_uses"), F.min("seq").alias("_first")
-    ).filter("_uses > 1")
-    rows = (
-        candidates.join(payer, F.col("from_account") == F.col("_a"))
-        .join(payee, F.col("to_account") == F.col("_b"))
-        .join(repeated, F.col("idempotency_key") == F.col("_k"), "left")
-        .withColumn("repeats", F.col("_k").isNotNull())
-        .withColumn("accept", F.coalesce(F.col("_first") == F.col("seq"), F.lit(True)))
-        .withColumn("changed", F.lit(True))
-        .drop("_a", "_b", "_k", "_uses", "_first")
+    keyed = candidates.join(per_key.filter("_uses > 1"), F.col("idempotency_key") == F.col("_k"), "left")
+    start = materialize(
+        keyed.select(
+            *candidates.columns,
+            F.col("_k").isNotNull().alias("repeats"),
+            F.coalesce(F.col("_first") == F.col("seq"), F.lit(True)).alias("accept"),
+            F.lit(True).alias("changed"),
+            (F.col("covered") & F.coalesce("_all_covered", F.lit(True))).alias("settled"),
+        ),
+        "start",
     )
-    rows = materialize(rows, "round")
-    return rows, rows.filter("hot").limit(1).count() > 0
-
-
-def decide(candidates: DataFrame, rows_per_split: int = ROWS_PER_SPLIT, on_round=None) -> DataFrame:
-    """Candidates with ``accept``; ``on_round`` is told the number of changed decisions of each round."""
-    state, any_hot = _prepare(candidates, rows_per_split)
-    concerned = None
+    result = ["seq", "idempotency_key", *PAYLOAD]
+    settled = start.filter("settled AND accept")
+    open_rows = start.filter("NOT settled").drop("settled")
+    if not open_rows.limit(1).count():
+        return settled.select(*result)
+    credits = materialize(settled.filter("matters").select("seq", "to_account", "amount_minor", "to_hot"), "credits")
+    any_hot = open_rows.filter("hot").limit(1).count() > 0
+    state, concerned = open_rows, None
     while True:
         before = state
-        state = materialize(_round(before, concerned, any_hot, rows_per_split), "round")
+        state = materialize(_round(before, credits, concerned, any_hot, rows_per_split), "round")
         discard(before, concerned)
         changes = state.filter("changed").count()
         if on_round:
             on_round(changes)
         if changes == 0:
-            return state.select("seq", "idempotency_key", *PAYLOAD, "accept")
+            return settled.select(*result).unionByName(state.filter("accept").select(*result))
         concerned = _concerned(state)
 
 
@@ -131,16 +142,18 @@ def _concerned(state: DataFrame) -> DataFrame:
     return materialize(reduce(DataFrame.unionByName, parts).distinct(), "concerned")
 
 
-def _round(state: DataFrame, concerned: DataFrame | None, any_hot: bool, rows_per_split: int) -> DataFrame:
-    debits, credits = state, state.filter("accept AND matters")
-    kept = None
+def _round(
+    state: DataFrame, settled: DataFrame, concerned: DataFrame | None, any_hot: bool, rows_per_split: int
+) -> DataFrame:
+    columns = state.columns
+    credits = state.filter("accept AND matters").select(*settled.columns).unionByName(settled)
+    debits, kept = state, None
     if concerned is not None:
         if concerned.count() <= BROADCAST_ROWS:
             concerned = F.broadcast(concerned)
         debits = state.join(concerned, F.col("from_account") == F.col("_account"), "left_semi")
         kept = state.join(concerned, F.col("from_account") == F.col("_account"), "left_anti").withColumn("changed", F.lit(False))
         credits = credits.join(concerned, F.col("to_account") == F.col("_account"), "left_semi")
-    columns = state.columns
     # the first accepted request of each repeated key; all other keys are free by definition
     first = state.filter("repeats AND accept").groupBy(F.col("idempotency_key").alias("_k")).agg(F.min("seq").alias("_first"))
     repeated = debits.filter("repeats").join(first, F.col("idempotency_key") == F.col("_k"), "left")
@@ -148,14 +161,13 @@ def _round(state: DataFrame, concerned: DataFrame | None, any_hot: bool, rows_pe
     debits = debits.filter("NOT repeats").select(*columns, F.lit(True).alias("free")).unionByName(repeated.select(*columns, free))
     incoming = credits.select("seq", F.col("to_account").alias("account"), F.col("amount_minor").alias("credit"), F.col("to_hot").alias("hot"))
     own = debits.select("*", F.col("from_account").alias("account"), F.lit(None).cast("bigint").alias("credit"))
-    entries = own.unionByName(incoming, allowMissingColumns=True)
-    ordered = entries.filter("credit IS NOT NULL OR NOT covered")
+    entries = own.filter("NOT covered").unionByName(incoming, allowMissingColumns=True)
     parts = [
         _compared(own.filter("covered").withColumn("_new", F.col("free")), columns),
-        _in_order(ordered.filter("NOT hot") if any_hot else ordered, columns),
+        _in_order(entries.filter("NOT hot") if any_hot else entries, columns),
     ]
     if any_hot:
-        parts.append(_by_running_sum(ordered.filter("hot"), columns, rows_per_split))
+        parts.append(_by_running_sum(entries.filter("hot"), columns, rows_per_split))
     if kept is not None:
         parts.append(kept.select(*columns))
     return reduce(DataFrame.unionByName, parts)
@@ -217,9 +229,9 @@ def _compared(decided: DataFrame, columns: list[str]) -> DataFrame:
     return decided.select(*[compared[c].alias(c) if c in compared else F.col(c) for c in columns])
 
 
-def _label(checked: DataFrame, decided: DataFrame, columns: list[str]) -> DataFrame:
+def _label(checked: DataFrame, accepted: DataFrame, columns: list[str]) -> DataFrame:
     # at most one request of a key is accepted
-    winner = decided.filter("accept").select(
+    winner = accepted.select(
         F.col("idempotency_key").alias("_key"), F.col("seq").alias("_seq"), F.struct(*PAYLOAD).alias("_won"),
         stable_id(F.lit("transfer"), "idempotency_key", "seq").alias("_won_id"),
     )

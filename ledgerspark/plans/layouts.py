@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import datetime as dt
+from functools import reduce
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerspark.operators import layout as L
@@ -23,16 +25,17 @@ def read_back(v, df, path):
 
 @query()
 def layout_sorted(v):
-    """Files and rows that one account's history of a month cannot skip, in both column orders."""
+    """Files and blocks of 1000 rows that one account's history of a year cannot skip, in both column orders."""
     payments = v.payments.select("account_id", "created_at", "id", "amount_minor")
     bounds = {"account_id": (F.lit(42), F.lit(42)), "created_at": (ntz("1996-01-01 00:00:00"), ntz("1997-01-01 00:00:00"))}
     reports = []
     for name, order in {"account, time": ["account_id", "created_at"], "time, account": ["created_at", "account_id"]}.items():
         path = scratch_path(v.spark, "sorted")
         L.layout_sorted(payments, order, path, 8)
-        touched = L.files_touched(read_back(v, payments, path), bounds)
-        reports.append(touched.select(F.lit(name).alias("order"), "*"))
-    return reports[0].unionByName(reports[1])
+        for unit, rows in {"file": None, "block": 1000}.items():
+            touched = L.zones_touched(read_back(v, payments, path), bounds, rows)
+            reports.append(touched.select(F.lit(name).alias("order"), F.lit(unit).alias("unit"), "*"))
+    return reduce(DataFrame.unionByName, reports)
 
 
 @query("""SELECT id, amount_minor FROM payments WHERE account_id = 42 AND created_at >= TIMESTAMP '1996-01-01'""")

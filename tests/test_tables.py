@@ -167,9 +167,11 @@ def test_sorted_layout_touches_fewer_files(spark, medium):
     for name, order in {"key": ["o_custkey", "o_orderdate"], "time": ["o_orderdate", "o_custkey"]}.items():
         path = scratch_path(spark, "sorted")
         layout.layout_sorted(payments, order, path, 8)
-        report = layout.files_touched(spark.read.parquet(path), {"o_custkey": (F.lit(42), F.lit(42))}).first()
-        assert report["files"] == 8
-        touched[name] = report["files_touched"]
+        report = layout.zones_touched(spark.read.parquet(path), {"o_custkey": (F.lit(42), F.lit(42))}).first()
+        assert report["zones"] == 8
+        touched[name] = report["zones_touched"]
+        blocks = layout.zones_touched(spark.read.parquet(path), {"o_custkey": (F.lit(42), F.lit(42))}, 100).first()
+        assert blocks["zones"] >= 150 and blocks["rows_touched"] <= report["rows_touched"]
     assert touched["key"] <= 2 and touched["time"] == 8
 
 
