@@ -125,3 +125,12 @@ def test_worker_functions_travel_with_the_job():
 
     code = batches.lists.__code__.co_code
     assert code in cloudpickle.dumps(batches.lists)  # the function itself, not a reference to a module
+
+
+def test_database_reads_are_partitioned():
+    from ledgerspark.sources.jdbc import read_options
+
+    options = read_options("jdbc:postgresql://host/db", "payments", "id", 1, 1000, 8, user="reader")
+    assert (options["partitionColumn"], options["numPartitions"], options["user"]) == ("id", "8", "reader")
+    with pytest.raises(ValueError):
+        read_options("jdbc:x", "t", "id", 5, 1, 8)
