@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -90,32 +92,48 @@ def join_fetch(
     )
 
 
+LEVEL_GROWTH = 16
+
+
 def overlap_join(
     left: DataFrame, right: DataFrame, keys: list[str], start: str, end: str, bucket_seconds: int
 ) -> DataFrame:
     """Pairs of half-open periods of one key that overlap, as structs ``l`` and ``r``.
 
     Both sides are cut into time buckets, so the equi-join spreads a hot key over its buckets and only compares
-    neighbours in time; a pair is given in the bucket where its overlap begins, so it appears once.
+    neighbours in time; a pair is given in the bucket where its overlap begins, so it appears once. A period
+    longer than a bucket belongs to a level of larger buckets, so that it falls in two at most, and meets shorter
+    ones there.
     """
+    seconds = _epoch(F.col(end)) - _epoch(F.col(start))
+    level = F.greatest(F.ceil(F.log(float(LEVEL_GROWTH), seconds / bucket_seconds)), F.lit(0))
+    lhs, rhs = (
+        df.filter(F.col(start) < F.col(end)).select(*[F.col(k).alias(f"_{n}_{k}") for k in keys], F.struct(*df.columns).alias(n), level.alias(f"_{n}_own"))
+        for df, n in ((left, "l"), (right, "r"))
+    )
+    # a handful of numbers: each level is sixteen times as long as the one before
+    owned = lhs.select(F.col("_l_own").alias("m")).unionByName(rhs.select(F.col("_r_own").alias("m")))
+    levels = [int(row["m"]) for row in owned.distinct().collect()]
 
     def buckets(df: DataFrame, name: str) -> DataFrame:
-        first = F.floor(_epoch(F.col(start)) / bucket_seconds)
-        last = F.floor((_epoch(F.col(end)) - 1e-6) / bucket_seconds)
-        row = F.struct(*df.columns).alias(name)
-        valid = df.filter(F.col(start) < F.col(end))
-        return valid.select(
-            *[F.col(k).alias(f"_{name}_{k}") for k in keys], row, F.explode(F.sequence(first, last)).alias(f"_{name}_bucket")
-        )
-
-    lhs, rhs = buckets(left, "l"), buckets(right, "r")
-    condition = F.col("_l_bucket") == F.col("_r_bucket")
+        parts = []
+        for m in levels:
+            width = bucket_seconds * LEVEL_GROWTH**m
+            first = F.floor(_epoch(F.col(f"{name}.{start}")) / width)
+            last = F.floor((_epoch(F.col(f"{name}.{end}")) - 1e-6) / width)
+            rows = df.filter(F.col(f"_{name}_own") <= m)
+            parts.append(rows.select("*", F.lit(m).alias(f"_{name}_level"), F.explode(F.sequence(first, last)).alias(f"_{name}_bucket")))
+        return reduce(DataFrame.unionByName, parts) if parts else df.select("*", F.lit(0).alias(f"_{name}_level"), F.lit(0).cast("bigint").alias(f"_{name}_bucket"))
+
+    condition = (F.col("_l_level") == F.col("_r_level")) & (F.col("_l_bucket") == F.col("_r_bucket"))
     for k in keys:
         condition = condition & (F.col(f"_l_{k}") == F.col(f"_r_{k}"))
     l_start, r_start = F.col(f"l.{start}"), F.col(f"r.{start}")
-    begin = F.floor(_epoch(F.greatest(l_start, r_start)) / bucket_seconds)
+    width = F.lit(bucket_seconds) * F.pow(F.lit(float(LEVEL_GROWTH)), F.col("_l_level"))
+    begin = F.floor(_epoch(F.greatest(l_start, r_start)) / width)
     overlaps = (l_start < F.col(f"r.{end}")) & (r_start < F.col(f"l.{end}")) & (begin == F.col("_l_bucket"))
-    return lhs.join(rhs, condition & overlaps).select("l", "r")
+    owner = (F.col("_l_own") == F.col("_l_level")) | (F.col("_r_own") == F.col("_r_level"))
+    return buckets(lhs, "l").join(buckets(rhs, "r"), condition & overlaps & owner).select("l", "r")
 
 
 def _epoch(at: Column) -> Column:

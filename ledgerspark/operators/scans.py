@@ -61,8 +61,6 @@ def largest_group(df: DataFrame, keys: list[str], rows_per_split: int) -> tuple[
 
 def cut(df: DataFrame, keys: list[str], order: list[str], rows_per_split: int) -> DataFrame | None:
     """``df`` written in ranges of (keys, order), with their number as ``_split``; None when no group is too large."""
-    if not keys:
-        rows_per_split = min(rows_per_split, ROWS_PER_SPLIT_GLOBAL)
     total, top = largest_group(df, keys, rows_per_split)
     if top <= rows_per_split:
         return None
@@ -138,8 +136,26 @@ def ordered_scan(
 
 
 def global_rank(df: DataFrame, order: list[str], name: str = "rank", rows_per_split: int = ROWS_PER_SPLIT_GLOBAL) -> DataFrame:
-    """1-based position of every row in ``order`` over the whole table, without a one-task sort of a large table."""
-    return ordered_scan(df, [], order, number=name, rows_per_split=rows_per_split)
+    """1-based position of every row in ``order`` over the whole table, without a one-task sort of a large table.
+
+    A table above ``rows_per_split`` is range-partitioned, sorted and written once with the position of each row
+    in its range; the number of rows in earlier ranges, one value per range, is added on reading.
+    """
+    total = df.count()
+    if total <= rows_per_split:
+        window = Window.partitionBy(F.lit(0)).orderBy(*order)
+        return df.withColumn(name, F.row_number().over(window).cast("bigint"))
+    ranges = min(MAX_SPLITS, -(-total // rows_per_split))
+    ranged = df.repartitionByRange(ranges, *order).sortWithinPartitions(*order)
+    # the upper bits of this id are the number of the range, the lower 33 the position in it
+    ranged = materialize(ranged.withColumn("_at", F.monotonically_increasing_id()), "ranked")
+    number, position = F.shiftright("_at", 33), F.col("_at").bitwiseAND(F.lit((1 << 33) - 1))
+    sizes = ranged.groupBy(number.alias("_range")).agg(F.count(F.lit(1)).alias("_size"))
+    earlier = Window.partitionBy(F.lit(0)).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select("_range", F.coalesce(F.sum("_size").over(earlier), F.lit(0)).alias("_before"))
+    # one row per range, MAX_SPLITS at most
+    joined = ranged.join(F.broadcast(offsets), number == F.col("_range"))
+    return joined.select(*df.columns, (F.col("_before") + position + 1).alias(name))
 
 
 def seq_split(rows_per_split: int, seq: str = "seq") -> Column:

@@ -118,6 +118,23 @@ def test_overlaps_across_buckets_appear_once(spark):
     assert sorted(r.id for r in joins.overlapping_periods(df, "k", "s", "e", 2).collect()) == [1, 2, 3, 4, 5]
 
 
+def test_long_and_short_periods_meet(spark):
+    import random
+
+    rng = random.Random(9)
+    rows = []
+    for i in range(120):
+        start = rng.randrange(0, 500_000)
+        rows.append((i, i % 2, start, start + rng.choice([1, 50, 3600, 4000, 70_000, 400_000, 9_000_000])))
+    base = F.lit("2024-01-01 00:00:00").cast("timestamp_ntz")
+    df = spark.createDataFrame(rows, "id int, k int, a bigint, b bigint").select(
+        "id", "k", (base + F.make_dt_interval(secs=F.col("a"))).alias("s"), (base + F.make_dt_interval(secs=F.col("b"))).alias("e")
+    )
+    got = sorted((r.left_id, r.right_id) for r in joins.range_overlap_join(df, "k", "s", "e", 3600).collect())
+    want = [(x[0], y[0]) for x in rows for y in rows if x[0] < y[0] and x[1] == y[1] and x[2] < y[3] and y[2] < x[3]]
+    assert got == sorted(want)
+
+
 def test_worker_functions_travel_with_the_job():
     from pyspark import cloudpickle
 
