@@ -85,8 +85,9 @@ def layout_inverted(df: DataFrame, key: str, document: str, path: str) -> DataFr
     members = df.select(key, F.explode(F.from_json(document, "map<string,string>")).alias("path", "member"))
     elements = F.coalesce(F.from_json("member", "array<string>"), F.array("member"))
     rows = members.select("path", F.explode(elements).alias("value"), key)
-    # the salt keeps one frequent member from becoming a single writing task
-    rows.repartition("path", F.pmod(F.xxhash64(key), F.lit(8))).sortWithinPartitions("path", "value").write.partitionBy("path").parquet(path)
+    # ranges of (path, value, id), so that neither a frequent member nor a frequent value becomes one writing task
+    ranged = rows.repartitionByRange("path", "value", key).sortWithinPartitions("path", "value", key)
+    ranged.write.partitionBy("path").parquet(path)
     return df.sparkSession.read.schema(rows.schema).parquet(path)
 
 

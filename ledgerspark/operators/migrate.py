@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerspark.operators.scans import ROWS_PER_SPLIT_GLOBAL, global_rank
-from ledgerspark.sources.store import VersionedStore
+from ledgerspark.sources.store import ConcurrentPublish, VersionedStore
 
 
 def add_column_default(spark: SparkSession, paths: list[str], schema: T.StructType, name: str, kind: T.DataType, default: str | None) -> DataFrame:
@@ -59,8 +59,11 @@ def backfill_batches(
     columns = store.read(table).columns
     ran = 0
     for i in range(len(done), len(tops)):
+        # the first range also takes rows without a key, the last one all keys above the last pending row
         low = F.lit(True) if i == 0 else F.col(key) > F.lit(tops[i - 1])
         high = F.lit(True) if i == len(tops) - 1 else F.col(key) <= F.lit(tops[i])
+        if i == 0:
+            high = high | F.col(key).isNull()
         part = store.read(table).filter(low & high).select(
             *[F.when(pending, values[c]).otherwise(F.col(c)).alias(c) if c in values else F.col(c) for c in columns]
         )
@@ -69,7 +72,10 @@ def backfill_batches(
         ran += 1
         if on_batch:
             on_batch(i)
-    store.attach(table, source["schema"], done)
+    base = store.manifest()
+    if base.tables[table]["paths"] != progress["source"]:
+        raise ConcurrentPublish(f"{table} has changed since the backfill began; run it again on the new version")
+    store.attach(table, source["schema"], done, base)
     return ran
 
 

@@ -76,6 +76,20 @@ def test_backfill_goes_on_after_a_stop(spark, store):
     assert migrate.backfill_batches(store, "t", "id", pending, values, 10) == 0
 
 
+def test_backfill_does_not_overwrite_later_rows(spark, store):
+    store.publish(replace={"t": spark.range(20).select("id", F.lit(None).cast("string").alias("ref"))})
+    values, pending = {"ref": F.lit("x")}, F.col("ref").isNull()
+
+    def new_row(i):
+        if i == 0:
+            store.publish(append={"t": spark.range(20, 21).select("id", F.lit(None).cast("string").alias("ref"))})
+
+    with pytest.raises(ConcurrentPublish):
+        migrate.backfill_batches(store, "t", "id", pending, values, 10, new_row)
+    assert migrate.backfill_batches(store, "t", "id", pending, values, 10) == 3
+    assert store.read("t").count() == 21 and store.read("t").filter(pending).count() == 0
+
+
 @pytest.mark.parametrize("split", [10, 1_000_000])
 def test_backfill_batches_are_bounded(spark, split):
     df = spark.range(100)
