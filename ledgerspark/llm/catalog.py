@@ -6,11 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerspark.llm import counts, tokens
+from ledgerspark.llm import counts, langid, simhash, tokens, toxicity
 
 QUERIES: list[Callable[[SparkSession, str], DataFrame]] = [
+    langid.op3_language,
+    simhash.op5_simhash,
     counts.op7_token_counts,
     tokens.op9_bpe_codec,
+    toxicity.op10_toxicity,
 ]
 ORACLES: dict[str, str] = {}
 
