@@ -6,12 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerspark.llm import counts, langid, simhash, tokens, toxicity
+from ledgerspark.llm import counts, decontaminate, langid, simhash, tokens, toxicity, urls
 
 QUERIES: list[Callable[[SparkSession, str], DataFrame]] = [
     langid.op3_language,
+    urls.op4_url_filter,
     simhash.op5_simhash,
     counts.op7_token_counts,
+    decontaminate.op8_decontaminate,
     tokens.op9_bpe_codec,
     toxicity.op10_toxicity,
 ]
