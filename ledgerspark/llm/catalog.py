@@ -6,12 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerspark.llm import counts, decontaminate, langid, simhash, tokens, toxicity, urls
+from ledgerspark.llm import chat, counts, decontaminate, langid, simhash, tokens, topk, toxicity, urls, warc
 
 QUERIES: list[Callable[[SparkSession, str], DataFrame]] = [
+    topk.op1_topk,
+    chat.op2_chat,
     langid.op3_language,
     urls.op4_url_filter,
     simhash.op5_simhash,
+    warc.op6_warc,
     counts.op7_token_counts,
     decontaminate.op8_decontaminate,
     tokens.op9_bpe_codec,

@@ -169,12 +169,12 @@ def digests(parts: DataFrame) -> DataFrame:
             if began:
                 yield now, n, turns.hexdigest(), chars, loss.hexdigest(), size
 
-        rows = list_rows = []
+        rows: list[tuple] = []
         for row in out():
-            list_rows.append(row)
-            if len(list_rows) >= 4096:
-                yield _table(list_rows, types[0])
-                list_rows = rows = []
+            rows.append(row)
+            if len(rows) >= 4096:
+                yield _table(rows, types[0])
+                rows = []
         if rows:
             yield _table(rows, types[0])
 

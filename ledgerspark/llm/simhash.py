@@ -192,3 +192,37 @@ def op5_simhash(spark: SparkSession, folder: str) -> DataFrame:
     """The component of every document."""
     found = near_duplicates(base.table(spark, folder, "documents"))
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` with all their columns, but of each component only that with the smallest id (null ids last, then
+    by a hash of the text); of equal rows of that kind one is left."""
+    key, name = base.unused(docs.columns, "text_key"), base.unused(docs.columns, "winner")
+    kind = docs.schema[id_col].dataType.simpleString()
+
+    def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in it:
+            values = np.array([fingerprint(t) for t in base.texts(batch, "text")], np.uint64)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(values.view(np.int64))], names=["id", "text_key", "fp"])
+
+    rows = docs.select(docs[id_col].alias("id"), F.xxhash64(docs[text_col]).alias("text_key"), docs[text_col].alias("text"))
+    found = base.materialize(rows.mapInArrow(run, f"id {kind}, text_key long, fp long"), "fingerprints")
+    first = F.min(F.struct(F.col("id").isNull().alias("no_id"), "id", "text_key"))
+    classes = found.groupBy("fp").agg(first.alias("first"))
+    parts = graph.components(links(classes.select("fp")), "a", "b")
+    named = classes.join(parts, classes["fp"] == parts["node"], "left").select("first", F.coalesce("component", "fp").alias("part"))
+    winners = named.groupBy("part").agg(F.min("first").alias("first")).select(F.col("first.id").alias("id"), F.col("first.text_key").alias("text_key"))
+    counted = found.groupBy("id", "text_key").count().select(F.col("id").alias("i"), F.col("text_key").alias("k"), "count")
+    winners = winners.join(counted, F.col("id").eqNullSafe(F.col("i")) & (F.col("text_key") == F.col("k"))).select(F.col("id").alias(name), F.col("text_key").alias(f"{name}_key"), "count")
+    winners = base.materialize(winners, "winners")
+    keyed = docs.withColumn(key, F.xxhash64(docs[text_col]))
+
+    def chosen(part: DataFrame) -> DataFrame:
+        part = part.select(name, f"{name}_key")
+        return keyed.join(part, keyed[id_col].eqNullSafe(part[name]) & (keyed[key] == part[f"{name}_key"]), "left_semi")
+
+    kept = chosen(winners.where("count = 1"))
+    repeated = winners.where("count > 1")
+    if repeated.head(1):
+        kept = kept.unionByName(chosen(repeated).dropDuplicates([id_col, key]))
+    return kept.select(*docs.columns)

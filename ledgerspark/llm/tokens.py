@@ -80,8 +80,9 @@ def decode(encoded: DataFrame, ranks: bytes | None = None, ids_col: str = "ids",
     return encoded.mapInArrow(run, f"{fields}, `{name}` binary")
 
 
-def digests(decoded: DataFrame, ids_col: str = "ids", bytes_col: str = "decoded", id_col: str = "doc_id") -> DataFrame:
-    """(id_col, n_tokens, ids_sha256, decoded_sha256) of encoded and decoded rows; the ids are joined by commas."""
+def digests(decoded: DataFrame, ids_col: str = "ids", bytes_col: str = "decoded", id_col: str = "doc_id", keep_ids: bool = False) -> DataFrame:
+    """(id_col, n_tokens, ids_sha256, decoded_sha256) of encoded and decoded rows, with the ids after id_col if wanted; for
+    the digest the ids are joined by commas."""
     kind = decoded.schema[id_col].dataType.simpleString()
     frame = decoded.select(id_col, ids_col, bytes_col)
 
@@ -97,11 +98,13 @@ def digests(decoded: DataFrame, ids_col: str = "ids", bytes_col: str = "decoded"
                 joined = ",".join(map(written.__getitem__, numbers)).encode()
                 rows.append((len(numbers), hashlib.sha256(joined).hexdigest(), hashlib.sha256(data.as_buffer()).hexdigest()))
             columns = list(zip(*rows)) or [(), (), ()]
+            kept = batch.columns[: 2 if keep_ids else 1]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(columns[0], pa.int64()), pa.array(columns[1], pa.string()), pa.array(columns[2], pa.string())],
-                names=[id_col, "n_tokens", "ids_sha256", "decoded_sha256"])
+                [*kept, pa.array(columns[0], pa.int64()), pa.array(columns[1], pa.string()), pa.array(columns[2], pa.string())],
+                names=[*(id_col, ids_col)[: len(kept)], "n_tokens", "ids_sha256", "decoded_sha256"])
 
-    return frame.mapInArrow(run, f"`{id_col}` {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    ids = f"`{ids_col}` array<int>, " if keep_ids else ""
+    return frame.mapInArrow(run, f"`{id_col}` {kind}, {ids}n_tokens long, ids_sha256 string, decoded_sha256 string")
 
 
 def op9_bpe_codec(spark: SparkSession, folder: str) -> DataFrame:

@@ -120,7 +120,7 @@ def search_cell(blocks: pa.Table, queries: pa.Table, k: int = K) -> Iterator[tup
     upper, lower, starts = np.stack(upper), np.stack(lower), np.array(starts)
     wide = np.stack([upper.max(axis=0), lower.min(axis=0)])
     kind = exact(x, wide)
-    forward, upper, lower, x = (a.astype(kind) for a in (forward, np.maximum(upper, 0) if False else upper, lower, x))
+    forward, upper, lower, x = (a.astype(kind) for a in (forward, upper, lower, x))
     floors, keys = queries.column("floor").to_pylist(), queries.column("vec_id").to_pylist()
     for start in range(0, len(keys), 512):
         part = x[start : start + 512]

@@ -268,8 +268,8 @@ def drop_toxic(docs: DataFrame, model: Model, text_col: str = "text", cut: float
 
 
 def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
-    """Score and prediction of every document, with its toxic passages."""
+    """Score and prediction of every document, with the number of its significant passages."""
     docs = base.table(spark, folder, "documents")
     model = fit(docs, base.table(spark, folder, "labels"))
     found = toxic_passages(docs, model)
-    return found.select("doc_id", base.held_out().alias("held_out"), "score", (F.col("score") >= CUT).cast("int").alias("predicted"), "passages")
+    return found.select("doc_id", base.held_out().alias("held_out"), "score", (F.col("score") >= CUT).cast("int").alias("predicted"), F.size("passages").alias("n_passages"))
