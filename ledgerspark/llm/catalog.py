@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ledgerspark.llm import chat, counts, decontaminate, langid, simhash, tokens, topk, toxicity, urls, warc
+from ledgerspark.llm.oracles import ORACLES
 
 QUERIES: list[Callable[[SparkSession, str], DataFrame]] = [
     topk.op1_topk,
@@ -20,7 +21,6 @@ QUERIES: list[Callable[[SparkSession, str], DataFrame]] = [
     tokens.op9_bpe_codec,
     toxicity.op10_toxicity,
 ]
-ORACLES: dict[str, str] = {}
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
