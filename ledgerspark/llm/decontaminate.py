@@ -15,8 +15,8 @@ from ledgerspark.llm import base
 
 #: Words per seed; an item with fewer words is one seed.
 SEED_WORDS = 4
-#: A seed is rare if so small a share of the documents has it, or if it is among the rarer share of its item's seeds.
-RARE_SHARE, RARER_OF_ITEM = 0.001, 0.75
+#: A seed is rare if so few documents or so small a share of them has it, or if it is among the rarer share of its item's seeds.
+RARE_DOCUMENTS, RARE_SHARE, RARER_OF_ITEM = 20, 0.001, 0.75
 MATCH, MISMATCH, GAP = 2, -1, -1
 #: A passage counts from half of the full score of its item; from 40 matching words on in any case.
 CUT, LONG = 0.5, 40
@@ -208,7 +208,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
         order = W.partitionBy("item").orderBy(F.coalesce("documents", F.lit(0)))
         rare = (
             grams.join(often, "seed", "left").withColumn("place", F.percent_rank().over(order))
-            .where((F.col("place") <= RARER_OF_ITEM) | (F.col("documents") <= RARE_SHARE * total))
+            .where((F.col("place") <= RARER_OF_ITEM) | (F.col("documents") <= max(RARE_DOCUMENTS, RARE_SHARE * total)))
             .groupBy("item").agg(F.collect_set("seed").alias("rare"))
         )
         joined = found.join(numbered.join(rare, "item"), "item").where(F.arrays_overlap("seeds", "rare")).select(id_col, "text_key", "row", "start", "end", "passage", "item_id", "item_text")

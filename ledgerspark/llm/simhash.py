@@ -128,7 +128,7 @@ def links(classes: DataFrame, bucket: int = BUCKET, pivots: int = PIVOTS) -> Dat
             keys, values = keys[end:], values[end:]
         yield from _stars(keys, values, marks)
 
-    compared = small.repartition("key").sortWithinPartitions("key").mapInArrow(run, "a long, b long")
+    compared = small.select("fp", "key").repartition("key").sortWithinPartitions("key").mapInArrow(run, "a long, b long")
     return compared if found is None else compared.unionByName(found)
 
 
