@@ -13,16 +13,23 @@ from ledgerspark.operators.scans import ROWS_PER_SPLIT, ordered_scan
 from ledgerspark.session import discard, materialize
 
 
-def query_stats(log: DataFrame, width: int = 70) -> DataFrame:
-    """Calls, total and mean time, rows and blocks per statement (query, ms, rows, blocks), literals folded."""
+def query_stats(log: DataFrame, width: int = 70, top: int | None = None) -> DataFrame:
+    """Calls, total and mean time, rows and blocks per statement (query, ms, rows, blocks), literals folded.
+
+    Statements are told apart by their whole text, only what is shown is cut. ``top`` gives the costliest ones, the
+    largest total time first.
+    """
     text = F.regexp_replace(F.regexp_replace(F.col("query"), r"'[^']*'|\b\d+\b", "?"), r"\s+", " ")
-    return log.groupBy(F.left(F.trim(text), F.lit(width)).alias("query")).agg(
+    stats = log.groupBy(F.trim(text).alias("_text")).agg(
         F.count(F.lit(1)).alias("calls"),
         F.round(F.sum("ms"), 1).alias("total_ms"),
         F.round(F.sum("ms") / F.count(F.lit(1)), 2).alias("mean_ms"),
         F.sum("rows").alias("rows"),
         F.sum("blocks").alias("blocks"),
     )
+    if top is not None:
+        stats = stats.orderBy(F.desc("total_ms"), "_text").limit(top)
+    return stats.select(F.left("_text", F.lit(width)).alias("query"), "calls", "total_ms", "mean_ms", "rows", "blocks")
 
 
 def before_after(log: DataFrame, key: str) -> DataFrame:
@@ -51,34 +58,60 @@ def wait_pairs(sessions: DataFrame, as_of: Column) -> DataFrame:
     )
 
 
-def wait_cycles(edges: DataFrame) -> DataFrame:
+def wait_cycles(edges: DataFrame, on_round=None) -> DataFrame:
     """Sessions of the wait-for graph (waiting_pid, blocking_pid) that can never go on: those on a cycle
-    (``on_cycle``) and those queued behind one.
+    (``on_cycle``, or between two cycles) and those queued behind one.
 
-    A session whose blockers can all finish will finish too, so it is taken out together with its edges, round
-    by round until nothing changes; what is left waits for ever. The same from the other end, taking out what
-    nobody waits for, leaves the cycles. The edges shrink with every round; there is no limit on their length.
+    A session can never go on if its blockers lead to a cycle; looked at from the other end, those that a cycle
+    leads to as well make up the cycles.
     """
+    distinct = materialize(edges.select("waiting_pid", "blocking_pid").distinct(), "edges")
+    stuck = _reaches_cycle(distinct.toDF("a", "b"), on_round)
+    inside = distinct.join(stuck, F.col("waiting_pid") == F.col("pid"), "left_semi")
+    on = _reaches_cycle(inside.select(F.col("blocking_pid").alias("a"), F.col("waiting_pid").alias("b")), on_round)
+    on = on.select(F.col("pid").alias("_c"))
+    return stuck.join(on, F.col("pid") == F.col("_c"), "left").select("pid", F.col("_c").isNotNull().alias("on_cycle"))
+
 
-    def shrink(rows: DataFrame, end: str, other: str) -> DataFrame:
-        rows = materialize(rows, "edges")  # a copy of its own, which the first round may remove
-        size = rows.count()
-        while size:
-            keys, before = rows.select(F.col(other).alias("_k")).distinct(), rows
-            rows = materialize(rows.join(keys, F.col(end) == F.col("_k"), "left_semi"), "edges")
-            discard(before)
-            smaller = rows.count()
-            if smaller == size:
-                break
-            size = smaller
-        return rows
-
-    distinct = edges.select("waiting_pid", "blocking_pid").distinct()
-    stuck = shrink(distinct, "blocking_pid", "waiting_pid")  # keep edges whose blocker waits itself
-    cycles = shrink(stuck, "waiting_pid", "blocking_pid")  # keep edges whose waiter is waited for
-    on = cycles.select(F.col("waiting_pid").alias("_c")).distinct()
-    pids = stuck.select(F.col("waiting_pid").alias("pid")).distinct()
-    return pids.join(on, F.col("pid") == F.col("_c"), "left").select("pid", F.col("_c").isNotNull().alias("on_cycle"))
+def _reaches_cycle(edges: DataFrame, on_round=None) -> DataFrame:
+    """(pid) of the nodes from which the edges a -> b lead to a cycle.
+
+    A node with a single edge follows it by doubling: after k rounds its pointer is 2**k steps further, or at the first
+    node with several edges or none. Once a round brings no more pointers to such an end, those that still move go round
+    a cycle. What is left are the nodes with several edges: one whose edges all end is taken out, round by round.
+    """
+    degree = materialize(edges.groupBy("a").agg(F.count(F.lit(1)).alias("n"), F.max("b").alias("to")), "degrees")
+    single = degree.filter("n = 1").select(F.col("a").alias("v"), F.col("to").alias("at"), F.lit(True).alias("moved"))
+    pointer, rounds = materialize(single, "pointers"), 0
+    moved, before = pointer.count(), -1
+    while moved and moved != before:
+        step = pointer.select(F.col("v").alias("_v"), F.col("at").alias("_at"))
+        further = pointer.join(step, F.col("at") == F.col("_v"), "left")
+        old, pointer = pointer, materialize(further.select("v", F.coalesce("_at", "at").alias("at"), F.col("_v").isNotNull().alias("moved")), "pointers")
+        discard(old)
+        moved, before = pointer.filter("moved").count(), moved
+        rounds += 1
+        if on_round:
+            on_round(rounds)
+    ends = pointer.select("v", "at", F.col("moved").alias("endless"))
+    several = edges.join(degree.filter("n > 1").select(F.col("a").alias("_b")), F.col("a") == F.col("_b"), "left_semi")
+    rows = materialize(
+        several.join(ends, F.col("b") == F.col("v"), "left").select("a", F.coalesce("at", "b").alias("b"), F.coalesce("endless", F.lit(False)).alias("endless")).distinct(), "edges")
+    size = rows.count()
+    while size:
+        alive, before = rows.select(F.col("a").alias("_a")).distinct(), rows
+        kept = rows.join(alive, F.col("b") == F.col("_a"), "left")
+        rows = materialize(kept.filter(F.col("endless") | F.col("_a").isNotNull()).select("a", "b", "endless"), "edges")
+        discard(before)
+        smaller = rows.count()
+        if on_round:
+            on_round(rounds)
+        if smaller == size:
+            break
+        size = smaller
+    left = rows.select(F.col("a").alias("pid")).distinct()
+    behind = ends.join(left, F.col("at") == F.col("pid"), "left").filter(F.col("endless") | F.col("pid").isNotNull())
+    return materialize(left.unionByName(behind.select(F.col("v").alias("pid"))).distinct(), "stuck")
 
 
 def root_blockers(edges: DataFrame) -> DataFrame:

@@ -10,7 +10,8 @@ from ledgerspark.operators import diagnostics as D
 from ledgerspark.plans.registry import query
 
 QUERY_LOG = """query_log AS (
-  SELECT event_id, concat('SELECT   * FROM ', event_type, ' WHERE id = ', CAST(event_id AS VARCHAR), ' AND owner = ''u', CAST(user_id AS VARCHAR), '''') AS query,
+  SELECT event_id, concat('SELECT   * FROM ', event_type, ' WHERE id = ', CAST(event_id AS VARCHAR), ' AND owner = ''u', CAST(user_id AS VARCHAR),
+         ''' ORDER BY created_at, updated_at, id FOR ', CASE WHEN user_id % 2 = 0 THEN 'UPDATE' ELSE 'SHARE' END) AS query,
          event_type, value AS ms, event_id % 17 AS rows, event_id % 101 AS blocks,
          CASE WHEN event_id % 2 = 0 THEN 'before' ELSE 'after' END AS phase FROM events)"""
 
@@ -18,7 +19,8 @@ QUERY_LOG = """query_log AS (
 def query_log(v):
     event = F.col("event_id")
     text = F.concat(
-        F.lit("SELECT   * FROM "), "event_type", F.lit(" WHERE id = "), event, F.lit(" AND owner = 'u"), "user_id", F.lit("'")
+        F.lit("SELECT   * FROM "), "event_type", F.lit(" WHERE id = "), event, F.lit(" AND owner = 'u"), "user_id",
+        F.lit("' ORDER BY created_at, updated_at, id FOR "), F.when(F.col("user_id") % 2 == 0, "UPDATE").otherwise("SHARE")
     )
     return v.table("events").select(
         "event_id", text.alias("query"), "event_type", F.col("value").alias("ms"), (event % 17).alias("rows"),
@@ -26,13 +28,23 @@ def query_log(v):
     )
 
 
-@query("""SELECT left(regexp_replace(regexp_replace(query, '''[^'']*''|\\b[0-9]+\\b', '?', 'g'), '\\s+', ' ', 'g'), 70) AS query,
-  count(*) AS calls, round(sum(ms), 1) AS total_ms, round(sum(ms) / count(*), 2) AS mean_ms,
-  CAST(sum(rows) AS BIGINT) AS rows, CAST(sum(blocks) AS BIGINT) AS blocks FROM query_log GROUP BY 1""", also=QUERY_LOG)
+STATEMENTS = """SELECT left(statement, 70) AS query, calls, total_ms, mean_ms, rows, blocks FROM (
+  SELECT regexp_replace(regexp_replace(query, '''[^'']*''|\\b[0-9]+\\b', '?', 'g'), '\\s+', ' ', 'g') AS statement,
+    count(*) AS calls, round(sum(ms), 1) AS total_ms, round(sum(ms) / count(*), 2) AS mean_ms,
+    CAST(sum(rows) AS BIGINT) AS rows, CAST(sum(blocks) AS BIGINT) AS blocks FROM query_log GROUP BY 1)"""
+
+
+@query(STATEMENTS, also=QUERY_LOG)
 def query_stats(v):
+    """Statements that only differ behind the part that is shown are rows of their own."""
     return D.query_stats(query_log(v))
 
 
+@query(STATEMENTS + " ORDER BY total_ms DESC, statement LIMIT 3", also=QUERY_LOG)
+def query_stats_top(v):
+    return D.query_stats(query_log(v), top=3)
+
+
 @query("""SELECT event_type, count(*) FILTER (WHERE phase = 'before') AS before_calls, count(*) FILTER (WHERE phase = 'after') AS after_calls,
   round(sum(ms) FILTER (WHERE phase = 'before') / count(*) FILTER (WHERE phase = 'before'), 3) AS before_mean_ms,
   round(sum(ms) FILTER (WHERE phase = 'after') / count(*) FILTER (WHERE phase = 'after'), 3) AS after_mean_ms,
@@ -57,11 +69,12 @@ def wait_pairs(v):
     return D.wait_pairs(v.sessions, F.lit("2024-02-01 00:00:00").cast("timestamp_ntz"))
 
 
-@query("""SELECT w.waiting_pid AS pid, w.waiting_pid % 100 IN (50, 51) AS on_cycle FROM (
-  WITH RECURSIVE behind AS (
-    SELECT waiting_pid AS pid FROM pairs p WHERE waiting_pid % 100 IN (50, 51)
-    UNION SELECT p.waiting_pid FROM pairs p JOIN behind b ON b.pid = p.blocking_pid)
-  SELECT pid AS waiting_pid FROM behind) w""", also=PAIRS)
+@query("""SELECT pid, on_cycle FROM (
+  WITH RECURSIVE reach AS (
+    SELECT waiting_pid AS pid, blocking_pid AS dest FROM pairs
+    UNION SELECT r.pid, p.blocking_pid FROM reach r JOIN pairs p ON p.waiting_pid = r.dest),
+  cyclic AS (SELECT DISTINCT pid FROM reach WHERE pid = dest)
+  SELECT DISTINCT pid, pid IN (SELECT pid FROM cyclic) AS on_cycle FROM reach WHERE dest IN (SELECT pid FROM cyclic))""", also=PAIRS)
 def wait_cycles(v):
     return D.wait_cycles(pairs(v))
 

@@ -151,3 +151,36 @@ def test_database_reads_are_partitioned():
     assert (options["partitionColumn"], options["numPartitions"], options["user"]) == ("id", "8", "reader")
     with pytest.raises(ValueError):
         read_options("jdbc:x", "t", "id", 5, 1, 8)
+
+
+def test_long_chains_of_waiters_take_few_rounds(spark):
+    rounds = []
+    chain = [(i, i + 1) for i in range(1000)]
+    behind = [(2000 + i, 2001 + i) for i in range(300)] + [(2300, 2290)]
+    edges = spark.createDataFrame(chain + behind, "waiting_pid bigint, blocking_pid bigint")
+    got = {r.pid: r.on_cycle for r in diagnostics.wait_cycles(edges, rounds.append).collect()}
+    assert got == {2000 + i: i >= 290 for i in range(301)}
+    assert len(rounds) < 30
+
+
+def test_words_in_any_language(spark):
+    df = spark.createDataFrame([(1, "éthe license"), (2, "Лицензия на код"), (3, "лицензия2"), (4, "the été."), (5, None)], "id int, t string")
+    from ledgerspark.functions.scalars import has_word
+
+    def found(word):
+        return [r.id for r in df.filter(has_word("t", word)).collect()]
+
+    assert found("the") == [4] and found("лицензия") == [2] and found("Été") == [4]
+    with pytest.raises(ValueError):
+        has_word("t", "two words")
+
+
+def test_short_periods_do_not_meet_because_of_a_long_one(spark):
+    import datetime as dt
+
+    day = dt.timedelta(days=1)
+    at = dt.datetime(2020, 1, 1)
+    rows = [(i, 1, at + i * day, at + i * day + day / 2) for i in range(400)] + [(1000, 1, at, at + 4000 * day)]
+    df = spark.createDataFrame(rows, "id bigint, k int, s timestamp_ntz, e timestamp_ntz")
+    pairs = {(r.left_id, r.right_id) for r in joins.range_overlap_join(df, "k", "s", "e", 86400).collect()}
+    assert pairs == {(i, 1000) for i in range(400)}
