@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ledgerspark.functions.batches import extended, lists
 from ledgerspark.functions.scalars import request_hash
-from ledgerspark.operators.scans import ROWS_PER_SPLIT, ROWS_PER_SPLIT_GLOBAL, global_rank, largest_group, seq_split
+from ledgerspark.operators.scans import ROWS_PER_SPLIT, global_rank, hot_keys, seq_split
 from ledgerspark.session import materialize
 
 
@@ -50,12 +50,11 @@ def optimistic_updates(rows: DataFrame, commands: DataFrame, rows_per_split: int
     start = rows.select(F.col("id").alias("_id"), F.col("version").alias("_start"))
     joined = commands.join(start, F.col("row_id") == F.col("_id"), "left").drop("_id")
     joined = joined.withColumn("_start", F.coalesce("_start", F.lit(-1).cast("bigint")))
-    _, largest = largest_group(commands, ["row_id"], rows_per_split)
-    if largest <= rows_per_split:
+    hot = hot_keys(commands, ["row_id"], rows_per_split)
+    if hot is None:
         return _follow(joined.withColumn("_split", F.lit(0).cast("bigint")), columns)
-    # each of these rows has more than rows_per_split commands, so there are few of them
-    hot = commands.groupBy(F.col("row_id").alias("_hot")).count().filter(F.col("count") > rows_per_split).select("_hot")
-    marked = joined.join(F.broadcast(hot), F.col("row_id") == F.col("_hot"), "left")
+    hot = hot.select(F.col("_h_row_id").alias("_hot"))
+    marked = joined.join(hot, F.col("row_id") == F.col("_hot"), "left")
     part = F.when(F.col("_hot").isNotNull(), seq_split(rows_per_split)).otherwise(0)
     marked = materialize(marked.withColumn("_split", part), "commands")
     begins = materialize(_walk(_range_maps(marked.filter(F.col("_hot").isNotNull()))), "begins")
@@ -265,11 +264,16 @@ def access_checks(tokens: DataFrame, uses: DataFrame) -> DataFrame:
 # ---- queues and errors
 
 
-def claim_jobs(jobs: DataFrame, workers: int, per_worker: int, rows_per_split: int = ROWS_PER_SPLIT_GLOBAL) -> DataFrame:
-    """READY jobs in id order, ``per_worker`` for each worker in turn; jobs beyond the last worker stay unclaimed (NULL)."""
-    ranked = global_rank(jobs.filter(F.col("status") == "READY"), ["id"], "_rank", rows_per_split)
-    worker = F.floor((F.col("_rank") - 1) / per_worker)
-    return ranked.withColumn("worker", F.when(worker < workers, worker)).drop("_rank")
+def claim_jobs(jobs: DataFrame, workers: int, per_worker: int) -> DataFrame:
+    """READY jobs in id order, ``per_worker`` for each worker in turn; jobs beyond the last worker stay unclaimed (NULL).
+
+    Only as many ids as can be claimed are ranked. ``id`` is unique.
+    """
+    ready = jobs.filter(F.col("status") == "READY")
+    first = ready.select(F.col("id").alias("_claimed")).orderBy("_claimed").limit(workers * per_worker)
+    ranked = global_rank(first, ["_claimed"], "_rank")
+    claimed = ranked.select("_claimed", F.floor((F.col("_rank") - 1) / per_worker).alias("worker"))
+    return ready.join(claimed, F.col("id") == F.col("_claimed"), "left").drop("_claimed")
 
 
 # fixed values: error classes and whether the whole transaction may be run again

@@ -93,7 +93,7 @@ def _phases(rows: DataFrame, columns: list[str], rows_per_split: int) -> DataFra
     is_small = amount * 2 <= now
     done = []
     while True:
-        with_state = left.select(*columns).join(F.broadcast(state), F.col("account_id") == F.col("_payer")).drop("_payer")
+        with_state = left.select(*columns).join(state, F.col("account_id") == F.col("_payer")).drop("_payer")
         scanned = ordered_scan(
             with_state.withColumn("_small", F.when(is_small, amount).otherwise(0)), ["account_id"], ["seq"],
             running={"_used": Running("sum", "_small", inclusive=False)}, split=seq_split(rows_per_split),
@@ -105,7 +105,7 @@ def _phases(rows: DataFrame, columns: list[str], rows_per_split: int) -> DataFra
             F.min("seq").alias("_end"), F.min_by(now - used - amount, "seq").alias("_next")
         )
         closing = materialize(closing, "ends")
-        marked = scanned.join(F.broadcast(closing), F.col("account_id") == F.col("_payer"), "left").drop("_payer")
+        marked = scanned.join(closing, F.col("account_id") == F.col("_payer"), "left").drop("_payer")
         # a debit above the balance is settled wherever it stands, since the balance never grows
         settled = end.isNull() | (F.col("seq") <= end) | (amount > now)
         applies = (is_small & (end.isNull() | (F.col("seq") <= end))) | F.coalesce(F.col("seq") == end, F.lit(False))
@@ -116,7 +116,7 @@ def _phases(rows: DataFrame, columns: list[str], rows_per_split: int) -> DataFra
         state = materialize(balances.join(sizes, F.col("_payer") == F.col("_account")).drop("_account"), "state")
         # accounts with few open debits are finished in one pass
         few = state.filter(F.col("_left") <= rows_per_split).select("_payer", F.col("_now").alias("_balance"))
-        rest = left.join(F.broadcast(few), F.col("account_id") == F.col("_payer")).drop("_payer")
+        rest = left.join(few, F.col("account_id") == F.col("_payer")).drop("_payer")
         done.append(_fold(rest, columns))
         state = state.filter(F.col("_left") > rows_per_split).drop("_left")
         if not state.limit(1).count():

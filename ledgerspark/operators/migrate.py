@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerspark.operators.scans import ROWS_PER_SPLIT_GLOBAL, global_rank
+from ledgerspark.operators.scans import global_rank
 from ledgerspark.sources.store import ConcurrentPublish, VersionedStore
 
 
@@ -21,9 +21,9 @@ def add_column_default(spark: SparkSession, paths: list[str], schema: T.StructTy
     return spark.read.schema(wider).parquet(*paths)
 
 
-def backfill_ranges(df: DataFrame, key: str, pending: Column, batch_rows: int, rows_per_split: int = ROWS_PER_SPLIT_GLOBAL) -> list:
+def backfill_ranges(df: DataFrame, key: str, pending: Column, batch_rows: int) -> list:
     """Upper key of each batch, so that a batch holds at most ``batch_rows`` pending rows. ``key`` is unique."""
-    ranked = global_rank(df.filter(pending).select(key), [key], "_rank", rows_per_split)
+    ranked = global_rank(df.filter(pending).select(key), [key], "_rank")
     batch = F.floor((F.col("_rank") - 1) / batch_rows).alias("_batch")
     tops = ranked.groupBy(batch).agg(F.max(key).alias("top")).orderBy("_batch")
     return [row["top"] for row in tops.collect()]  # one value per batch: the loop below runs once for each
@@ -37,7 +37,6 @@ def backfill_batches(
     values: dict[str, Column],
     batch_rows: int,
     on_batch: Callable[[int], None] | None = None,
-    rows_per_split: int = ROWS_PER_SPLIT_GLOBAL,
 ) -> int:
     """Fill columns of the pending rows in batches of bounded size, and publish the table when none is left.
 
@@ -50,7 +49,7 @@ def backfill_batches(
     source = manifest.tables[table]
     progress = json.loads(manifest.notes.get(note, "null"))
     if progress is None or progress["source"] != source["paths"]:
-        tops = backfill_ranges(store.read(table), key, pending, batch_rows, rows_per_split)
+        tops = backfill_ranges(store.read(table), key, pending, batch_rows)
         if not tops:
             return 0
         progress = {"source": source["paths"], "tops": tops, "done": []}
@@ -107,18 +106,33 @@ def require_column(df: DataFrame, column: str) -> DataFrame:
 CHANGES = {"widen text": (False, False), "narrow text": (True, True), "other type": (True, True)}
 
 
-def change_type(df: DataFrame, column: str, to: str) -> DataFrame:
-    """The table with a column cast to another type; a value that does not fit becomes NULL in the cast, see
-    ``change_violations``."""
-    return df.withColumn(column, F.col(column).try_cast(to))
+def change_type(df: DataFrame, column: str, to: str, max_length: int | None = None) -> DataFrame:
+    """The table with a column of another type, or of another length for text: a value that does not fit stops the job.
+
+    Widening text never stops. ``change_violations`` lists the rows in the way, ``change_split`` parts them from the others.
+    """
+    kind = "string" if max_length is not None else to
+    stop = F.raise_error(F.concat(F.lit(f"{column} does not fit: "), F.col(column).cast("string"))).cast(kind)
+    changed = F.when(_lost(column, to, max_length), stop).otherwise(F.col(column).try_cast(kind))
+    return df.withColumn(column, changed)
 
 
 def change_violations(df: DataFrame, column: str, to: str, max_length: int | None = None) -> DataFrame:
     """Rows whose value does not survive the change: lost by the cast, or longer than ``max_length``."""
+    return df.filter(_lost(column, to, max_length))
+
+
+def change_split(df: DataFrame, column: str, to: str, max_length: int | None = None) -> DataFrame:
+    """All rows with ``fits``, and in ``changed`` the new value of those that fit (NULL for the others, whose old value stays)."""
+    lost = _lost(column, to, max_length)
+    return df.withColumn("fits", ~lost).withColumn("changed", F.when(~lost, F.col(column).try_cast("string" if max_length is not None else to)))
+
+
+def _lost(column: str, to: str, max_length: int | None) -> Column:
     lost = F.col(column).isNotNull() & F.col(column).try_cast(to).isNull()
     if max_length is not None:
-        lost = lost | (F.length(F.col(column)) > max_length)
-    return df.filter(lost)
+        lost = lost | F.coalesce(F.length(F.col(column)) > max_length, F.lit(False))
+    return lost
 
 
 def change_plan(steps: list[tuple[str, str, str]]) -> list[dict]:

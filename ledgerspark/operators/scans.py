@@ -1,10 +1,10 @@
 """Running values over ordered groups, safe when one group holds a large part of all rows.
 
-A window puts a whole group into one task. ``ordered_scan`` first counts the groups. Where every group is within
-``rows_per_split`` it is a plain window. Otherwise the rows are range-partitioned by (keys, order), which cuts a
-large group into several ranges, and written once with the number of their range, so that the cut never moves.
-Each range is scanned as a group of its own, and what the earlier ranges of a group contribute is carried over
-from one aggregate row per group and range.
+A window puts a whole group into one task. ``ordered_scan`` first looks for groups above ``rows_per_split`` with one
+aggregate. Without any it is a plain window. Otherwise only the rows of those groups are range-partitioned by (keys, order),
+which cuts a large group into several ranges, and written once with the number of their range, so that the cut never
+moves; all other rows go through the window. Each range is scanned as a group of its own, and what the earlier ranges of a
+group contribute is carried over from one aggregate row per group and range.
 """
 
 from __future__ import annotations
@@ -17,9 +17,8 @@ from pyspark.sql import functions as F
 from ledgerspark.session import materialize
 
 ROWS_PER_SPLIT = 4_000_000
-# one ordering of a whole table has no other groups to keep the tasks busy, so it is cut earlier
-ROWS_PER_SPLIT_GLOBAL = 1_000_000
-MAX_SPLITS = 20_000
+# ranges are summed in blocks of so many, so that no task gets the ranges of a whole table
+RANGES_PER_BLOCK = 4096
 
 
 @dataclass(frozen=True)
@@ -50,23 +49,36 @@ class Running:
         return (F.greatest if self.fn == "max" else F.least)(local, carry)
 
 
-def largest_group(df: DataFrame, keys: list[str], rows_per_split: int) -> tuple[int, int]:
-    """(rows, rows of the largest group); the groups are only counted when the table is large enough to matter."""
-    total = df.count()
-    if total <= rows_per_split or not keys:
-        return total, total
-    top = df.groupBy(*keys).count().agg(F.max("count")).first()[0]
-    return total, top or 0
+def hot_keys(df: DataFrame, keys: list[str], rows_per_split: int) -> DataFrame | None:
+    """The groups above ``rows_per_split`` as a written table (columns ``_h_<key>`` and ``_rows``), None if there is none."""
+    counts = df.groupBy(*[F.col(k).alias(f"_h_{k}") for k in keys]).agg(F.count(F.lit(1)).alias("_rows"))
+    hot = materialize(counts.filter(F.col("_rows") > rows_per_split), "hot")
+    return hot if hot.limit(1).count() else None
 
 
-def cut(df: DataFrame, keys: list[str], order: list[str], rows_per_split: int) -> DataFrame | None:
-    """``df`` written in ranges of (keys, order), with their number as ``_split``; None when no group is too large."""
-    total, top = largest_group(df, keys, rows_per_split)
-    if top <= rows_per_split:
-        return None
-    ranges = min(MAX_SPLITS, -(-total // rows_per_split))
-    ranged = df.repartitionByRange(ranges, *keys, *order)
-    return materialize(ranged.withColumn("_split", F.spark_partition_id()), "ranges")
+def same_keys(keys: list[str]) -> Column:
+    condition = F.lit(True)
+    for k in keys:
+        condition = condition & F.col(k).eqNullSafe(F.col(f"_h_{k}"))
+    return condition
+
+
+def cut(df: DataFrame, keys: list[str], order: list[str], rows_per_split: int) -> tuple[DataFrame, DataFrame] | None:
+    """(rows of the large groups, written in ranges of (keys, order) with their number as ``_split``; all other rows), or None
+    when no group is too large."""
+    if not keys:
+        total = df.count()
+        if total <= rows_per_split:
+            return None
+        large, rest = df, df.limit(0)
+    else:
+        hot = hot_keys(df, keys, rows_per_split)
+        if hot is None:
+            return None
+        total = hot.agg(F.sum("_rows")).first()[0]
+        large, rest = df.join(hot, same_keys(keys), "left_semi"), df.join(hot, same_keys(keys), "left_anti")
+    ranged = large.repartitionByRange(-(-total // rows_per_split), *keys, *order)
+    return materialize(ranged.withColumn("_split", F.spark_partition_id()), "ranges"), rest
 
 
 def ordered_scan(
@@ -92,10 +104,10 @@ def ordered_scan(
     columns = df.columns
     if number:
         running[number] = Running("count", F.lit(1))
-    ranged = df.withColumn("_split", split) if split is not None else cut(df, keys, order, rows_per_split)
-    group = list(keys)
-    if ranged is not None:
-        df, group = ranged, [*keys, "_split"]
+    parts = (df.withColumn("_split", split), None) if split is not None else cut(df, keys, order, rows_per_split)
+    group, rest = list(keys), None
+    if parts is not None:
+        (df, rest), group = parts, [*keys, "_split"]
     sorting = [F.col(o).desc() if descending else F.col(o).asc() for o in order]
     window = Window.partitionBy(*(group or [F.lit(0)])).orderBy(*sorting)
     local = df.select(
@@ -103,14 +115,14 @@ def ordered_scan(
         *[r.over(window).alias(f"_r_{n}") for n, r in running.items()],
         *[F.lag(F.struct(F.col(c).alias("v"))).over(window).alias(f"_p_{n}") for n, c in previous.items()],
     )
-    if ranged is None:
+    if parts is None:
         return local.select(
             *columns,
             *[F.col(f"_r_{n}").alias(n) for n in running],
             *[F.col(f"_p_{n}").getField("v").alias(n) for n in previous],
         )
     last = F.min_by if descending else F.max_by
-    parts = df.groupBy(*group).agg(
+    totals = df.groupBy(*group).agg(
         F.count(F.lit(1)).alias("_rows"),
         *[r.total().alias(f"_t_{n}") for n, r in running.items()],
         *[last(F.struct(F.col(c).alias("v")), F.struct(*order)).alias(f"_l_{n}") for n, c in previous.items()],
@@ -118,7 +130,7 @@ def ordered_scan(
     along = F.col("_split").desc() if descending else F.col("_split").asc()
     between = Window.partitionBy(*(keys or [F.lit(0)])).orderBy(along)
     before = between.rowsBetween(Window.unboundedPreceding, -1)
-    carried = parts.select(
+    carried = totals.select(
         *[F.col(g).alias(f"_c_{g}") for g in group],
         F.lag("_rows").over(between).alias("_before"),
         *[getattr(F, r.merge_fn())(f"_t_{n}").over(before).alias(f"_c_r_{n}") for n, r in running.items()],
@@ -128,36 +140,42 @@ def ordered_scan(
     for g in group:
         condition = condition & local[g].eqNullSafe(carried[f"_c_{g}"])
     joined = local.join(carried, condition, "left")
-    return joined.select(
+    result = joined.select(
         *columns,
         *[r.merge(F.col(f"_r_{n}"), F.col(f"_c_r_{n}")).alias(n) for n, r in running.items()],
         *[F.coalesce(f"_p_{n}", f"_c_p_{n}").getField("v").alias(n) for n in previous],
     )
+    if rest is None or not keys:
+        return result
+    window = Window.partitionBy(*keys).orderBy(*sorting)
+    return result.unionByName(rest.select(
+        *columns,
+        *[r.over(window).alias(n) for n, r in running.items()],
+        *[F.lag(F.struct(F.col(c).alias("v"))).over(window).getField("v").alias(n) for n, c in previous.items()],
+    ))
 
 
-def global_rank(df: DataFrame, order: list[str], name: str = "rank", rows_per_split: int = ROWS_PER_SPLIT_GLOBAL) -> DataFrame:
-    """1-based position of every row in ``order`` over the whole table, without a one-task sort of a large table.
+def global_rank(df: DataFrame, order: list[str], name: str = "rank", ranges: int | None = None) -> DataFrame:
+    """1-based position of every row in ``order`` over the whole table, without a one-task sort.
 
-    A table above ``rows_per_split`` is range-partitioned, sorted and written once with the position of each row
-    in its range; the number of rows in earlier ranges, one value per range, is added on reading.
+    The table is range-partitioned, sorted and written once with the position of each row in its range; the number of rows
+    in earlier ranges, one value per range, is added on reading. ``ranges`` is that of the session's shuffles by default.
     """
-    total = df.count()
-    if total <= rows_per_split:
-        window = Window.partitionBy(F.lit(0)).orderBy(*order)
-        return df.withColumn(name, F.row_number().over(window).cast("bigint"))
-    ranges = min(MAX_SPLITS, -(-total // rows_per_split))
-    ranged = df.repartitionByRange(ranges, *order).sortWithinPartitions(*order)
+    ranged = df.repartitionByRange(ranges, *order) if ranges else df.repartitionByRange(*order)
     # the upper bits of this id are the number of the range, the lower 33 the position in it
-    ranged = materialize(ranged.withColumn("_at", F.monotonically_increasing_id()), "ranked")
+    ranged = materialize(ranged.sortWithinPartitions(*order).withColumn("_at", F.monotonically_increasing_id()), "ranked")
     number, position = F.shiftright("_at", 33), F.col("_at").bitwiseAND(F.lit((1 << 33) - 1))
-    sizes = ranged.groupBy(number.alias("_range")).agg(F.count(F.lit(1)).alias("_size"))
-    earlier = Window.partitionBy(F.lit(0)).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select("_range", F.coalesce(F.sum("_size").over(earlier), F.lit(0)).alias("_before"))
-    # one row per range, MAX_SPLITS at most
-    joined = ranged.join(F.broadcast(offsets), number == F.col("_range"))
+    block = F.floor(F.col("_range") / RANGES_PER_BLOCK)
+    sizes = ranged.groupBy(number.alias("_range")).agg(F.count(F.lit(1)).alias("_size")).withColumn("_block", block)
+    within = Window.partitionBy("_block").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    across = Window.partitionBy(F.lit(0)).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = sizes.groupBy("_block").agg(F.sum("_size").alias("_whole")).select(F.col("_block").alias("_b"), F.sum("_whole").over(across).alias("_ahead"))
+    offsets = sizes.withColumn("_near", F.sum("_size").over(within)).join(blocks, F.col("_block") == F.col("_b")).select(
+        "_range", (F.coalesce("_near", F.lit(0)) + F.coalesce("_ahead", F.lit(0))).alias("_before"))
+    joined = ranged.join(offsets, number == F.col("_range"))
     return joined.select(*df.columns, (F.col("_before") + position + 1).alias(name))
 
 
 def seq_split(rows_per_split: int, seq: str = "seq") -> Column:
-    """Ranges of a whole-number order that is unique inside a group: none holds more than ``rows_per_split`` rows of it."""
+    """Ranges of a whole-number order that is dense inside a group: none holds more than ``rows_per_split`` rows of it."""
     return F.floor(F.col(seq) / F.lit(rows_per_split))

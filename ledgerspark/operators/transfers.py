@@ -9,8 +9,10 @@ front, the fixpoint is unique, and it equals serial execution.
 An account that has the money for all its debits without any credit is not ordered at all, and most requests of
 such accounts are settled before the first round. For the others a round goes through each account's entries in order, so a chain of rejections inside one account is settled in
 one round; only effects on other accounts take further rounds, and these only look at the accounts concerned.
-Accounts with very many entries are decided by a distributed running sum instead. Every round is a written
-table, so lineage stays short.
+An account with very many entries is cut into ranges of at most ``rows_per_split`` entries, which are followed side by
+side, each from the balance that the decisions of the round before give it. A range is right one round after the ranges
+before it at the latest, so the rounds grow with the ranges, not with the rows, of such an account. Every round is a
+written table, so lineage stays short.
 """
 
 from __future__ import annotations
@@ -19,16 +21,15 @@ from collections.abc import Iterator
 from functools import reduce
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerspark.functions.batches import extended, lists
 from ledgerspark.functions.scalars import is_request_name, stable_id
-from ledgerspark.operators.scans import ROWS_PER_SPLIT, Running, ordered_scan, seq_split
+from ledgerspark.operators.scans import ROWS_PER_SPLIT
 from ledgerspark.session import discard, materialize
 
 PAYLOAD = ["from_account", "to_account", "amount_minor"]
-BROADCAST_ROWS = 1_000_000
 
 
 def apply_transfers(
@@ -116,12 +117,14 @@ def _decide(candidates: DataFrame, rows_per_split: int, on_round=None) -> DataFr
     open_rows = start.filter("NOT settled").drop("settled")
     if not open_rows.limit(1).count():
         return settled.select(*result)
-    credits = materialize(settled.filter("matters").select("seq", "to_account", "amount_minor", "to_hot"), "credits")
+    credits = settled.filter("matters").select("seq", "to_account", "amount_minor", "to_hot")
     any_hot = open_rows.filter("hot").limit(1).count() > 0
-    state, concerned = open_rows, None
+    ranges = _ranges(open_rows, credits, rows_per_split) if any_hot else None
+    credits = materialize(_placed(credits, ranges, "to_account", "to_range"), "credits")
+    state, concerned = _placed(_placed(open_rows, ranges, "from_account", "range"), ranges, "to_account", "to_range"), None
     while True:
         before = state
-        state = materialize(_round(before, credits, concerned, any_hot, rows_per_split), "round")
+        state = materialize(_round(before, credits, concerned, any_hot), "round")
         discard(before, concerned)
         changes = state.filter("changed").count()
         if on_round:
@@ -131,6 +134,23 @@ def _decide(candidates: DataFrame, rows_per_split: int, on_round=None) -> DataFr
         concerned = _concerned(state)
 
 
+def _ranges(open_rows: DataFrame, credits: DataFrame, rows_per_split: int) -> DataFrame:
+    """(_account, _seq, _range) of all entries of accounts with very many of them; written, so that the cut never moves."""
+    own = open_rows.filter("hot").select(F.col("from_account").alias("_account"), F.col("seq").alias("_seq"))
+    incoming = open_rows.filter("matters").select(*credits.columns).unionByName(credits).filter("to_hot")
+    entries = own.unionByName(incoming.select(F.col("to_account").alias("_account"), F.col("seq").alias("_seq")))
+    cut = entries.repartitionByRange(-(-entries.count() // rows_per_split), "_account", "_seq")
+    return materialize(cut.withColumn("_range", F.spark_partition_id()), "ranges")
+
+
+def _placed(rows: DataFrame, ranges: DataFrame | None, account: str, name: str) -> DataFrame:
+    """``rows`` with the range of their entry of ``account``; 0 where the account is not cut."""
+    if ranges is None:
+        return rows.withColumn(name, F.lit(0))
+    same = (F.col(account) == F.col("_account")) & (F.col("seq") == F.col("_seq"))
+    return rows.join(ranges, same, "left").withColumn(name, F.coalesce("_range", F.lit(0))).drop("_account", "_seq", "_range")
+
+
 def _concerned(state: DataFrame) -> DataFrame:
     """Accounts whose decisions have to be taken again after the changes of the last round."""
     changed = state.filter("changed")
@@ -142,15 +162,11 @@ def _concerned(state: DataFrame) -> DataFrame:
     return materialize(reduce(DataFrame.unionByName, parts).distinct(), "concerned")
 
 
-def _round(
-    state: DataFrame, settled: DataFrame, concerned: DataFrame | None, any_hot: bool, rows_per_split: int
-) -> DataFrame:
+def _round(state: DataFrame, settled: DataFrame, concerned: DataFrame | None, any_hot: bool) -> DataFrame:
     columns = state.columns
     credits = state.filter("accept AND matters").select(*settled.columns).unionByName(settled)
     debits, kept = state, None
     if concerned is not None:
-        if concerned.count() <= BROADCAST_ROWS:
-            concerned = F.broadcast(concerned)
         debits = state.join(concerned, F.col("from_account") == F.col("_account"), "left_semi")
         kept = state.join(concerned, F.col("from_account") == F.col("_account"), "left_anti").withColumn("changed", F.lit(False))
         credits = credits.join(concerned, F.col("to_account") == F.col("_account"), "left_semi")
@@ -159,32 +175,41 @@ def _round(
     repeated = debits.filter("repeats").join(first, F.col("idempotency_key") == F.col("_k"), "left")
     free = F.coalesce(F.col("_first") >= F.col("seq"), F.lit(True)).alias("free")
     debits = debits.filter("NOT repeats").select(*columns, F.lit(True).alias("free")).unionByName(repeated.select(*columns, free))
-    incoming = credits.select("seq", F.col("to_account").alias("account"), F.col("amount_minor").alias("credit"), F.col("to_hot").alias("hot"))
+    incoming = credits.select(
+        "seq", F.col("to_account").alias("account"), F.col("amount_minor").alias("credit"), F.col("to_hot").alias("hot"), F.col("to_range").alias("range"))
     own = debits.select("*", F.col("from_account").alias("account"), F.lit(None).cast("bigint").alias("credit"))
     entries = own.filter("NOT covered").unionByName(incoming, allowMissingColumns=True)
     parts = [
         _compared(own.filter("covered").withColumn("_new", F.col("free")), columns),
-        _in_order(entries.filter("NOT hot") if any_hot else entries, columns),
+        _in_order(_carried(entries) if any_hot else entries.withColumn("_carry", F.lit(0).cast("bigint")), columns),
     ]
-    if any_hot:
-        parts.append(_by_running_sum(entries.filter("hot"), columns, rows_per_split))
     if kept is not None:
         parts.append(kept.select(*columns))
     return reduce(DataFrame.unionByName, parts)
 
 
+def _carried(entries: DataFrame) -> DataFrame:
+    """``entries`` with what earlier ranges of their account have moved, by the decisions of the round before."""
+    value = F.coalesce("credit", F.when(F.col("accept"), -F.col("amount_minor")).otherwise(0))
+    moved = entries.filter("hot").groupBy("account", "range").agg(F.sum(value).alias("_moved"))
+    earlier = Window.partitionBy("account").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    carry = moved.select(F.col("account").alias("_of"), F.col("range").alias("_at"), F.sum("_moved").over(earlier).alias("_carry")).filter("_carry IS NOT NULL")
+    joined = entries.join(carry, F.col("hot") & (F.col("account") == F.col("_of")) & (F.col("range") == F.col("_at")), "left")
+    return joined.drop("_of", "_at").withColumn("_carry", F.coalesce("_carry", F.lit(0).cast("bigint")))
+
+
 def _in_order(entries: DataFrame, columns: list[str]) -> DataFrame:
-    """Decide each account's debits in order, with the credits of the round before."""
+    """Decide the debits of each account, or of each range of one, in order, with the credits of the round before."""
 
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        account, moved = None, 0
+        place, moved = None, 0
         for batch in batches:
             is_credit, accept = lists(batch, "_credit")[0], []
-            for owner, credit, amount, opening, free in zip(
-                *lists(batch, "account", "_credit", "_amount", "_opening", "_free"), strict=True
+            for owner, part, credit, amount, opening, free in zip(
+                *lists(batch, "account", "_part", "_credit", "_amount", "_opening", "_free"), strict=True
             ):
-                if owner != account:
-                    account, moved = owner, 0
+                if (owner, part) != place:
+                    place, moved = (owner, part), 0
                 fits = not credit and free and opening + moved >= amount
                 if credit:
                     moved += amount
@@ -201,29 +226,17 @@ def _in_order(entries: DataFrame, columns: list[str]) -> DataFrame:
         "seq",
         F.col("credit").isNotNull().alias("_credit"),
         F.coalesce("credit", "amount_minor").alias("_amount"),
-        F.coalesce("opening", F.lit(0).cast("bigint")).alias("_opening"),
+        (F.coalesce("opening", F.lit(0).cast("bigint")) + F.col("_carry")).alias("_opening"),
         F.coalesce("free", F.lit(False)).alias("_free"),
-    ).select("_state.*", "account", "_credit", "_amount", "_opening", "_free")
-    ordered = prepared.repartition("account").sortWithinPartitions("account", "seq")
+        F.when(F.col("hot"), F.col("range")).otherwise(0).alias("_part"),
+    ).select("_state.*", "account", "_credit", "_amount", "_opening", "_free", "_part")
+    ordered = prepared.repartition("account", "_part").sortWithinPartitions("account", "_part", "seq")
     kept = [c for c in columns if c != "changed"]
     schema = ordered.select(*kept, F.lit(True).alias("_new")).schema
     decided = ordered.mapInArrow(step, schema)
     return _compared(decided, columns)
 
 
-def _by_running_sum(entries: DataFrame, columns: list[str], rows_per_split: int) -> DataFrame:
-    """Decide the debits of accounts with very many entries from all decisions of the round before."""
-    value = F.coalesce("credit", F.when(F.col("accept"), -F.col("amount_minor")).otherwise(0))
-    scanned = ordered_scan(
-        entries.withColumn("_value", value), ["account"], ["seq"],
-        running={"_before": Running("sum", "_value", inclusive=False)},
-        split=seq_split(rows_per_split),
-    )
-    balance = F.col("opening") + F.coalesce("_before", F.lit(0))
-    decided = scanned.filter("credit IS NULL").withColumn("_new", F.col("free") & (balance >= F.col("amount_minor")))
-    return _compared(decided, columns)
-
-
 def _compared(decided: DataFrame, columns: list[str]) -> DataFrame:
     compared = {"accept": F.col("_new"), "changed": F.col("_new") != F.col("accept")}
     return decided.select(*[compared[c].alias(c) if c in compared else F.col(c) for c in columns])

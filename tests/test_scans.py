@@ -32,7 +32,7 @@ def test_cut_groups_equal_whole_groups(rows, keys, descending):
 
 
 def test_hot_group_is_spread(rows):
-    sizes = cut(rows, ["k"], ["at", "id"], 40).filter("k = 0").groupBy("_split").count().toPandas()["count"]
+    sizes = cut(rows, ["k"], ["at", "id"], 40)[0].filter("k = 0").groupBy("_split").count().toPandas()["count"]
     assert len(sizes) > 5 and sizes.max() < 0.5 * sizes.sum()
 
 
@@ -52,7 +52,21 @@ def test_equal_order_values_keep_all_rows(spark):
     assert sorted(r.n for r in got.collect()) == list(range(1, 501))
 
 
-@pytest.mark.parametrize("split", [10, 1_000_000])
-def test_global_rank(spark, split):
-    got = global_rank(spark.range(300).select((F.lit(1000) - F.col("id")).alias("x")), ["x"], "r", split)
+@pytest.mark.parametrize("ranges", [None, 1, 30])
+def test_global_rank(spark, ranges, monkeypatch):
+    monkeypatch.setattr("ledgerspark.operators.scans.RANGES_PER_BLOCK", 4)
+    got = global_rank(spark.range(300).select((F.lit(1000) - F.col("id")).alias("x")), ["x"], "r", ranges)
     assert all(r.r == r.x - 700 for r in got.collect())
+
+
+def test_only_large_groups_are_written(rows):
+    large, rest = cut(rows, ["k"], ["at", "id"], 40)
+    sizes = {r["k"]: r["count"] for r in rows.groupBy("k").count().collect()}
+    assert {r.k for r in large.select("k").distinct().collect()} == {k for k, n in sizes.items() if n > 40}
+    assert large.count() + rest.count() == rows.count()
+
+
+def test_no_rank_in_one_task(spark):
+    """A rank is a sort by ranges: the only window without keys is over one row per block of ranges."""
+    plan = global_rank(spark.range(300), ["id"], "r")._jdf.queryExecution().executedPlan().toString()
+    assert "row_number" not in plan

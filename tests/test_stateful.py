@@ -74,6 +74,20 @@ def test_transfers_equal_serial(spark, split, seed):
     assert entries.groupBy("transfer_id").agg(F.count("*").alias("n"), F.sum("amount_minor").alias("s")).filter("n <> 2 OR s <> 0").count() == 0
 
 
+@pytest.mark.parametrize("n", [24, 240, 1200])
+def test_rounds_of_a_hot_account_grow_with_its_ranges(spark, n):
+    """Debits of 1, B, 1, B - 1, ...: every second one only fails because of all before it."""
+    balance, ranges = 10_000, 6
+    requests = [(s, f"k{s}", 1, 2, 1 if s % 2 == 0 else balance - s // 2, "me") for s in range(n)]
+    accounts = {1: ("RUB", balance), 2: ("RUB", 0)}
+    rounds = []
+    a = spark.createDataFrame([(i, c, b) for i, (c, b) in accounts.items()], "id bigint, currency string, balance_minor bigint")
+    r = spark.createDataFrame(requests, REQUESTS)
+    got = transfers.apply_transfers(a, spark.createDataFrame([], TRANSFERS), r, n // ranges, rounds.append).collect()
+    assert {x.seq for x in got if x.outcome == "COMPLETED"} == {s for s in range(n) if s % 2 == 0}
+    assert len(rounds) <= ranges + 3
+
+
 def test_registered_transfers_equal_serial(spark, small):
     """The registered query with many rejections, on all requests of the small tables."""
     from ledgerspark.plans import stateful
@@ -167,10 +181,9 @@ def test_notes(spark):
     assert [(r.outcome, r.version) for r in got.orderBy("seq").collect()] == [("APPLIED", 0), ("APPLIED", 1), ("STALE", 1), ("NOT_FOUND", None)]
 
 
-@pytest.mark.parametrize("split", [PLAIN, 10])
-def test_claims_do_not_overlap(spark, split):
+def test_claims_do_not_overlap(spark):
     jobs = spark.range(100).selectExpr("id", "if(id % 3 = 0, 'DONE', 'READY') AS status")
-    got = commands.claim_jobs(jobs, 5, 4, split).orderBy("id").collect()
+    got = commands.claim_jobs(jobs, 5, 4).orderBy("id").collect()
     ready = [i for i in range(100) if i % 3]
     assert [(r.id, r.worker) for r in got] == [(i, n // 4 if n // 4 < 5 else None) for n, i in enumerate(ready)]
 
