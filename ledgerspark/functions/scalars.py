@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import unicodedata
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -96,10 +97,14 @@ def _kind(variant: Column, path: str, name: str) -> Column:
 
 
 def has_word(text: str | Column, word: str) -> Column:
-    """Whether a text has the word, as a run of letters and digits of its own, in any case."""
+    """Whether a text has the word, as a run of letters, marks and digits of its own, in any language and case.
+
+    Letters are compared as they are stored: a text and a word in different normal forms do not match.
+    """
     wanted = word.lower()
-    if not wanted.isalnum() or not wanted.isascii():
+    if not wanted or not all(unicodedata.category(c)[0] in "LMN" for c in wanted):
         raise ValueError(f"not a word: {word}")
     low = F.lower(_col(text))
     # the plain search settles most texts before the pattern is tried
-    return low.contains(wanted) & low.rlike(f"(^|[^a-z0-9]){wanted}($|[^a-z0-9])")
+    border = r"[^\p{L}\p{M}\p{N}]"
+    return low.contains(wanted) & low.rlike(f"(^|{border}){wanted}($|{border})")

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerspark.functions.scalars import percent_of
+from ledgerspark.operators.scans import ROWS_PER_SPLIT, Running, ordered_scan
 
 # fixed values: upper bounds in milliseconds of the latency histogram
 LATENCY_BOUNDS = [1, 2, 5, 10, 20, 50, 100, 200, 500, 1000]
@@ -84,13 +85,32 @@ def latency_histogram(df: DataFrame, value: str, *keys: str) -> DataFrame:
     return df.groupBy(*keys, bound.alias("le")).agg(F.count(F.lit(1)).alias("requests"))
 
 
-def latency_percentiles(df: DataFrame, value: str, *keys: str, exact: bool = False) -> DataFrame:
-    """p50, p95 and p99; ``exact`` sorts the values of each group, the default keeps a bounded sketch per group."""
+PERCENTILES = {"p50": 0.5, "p95": 0.95, "p99": 0.99}
 
-    def at(p: float) -> Column:
-        return F.percentile(value, p) if exact else F.percentile_approx(value, p, 10000)
 
-    return df.groupBy(*keys).agg(at(0.5).alias("p50"), at(0.95).alias("p95"), at(0.99).alias("p99"))
+def latency_percentiles(df: DataFrame, value: str, *keys: str, exact: bool = False, rows_per_split: int = ROWS_PER_SPLIT) -> DataFrame:
+    """p50, p95 and p99, a bounded sketch per group; ``exact`` interpolates between the two values around the place.
+
+    The exact way counts each value of a group, runs over the counts in ranges (so no buffer holds a group), and looks
+    up the values at the wanted places.
+    """
+    if not exact:
+        return df.groupBy(*keys).agg(*[F.percentile_approx(value, p, 10000).alias(n) for n, p in PERCENTILES.items()])
+    counts = df.filter(F.col(value).isNotNull()).groupBy(*keys, F.col(value).alias("_v")).agg(F.count(F.lit(1)).alias("_n"))
+    scanned = ordered_scan(counts, list(keys), ["_v"], running={"_seen": Running("sum", "_n")}, rows_per_split=rows_per_split)
+    whole = counts.groupBy(*[F.col(k).alias(f"_k_{k}") for k in keys]).agg(F.sum("_n").alias("_all"))
+    same = F.lit(True)
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"_k_{k}"))
+    joined = scanned.join(whole, same) if keys else scanned.withColumn("_all", counts.agg(F.sum("_n")).scalar())
+    places = {n: (F.col("_all") - 1) * p for n, p in PERCENTILES.items()}
+    found = joined.groupBy(*keys).agg(
+        F.max("_all").alias("_all"),
+        *[F.min(F.when(F.col("_seen") > f(place), F.col("_v"))).alias(f"_{n}_{end}")
+          for n, place in places.items() for end, f in (("low", F.floor), ("high", F.ceil))],
+    )
+    between = [(F.col(f"_{n}_low") + (F.col(f"_{n}_high") - F.col(f"_{n}_low")) * (place - F.floor(place))).alias(n) for n, place in places.items()]
+    return found.select(*keys, *between)
 
 
 def histogram_quantile(histogram: DataFrame, quantile: float, *keys: str) -> DataFrame:

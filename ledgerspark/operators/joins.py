@@ -92,6 +92,17 @@ def join_fetch(
     )
 
 
+def join_fetch_rows(
+    parents: DataFrame, children: DataFrame, child_key: str, order: list[str], fields: list[str], rows_per_split: int = ROWS_PER_SPLIT
+) -> DataFrame:
+    """Parents with their children, one row each: ``position`` counts a parent's children in ``order``. A parent without
+    children has one row with NULLs; no parent is too large for a task, whatever the number of its children."""
+    numbered = ordered_scan(
+        children.select(child_key, *dict.fromkeys([*order, *fields])), [child_key], order, number="position", rows_per_split=rows_per_split)
+    listed = numbered.select(F.col(child_key).alias("_parent"), "position", F.struct(*fields).alias("child"))
+    return parents.join(listed, F.col("id") == F.col("_parent"), "left").drop("_parent")
+
+
 LEVEL_GROWTH = 16
 
 
@@ -103,7 +114,8 @@ def overlap_join(
     Both sides are cut into time buckets, so the equi-join spreads a hot key over its buckets and only compares
     neighbours in time; a pair is given in the bucket where its overlap begins, so it appears once. A period
     longer than a bucket belongs to a level of larger buckets, so that it falls in two at most, and meets shorter
-    ones there.
+    ones there. At each level the left periods of that level meet all right ones up to it (``_side`` 0), and the shorter left
+    ones only the right ones of that level (``_side`` 1), so short periods never meet in large buckets.
     """
     seconds = _epoch(F.col(end)) - _epoch(F.col(start))
     level = F.greatest(F.ceil(F.log(float(LEVEL_GROWTH), seconds / bucket_seconds)), F.lit(0))
@@ -121,19 +133,22 @@ def overlap_join(
             width = bucket_seconds * LEVEL_GROWTH**m
             first = F.floor(_epoch(F.col(f"{name}.{start}")) / width)
             last = F.floor((_epoch(F.col(f"{name}.{end}")) - 1e-6) / width)
-            rows = df.filter(F.col(f"_{name}_own") <= m)
-            parts.append(rows.select("*", F.lit(m).alias(f"_{name}_level"), F.explode(F.sequence(first, last)).alias(f"_{name}_bucket")))
-        return reduce(DataFrame.unionByName, parts) if parts else df.select("*", F.lit(0).alias(f"_{name}_level"), F.lit(0).cast("bigint").alias(f"_{name}_bucket"))
-
-    condition = (F.col("_l_level") == F.col("_r_level")) & (F.col("_l_bucket") == F.col("_r_bucket"))
+            own = F.col(f"_{name}_own")
+            both, one = F.array(F.lit(0), F.lit(1)), (F.array(F.lit(0)), F.array(F.lit(1)))
+            sides = F.when(own == m, one[0]).otherwise(one[1]) if name == "l" else F.when(own == m, both).otherwise(one[0])
+            rows = df.filter(own <= m).select("*", F.lit(m).alias(f"_{name}_level"), F.explode(F.sequence(first, last)).alias(f"_{name}_bucket"))
+            parts.append(rows.select("*", F.explode(sides).alias(f"_{name}_side")))
+        none = df.select("*", F.lit(0).alias(f"_{name}_level"), F.lit(0).cast("bigint").alias(f"_{name}_bucket"), F.lit(0).alias(f"_{name}_side"))
+        return reduce(DataFrame.unionByName, parts) if parts else none
+
+    condition = (F.col("_l_level") == F.col("_r_level")) & (F.col("_l_bucket") == F.col("_r_bucket")) & (F.col("_l_side") == F.col("_r_side"))
     for k in keys:
         condition = condition & (F.col(f"_l_{k}") == F.col(f"_r_{k}"))
     l_start, r_start = F.col(f"l.{start}"), F.col(f"r.{start}")
     width = F.lit(bucket_seconds) * F.pow(F.lit(float(LEVEL_GROWTH)), F.col("_l_level"))
     begin = F.floor(_epoch(F.greatest(l_start, r_start)) / width)
     overlaps = (l_start < F.col(f"r.{end}")) & (r_start < F.col(f"l.{end}")) & (begin == F.col("_l_bucket"))
-    owner = (F.col("_l_own") == F.col("_l_level")) | (F.col("_r_own") == F.col("_r_level"))
-    return buckets(lhs, "l").join(buckets(rhs, "r"), condition & overlaps & owner).select("l", "r")
+    return buckets(lhs, "l").join(buckets(rhs, "r"), condition & overlaps).select("l", "r")
 
 
 def _epoch(at: Column) -> Column:

@@ -8,13 +8,15 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerspark.functions.scalars import normalized_email, percent_of
-from ledgerspark.session import scratch_path
+from ledgerspark.session import materialize, scratch_path
 
 
-def layout_sorted(df: DataFrame, columns: list[str], path: str, files: int, row_group_bytes: int | None = None) -> None:
+def layout_sorted(df: DataFrame, columns: list[str], path: str, files: int | None = None, row_group_bytes: int | None = None) -> None:
     """Write range-partitioned and sorted by ``columns``: equality on the first and a range on the next one
-    touch few row groups. The sort is on all columns, so one hot first value is spread over several files."""
-    writer = df.repartitionByRange(files, *columns).sortWithinPartitions(*columns).write
+    touch few row groups. The sort is on all columns, so one hot first value is spread over several files. The number of
+    files follows the data (shuffle partitions, joined by AQE where they are small) unless it is given."""
+    ranged = df.repartitionByRange(files, *columns) if files else df.repartitionByRange(*columns)
+    writer = ranged.sortWithinPartitions(*columns).write
     if row_group_bytes:
         writer = writer.option("parquet.block.size", row_group_bytes)
     writer.parquet(path)
@@ -60,31 +62,43 @@ def layout_subset(df: DataFrame, condition: Column, columns: list[str], path: st
     return df.sparkSession.read.schema(df.select(*columns).schema).parquet(path)
 
 
-def layout_covering(df: DataFrame, key: list[str], included: list[str], path: str, files: int) -> DataFrame:
+def layout_covering(df: DataFrame, key: list[str], included: list[str], path: str, files: int | None = None) -> DataFrame:
     """A narrow copy with only the columns a query needs, in the order of its key."""
     narrow = df.select(*key, *included)
     layout_sorted(narrow, key, path, files)
     return df.sparkSession.read.schema(narrow.schema).parquet(path)
 
 
-def layout_normalized_key(df: DataFrame, column: str, name: str, path: str, files: int) -> DataFrame:
-    """The table with a stored lower-case key, sorted by it and with a bloom filter, so that equality is pushed down."""
+def layout_normalized_key(df: DataFrame, column: str, name: str, path: str, files: int | None = None) -> DataFrame:
+    """The table with a stored lower-case key, sorted by it and with a bloom filter for as many values as there are, so that
+    equality is pushed down."""
     keyed = df.withColumn(name, normalized_email(column))
+    values = keyed.agg(F.approx_count_distinct(name)).first()[0]
+    ranged = keyed.repartitionByRange(files, name) if files else keyed.repartitionByRange(name)
     (
-        keyed.repartitionByRange(files, name)
-        .sortWithinPartitions(name)
+        ranged.sortWithinPartitions(name)
         .write.option(f"parquet.bloom.filter.enabled#{name}", "true")
-        .option(f"parquet.bloom.filter.expected.ndv#{name}", "100000")
+        .option(f"parquet.bloom.filter.expected.ndv#{name}", str(max(1000, values)))
         .parquet(path)
     )
     return df.sparkSession.read.schema(keyed.schema).parquet(path)
 
 
 def layout_inverted(df: DataFrame, key: str, document: str, path: str) -> DataFrame:
-    """(path, value, id) of the members of a JSON object, one row per scalar or array element, partitioned by path."""
-    members = df.select(key, F.explode(F.from_json(document, "map<string,string>")).alias("path", "member"))
-    elements = F.coalesce(F.from_json("member", "array<string>"), F.array("member"))
-    rows = members.select("path", F.explode(elements).alias("value"), key)
+    """(path, value, id) of the members of a JSON object at any depth, one row per scalar or array element, partitioned by
+    path (the names on the way, joined by dots). Objects are opened level by level, as many as the documents have."""
+    here, rows = df.select(key, F.lit("").alias("path"), F.col(document).alias("member")), None
+    while True:
+        opened = here.select(key, F.col("path").alias("_above"), F.explode(F.from_json("member", "map<string,string>")).alias("_name", "member"))
+        opened = opened.select(key, F.concat_ws(".", F.nullif("_above", F.lit("")), "_name").alias("path"), "member")
+        elements = F.coalesce(F.from_json("member", "array<string>"), F.array("member"))
+        level = materialize(opened.select("path", F.explode(elements).alias("value"), key), "members")
+        is_object = F.coalesce(F.col("value").startswith("{"), F.lit(False)) & F.from_json("value", "map<string,string>").isNotNull()
+        found = level.filter(~is_object)
+        rows = found if rows is None else rows.unionByName(found)
+        here = level.filter(is_object).select(key, "path", F.col("value").alias("member"))
+        if not here.limit(1).count():
+            break
     # ranges of (path, value, id), so that neither a frequent member nor a frequent value becomes one writing task
     ranged = rows.repartitionByRange("path", "value", key).sortWithinPartitions("path", "value", key)
     ranged.write.partitionBy("path").parquet(path)
@@ -100,14 +114,16 @@ def inverted_lookup(index: DataFrame, key: str, **members: str) -> DataFrame:
     return hits.filter(F.col("_n") == len(members)).select(key)
 
 
-def layout_bucketed(df: DataFrame, table: str, key: str, buckets: int, path: str) -> DataFrame:
-    """A table bucketed and sorted by ``key``: joins and groupings on it need no shuffle."""
+def layout_bucketed(df: DataFrame, table: str, key: str, buckets: int | None, path: str) -> DataFrame:
+    """A table bucketed and sorted by ``key``: joins and groupings on it need no shuffle. As many buckets as the session's
+    shuffles have partitions where ``buckets`` is None, so that both sides of a join agree. The caller drops the table."""
     spark = df.sparkSession
+    buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
     df.write.bucketBy(buckets, key).sortBy(key).option("path", path).mode("overwrite").saveAsTable(table)
     return spark.table(table)
 
 
-def write_cost_report(df: DataFrame, layouts: dict[str, list[str]], files: int) -> DataFrame:
+def write_cost_report(df: DataFrame, layouts: dict[str, list[str]], files: int | None = None) -> DataFrame:
     """Rows, files, bytes and seconds of writing the same table unsorted and in each sorted layout."""
     spark = df.sparkSession
     parts = []
@@ -205,7 +221,7 @@ def live_and_dead(versions: DataFrame, key: str, version: str) -> DataFrame:
     return per_key.agg(F.count(F.lit(1)).alias("live"), (F.sum("_n") - F.count(F.lit(1))).alias("dead"))
 
 
-def compact(versions: DataFrame, key: str, version: str, path: str, files: int) -> DataFrame:
+def compact(versions: DataFrame, key: str, version: str, path: str, files: int | None = None) -> DataFrame:
     """Rewrite with only the newest version of each row, in a few sorted files."""
     rest = [c for c in versions.columns if c != key]
     newest = versions.groupBy(key).agg(F.max_by(F.struct(*rest), F.col(version)).alias("_row")).select(key, "_row.*")

@@ -71,10 +71,11 @@ check_no_overlap = overlapping_periods
 
 
 def reconcile_drift(accounts: DataFrame, entries: DataFrame) -> DataFrame:
-    """Accounts whose stored balance differs from the sum of their entries."""
+    """Accounts whose stored balance differs from the sum of their entries, the largest difference first."""
     both = with_ledger_balance(accounts, entries)
     drift = both.withColumn("drift_minor", F.col("balance_minor") - F.col("ledger_balance"))
-    return drift.filter(F.col("drift_minor") != 0).select("id", "balance_minor", "ledger_balance", "drift_minor")
+    wrong = drift.filter(F.col("drift_minor") != 0).select("id", "balance_minor", "ledger_balance", "drift_minor")
+    return wrong.orderBy(F.desc(F.abs("drift_minor")), "id")
 
 
 def unposted_payments(payments: DataFrame, entries: DataFrame) -> DataFrame:

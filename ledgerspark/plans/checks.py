@@ -106,10 +106,11 @@ def multi_key_payments(v):
     return R.multi_key_payments(keys.unionByName(keys.filter("payment_id % 60 = 0")))
 
 
-@query("""SELECT (SELECT CAST(sum(balance_minor) AS BIGINT) FROM accounts) AS before_minor,
+@query("""SELECT *, before_minor = after_minor AND entries_minor = 0 AS conserved FROM (
+SELECT (SELECT CAST(sum(balance_minor) AS BIGINT) FROM accounts) AS before_minor,
   (SELECT CAST(sum(balance_minor) AS BIGINT) FROM accounts) + (SELECT CAST(sum(amount_minor) AS BIGINT) FROM transfer_entries
    WHERE account_id IN (SELECT id FROM accounts)) AS after_minor,
-  (SELECT CAST(sum(amount_minor) AS BIGINT) FROM transfer_entries) AS entries_minor, false AS conserved""", also=TRANSFER_ENTRIES)
+  (SELECT CAST(sum(amount_minor) AS BIGINT) FROM transfer_entries) AS entries_minor)""", also=TRANSFER_ENTRIES)
 def money_conserved(v):
     entries = transfer_entries(v)
     moved = entries.groupBy(F.col("account_id").alias("_id")).agg(F.sum("amount_minor").alias("_moved"))
@@ -132,17 +133,17 @@ def ledger_append_only(v):
   SELECT 'payments.account_not_null' AS rule, count(*) FILTER (WHERE account_id IS NULL) AS violations FROM broken
   UNION ALL SELECT 'payments.amount_positive', count(*) FILTER (WHERE amount_minor <= 0) FROM broken
   UNION ALL SELECT 'payments.status_known', count(*) FILTER (WHERE status NOT IN ('PENDING', 'COMPLETED', 'FAILED')) FROM broken
-  UNION ALL SELECT 'accounts.currency_code', 0
+  UNION ALL SELECT 'accounts.currency_code', count(*) FILTER (WHERE NOT regexp_full_match(currency, '[A-Z]{3}')) FROM accounts
   UNION ALL SELECT 'accounts.balance_not_negative', count(*) FILTER (WHERE balance_minor < 0) FROM accounts
-  UNION ALL SELECT 'ledger.account_not_null', 0
+  UNION ALL SELECT 'ledger.account_not_null', count(*) FILTER (WHERE account_id IS NULL) FROM ledger_entries
   UNION ALL SELECT 'ledger.amount_not_zero', count(*) FILTER (WHERE amount_minor = 0) FROM ledger_entries
-  UNION ALL SELECT 'accounts.owner_currency_unique', 0
-  UNION ALL SELECT 'keys.key_unique', 0
-  UNION ALL SELECT 'keys.payment_unique', 0
+  UNION ALL SELECT 'accounts.owner_currency_unique', count(*) FROM (SELECT 1 FROM accounts GROUP BY owner_id, currency HAVING count(*) > 1)
+  UNION ALL SELECT 'keys.key_unique', count(*) FROM (SELECT 1 FROM idempotency_keys GROUP BY key HAVING count(*) > 1)
+  UNION ALL SELECT 'keys.payment_unique', count(*) FROM (SELECT 1 FROM idempotency_keys GROUP BY payment_id HAVING count(*) > 1)
   UNION ALL SELECT 'payments.account_exists', count(*) FROM broken WHERE account_id NOT IN (SELECT id FROM accounts)
   UNION ALL SELECT 'ledger.account_exists', count(*) FROM ledger_entries WHERE account_id NOT IN (SELECT id FROM accounts)
   UNION ALL SELECT 'ledger.payment_exists', count(*) FROM ledger_entries WHERE payment_id NOT IN (SELECT id FROM broken)
-  UNION ALL SELECT 'accounts.no_drift', count(*) FROM accounts WHERE id % 10 = 0
+  UNION ALL SELECT 'accounts.no_drift', count(*) FROM accounts a LEFT JOIN ledger_sums s ON s.account_id = a.id WHERE a.balance_minor <> coalesce(s.total, 0)
   UNION ALL SELECT 'payments.posted', count(*) FROM broken WHERE status = 'COMPLETED' AND id NOT IN
     (SELECT payment_id FROM ledger_entries WHERE payment_id IS NOT NULL))""", also=BROKEN)
 def validate_all(v):

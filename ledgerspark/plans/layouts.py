@@ -13,6 +13,7 @@ from ledgerspark.operators.aggregates import selectivity_report as selectivity
 from ledgerspark.plans.registry import query
 from ledgerspark.plans.relational import METADATA, documents
 from ledgerspark.session import scratch_path
+from ledgerspark.sources.schemas import TABLES
 
 
 def ntz(text: str):
@@ -31,7 +32,7 @@ def layout_sorted(v):
     reports = []
     for name, order in {"account, time": ["account_id", "created_at"], "time, account": ["created_at", "account_id"]}.items():
         path = scratch_path(v.spark, "sorted")
-        L.layout_sorted(payments, order, path, 8)
+        L.layout_sorted(payments, order, path)
         for unit, rows in {"file": None, "block": 1000}.items():
             touched = L.zones_touched(read_back(v, payments, path), bounds, rows)
             reports.append(touched.select(F.lit(name).alias("order"), F.lit(unit).alias("unit"), "*"))
@@ -42,7 +43,7 @@ def layout_sorted(v):
 def layout_sorted_rows(v):
     payments = v.payments.select("account_id", "created_at", "id", "amount_minor")
     path = scratch_path(v.spark, "sorted")
-    L.layout_sorted(payments, ["account_id", "created_at"], path, 8)
+    L.layout_sorted(payments, ["account_id", "created_at"], path)
     since = F.col("created_at") >= ntz("1996-01-01 00:00:00")
     return read_back(v, payments, path).filter((F.col("account_id") == 42) & since).select("id", "amount_minor")
 
@@ -57,7 +58,7 @@ def layout_subset(v):
 @query("""SELECT account_id, count(*) AS total, CAST(sum(amount_minor) AS BIGINT) AS amount FROM payments
 WHERE created_at > TIMESTAMP '2001-05-01' GROUP BY 1""")
 def layout_covering(v):
-    narrow = L.layout_covering(v.payments, ["account_id", "created_at"], ["amount_minor"], scratch_path(v.spark, "covering"), 8)
+    narrow = L.layout_covering(v.payments, ["account_id", "created_at"], ["amount_minor"], scratch_path(v.spark, "covering"))
     recent = narrow.filter(F.col("created_at") > ntz("2001-05-01 00:00:00"))
     return recent.groupBy("account_id").agg(F.count(F.lit(1)).alias("total"), F.sum("amount_minor").alias("amount"))
 
@@ -67,7 +68,7 @@ def layout_time_ranges(v):
     """An append-only log in time order, read through its zone map."""
     log = v.operations.select("id", "created_at")
     path = scratch_path(v.spark, "zones")
-    L.layout_sorted(log, ["created_at"], path, 16)
+    L.layout_sorted(log, ["created_at"], path)
     low, high = ntz("2024-01-08 00:00:00"), ntz("2024-01-15 00:00:00")
     return L.prune_by_zone(v.spark, read_back(v, log, path), "created_at", low, high)
 
@@ -76,7 +77,7 @@ def layout_time_ranges(v):
 def zone_map_totals(v):
     log = v.operations.select("id", "created_at")
     path = scratch_path(v.spark, "zones")
-    L.layout_sorted(log, ["created_at"], path, 16)
+    L.layout_sorted(log, ["created_at"], path)
     zones = L.zone_map(read_back(v, log, path), ["created_at"])
     return zones.agg(F.sum("rows").alias("rows"), F.min("min_created_at").alias("first_at"), F.max("max_created_at").alias("last_at"))
 
@@ -84,7 +85,7 @@ def zone_map_totals(v):
 @query("SELECT id, email FROM operations WHERE lower(email) = 'user-42@example.test'")
 def layout_normalized_key(v):
     rows = v.operations.select("id", "email")
-    keyed = L.layout_normalized_key(rows, "email", "email_key", scratch_path(v.spark, "keyed"), 8)
+    keyed = L.layout_normalized_key(rows, "email", "email_key", scratch_path(v.spark, "keyed"))
     return keyed.filter(F.col("email_key") == "user-42@example.test").select("id", "email")
 
 
@@ -95,18 +96,27 @@ def layout_inverted(v):
     return L.inverted_lookup(index, "id", merchant="m-42", tags="retry")
 
 
+@query("SELECT id FROM operations WHERE merchant = 'm-42' AND channel = 'web'")
+def layout_inverted_nested(v):
+    """Members below the top level: the document is held by another one."""
+    inner = F.struct(F.struct("channel", "tags").alias("how"), F.array(F.struct("merchant")).alias("who"))
+    nested = v.operations.select("id", F.to_json(F.struct(inner.alias("call"))).alias("metadata"))
+    index = L.layout_inverted(nested, "id", "metadata", scratch_path(v.spark, "inverted"))
+    return L.inverted_lookup(index, "id", **{"call.who.merchant": "m-42", "call.how.channel": "web"})
+
+
 @query("SELECT account_id, count(*) AS payments, CAST(sum(amount_minor) AS BIGINT) AS amount FROM payments GROUP BY 1")
 def layout_bucketed(v):
     path = scratch_path(v.spark, "bucketed")
     table = "bucketed_" + path.rsplit("-", 1)[1]
-    bucketed = L.layout_bucketed(v.payments, table, "account_id", 8, path)
+    bucketed = L.layout_bucketed(v.payments, table, "account_id", None, path)
     return bucketed.groupBy("account_id").agg(F.count(F.lit(1)).alias("payments"), F.sum("amount_minor").alias("amount"))
 
 
 @query()
 def write_cost_report(v):
     rows = v.payments.select("id", "account_id", "amount_minor", "status", "created_at")
-    return L.write_cost_report(rows, {"by account": ["account_id", "created_at"], "by time": ["created_at"]}, 4)
+    return L.write_cost_report(rows, {"by account": ["account_id", "created_at"], "by time": ["created_at"]})
 
 
 @query("""SELECT 'payment_id' AS "column", count(*) AS rows, round(CAST(count(*) - count(payment_id) AS DOUBLE) * 100 / CAST(count(*) AS DOUBLE), 4) AS null_pct,
@@ -137,10 +147,12 @@ def selectivity_report(v):
     })
 
 
-@query()
+@query("""SELECT 'events.parquet' AS file, round(corr(CAST(event_id AS DOUBLE), epoch(ts)), 6) AS ts,
+  round(corr(CAST(event_id AS DOUBLE), CAST(user_id AS DOUBLE)), 6) AS user_id FROM events""")
 def order_correlation(v):
-    events = v.table("events")
-    return L.order_correlation(events, {"ts": F.col("ts").cast("timestamp"), "user_id": F.col("user_id")})
+    """The events are stored in the order of their id."""
+    found = L.order_correlation(v.table("events"), {"ts": F.col("ts").cast("timestamp"), "user_id": F.col("user_id")})
+    return found.select("file", F.round("ts", 6).alias("ts"), F.round("user_id", 6).alias("user_id"))
 
 
 @query("SELECT 'orders.parquet' AS file, CAST(i // 1000 AS BIGINT) AS page, count(*) AS tuples FROM range(0, (SELECT count(*) FROM orders)) t(i) GROUP BY ALL")
@@ -156,7 +168,12 @@ def physical_address(v):
 
 @query()
 def table_sizes(v):
-    return L.table_sizes({name: v.table(name) for name in ("customer", "orders", "lineitem", "events")})
+    return L.table_sizes({name: v.table(name) for name in TABLES})
+
+
+@query(" UNION ALL ".join(f"SELECT '{name}' AS relname, count(*) AS rows FROM {name}" for name in TABLES))
+def table_rows(v):
+    return L.table_sizes({name: v.table(name) for name in TABLES}).select("relname", "rows")
 
 
 VERSIONS = """versions AS (
@@ -180,4 +197,4 @@ def live_and_dead(v):
 
 @query("SELECT id, arg_max(value, version) AS value FROM versions GROUP BY id", also=VERSIONS)
 def compact(v):
-    return L.compact(versions(v), "id", "version", scratch_path(v.spark, "compact"), 4).select("id", "value")
+    return L.compact(versions(v), "id", "version", scratch_path(v.spark, "compact")).select("id", "value")

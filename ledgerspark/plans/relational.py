@@ -149,13 +149,19 @@ def json_extract(v):
     return P.json_extract(v.table("events"), "props", ["k"]).select("event_id", "k")
 
 
-@query("""SELECT doc_id FROM documents
-WHERE list_contains(regexp_split_to_array(lower(text), '[^a-z0-9]+'), 'the')
-  AND list_contains(regexp_split_to_array(lower(text), '[^a-z0-9]+'), 'license')""")
+WORDS = r"list_contains(regexp_split_to_array(lower(text), '[^\p{{L}}\p{{M}}\p{{N}}]+'), '{}')"
+
+
+@query(f"SELECT doc_id FROM documents WHERE {WORDS.format('the')} AND {WORDS.format('license')}")
 def text_search(v):
     return P.text_search(v.table("documents"), "text", ["the", "license"]).select("doc_id")
 
 
+@query(f"SELECT doc_id FROM documents WHERE {WORDS.format('ñ')} AND {WORDS.format('los')}")
+def text_search_spanish(v):
+    return P.text_search(v.table("documents"), "text", ["Ñ", "los"]).select("doc_id")
+
+
 @query("SELECT id AS payment, amount_minor AS amount FROM payments")
 def projection(v):
     return P.projection(v.payments, payment="id", amount="amount_minor")
@@ -280,6 +286,29 @@ def join_fetch_hot(v):
     return fetch(v, payments, 100, rows_per_split=HOT_SPLIT)
 
 
+@query("""SELECT a.id, row_number() OVER (PARTITION BY a.id ORDER BY p.created_at, p.id) AS position, p.id AS payment
+FROM accounts_base a JOIN payments p ON p.account_id = a.id UNION ALL
+SELECT id, NULL, NULL FROM accounts_base WHERE id NOT IN (SELECT account_id FROM payments)""")
+def join_fetch_rows(v):
+    fetched = J.join_fetch_rows(v.accounts_base, v.payments, "account_id", ["created_at", "id"], ["id"])
+    return fetched.select("id", "position", F.col("child.id").alias("payment"))
+
+
+LONG_PERIODS = """long_periods AS (
+  SELECT id, currency % 5 AS currency, starts_at, CASE WHEN id % 1000 = 0 THEN starts_at + INTERVAL 4000 DAY ELSE ends_at END AS ends_at FROM rate_periods)"""
+
+
+@query("""SELECT l.currency, l.id AS left_id, r.id AS right_id FROM long_periods l JOIN long_periods r
+ON l.currency = r.currency AND l.id < r.id AND l.starts_at < r.ends_at AND r.starts_at < l.ends_at
+WHERE l.id % 1000 = 0 AND r.id % 1000 = 0""", also=LONG_PERIODS)
+def overlap_join_levels(v):
+    """Long periods of a few keys against each other and against short ones; the long ones' pairs are shown."""
+    end = F.when(F.col("id") % 1000 == 0, F.col("starts_at") + F.expr("interval 4000 day")).otherwise(F.col("ends_at"))
+    periods = v.rate_periods.withColumn("currency", F.col("currency") % 5).withColumn("ends_at", end)
+    long = periods.filter("id % 1000 = 0")
+    return J.range_overlap_join(long, "currency", "starts_at", "ends_at", 86400 * 4)
+
+
 @query("""SELECT l.currency, l.id AS left_id, r.id AS right_id FROM rate_periods l JOIN rate_periods r
 ON l.currency = r.currency AND l.id < r.id AND l.starts_at < r.ends_at AND r.starts_at < l.ends_at""")
 def range_overlap_join(v):

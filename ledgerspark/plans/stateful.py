@@ -29,8 +29,8 @@ def asked(v):
     return v.payments.select(F.col("id").alias("seq"), "account_id", "amount_minor")
 
 
-@query("""SELECT seq, account_id, amount_minor, 'APPLIED' AS outcome
-FROM (SELECT id AS seq, account_id, amount_minor FROM payments)""")
+@query(f"""SELECT id AS seq, account_id, amount_minor, CASE WHEN max(total) OVER (PARTITION BY account_id) <= {OPENING_MINOR} THEN 'APPLIED'
+  ELSE 'ordered' END AS outcome FROM (SELECT *, sum(amount_minor) OVER (PARTITION BY account_id ORDER BY id) AS total FROM payments)""")
 def guarded_debits_covered(v):
     return debits.guarded_debits(balances(v, OPENING_MINOR), asked(v))
 
@@ -216,7 +216,7 @@ def claim_jobs(v):
 
 @query(CLAIM, also=JOBS)
 def claim_jobs_split(v):
-    return commands.claim_jobs(jobs(v), 60, 50, HOT_SPLIT)
+    return commands.claim_jobs(jobs(v).repartitionByRange(3, "id"), 60, 50)
 
 
 @query("""SELECT id, account_id, created_at, date_diff('second', created_at, TIMESTAMP '2001-08-02') AS age_seconds FROM payments

@@ -285,6 +285,33 @@ def change_type(v):
     return rows.withColumn("amount_minor", F.col("amount_minor").cast("string"))
 
 
+@query("""SELECT id, amount, amount <= 2147483647 AS fits, CASE WHEN amount <= 2147483647 THEN CAST(amount AS INTEGER) END AS changed
+FROM (SELECT id, amount_minor * 100 AS amount FROM payments)""")
+def change_type_split(v):
+    """Amounts to int: those that are too large keep their value and are marked."""
+    rows = v.payments.select("id", (F.col("amount_minor") * 100).alias("amount"))
+    return migrate.change_split(rows, "amount", "int")
+
+
+@query("SELECT doc_id, length(source) <= 4 AS fits, CASE WHEN length(source) <= 4 THEN source END AS changed FROM documents")
+def narrow_text(v):
+    """A text column to at most four characters."""
+    return migrate.change_split(v.table("documents").select("doc_id", "source"), "source", "string", 4).drop("source")
+
+
+@query("SELECT id, status FROM payments")
+def widen_text(v):
+    """32 characters, then 64: nothing is in the way."""
+    narrow = migrate.change_type(v.payments.select("id", "status"), "status", "string", 32)
+    return migrate.change_type(narrow, "status", "string", 64)
+
+
+@query("SELECT id, concat('legacy-', CAST(id AS VARCHAR)) AS ref FROM payments")
+def require_column(v):
+    """A column that every row has got becomes required."""
+    return migrate.require_column(v.payments.select("id", F.concat(F.lit("legacy-"), "id").alias("ref")), "ref")
+
+
 @query("SELECT id, amount_minor * 100 AS amount FROM payments WHERE amount_minor * 100 > 2147483647")
 def change_type_violations(v):
     rows = v.payments.select("id", (F.col("amount_minor") * 100).alias("amount"))
