@@ -43,6 +43,19 @@ def drain_batches(stream: DataFrame, checkpoint: str, handle: Callable[[DataFram
     query.awaitTermination()
 
 
+def closed(streamed: DataFrame, whole: DataFrame, keys: list[str]) -> DataFrame:
+    """What a drained stream gave out, and the groups that were still open when its input had ended.
+
+    ``whole`` is the same job over the finished input (streaming operators are plain ones there), as a written table; groups are
+    told apart by ``keys``, and those that the stream has given out are not repeated.
+    """
+    done = streamed.select(*[F.col(k).alias(f"_{k}") for k in keys])
+    same = F.lit(True)
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"_{k}"))
+    return streamed.unionByName(whole.join(done, same, "left_anti"))
+
+
 # ---- built-in state
 
 
@@ -201,6 +214,17 @@ class StuckOperations(StatefulProcessor):
         pass
 
 
+def open_stuck_operations(operations: DataFrame, at: str, age_ms: int) -> DataFrame:
+    """The same question to a finished table, with its last time as now."""
+    last = operations.groupBy("idempotency_key").agg(
+        F.max(F.when(F.col("status") == "RESERVED", F.unix_millis(at))).alias("reserved_ms"),
+        F.max(F.when(F.col("status") != "RESERVED", F.unix_millis(at))).alias("final_ms"),
+    )
+    now = operations.agg(F.max(F.unix_millis(at))).scalar()
+    stuck = (F.col("reserved_ms") > F.coalesce("final_ms", F.lit(-1))) & (F.col("reserved_ms") + age_ms <= now)
+    return last.filter(stuck).select("idempotency_key", F.timestamp_millis("reserved_ms").alias("reserved_at"))
+
+
 def stream_stuck_operations(spark: SparkSession, stream: DataFrame, at: str, delay: str, age_ms: int) -> DataFrame:
     """Operations (idempotency_key, status, ``at``) that stay RESERVED too long, with the time of the reservation."""
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
