@@ -22,23 +22,17 @@ def lost_update_scan(writes: DataFrame, rows_per_split: int = ROWS_PER_SPLIT) ->
 def write_skew_pairs(log: DataFrame, bucket_seconds: int = 3600) -> DataFrame:
     """Pairs of overlapping transactions that each read a row the other one wrote, with no row written by both.
 
-    ``log`` is (tx, started_at, committed_at, reads, writes) with arrays of row keys. Reads meet writes of the
-    same row in time buckets; a pair is a finding when the dependency goes both ways.
+    ``log`` is (tx, started_at, committed_at, reads, writes) with arrays of row keys. All accesses meet the writes of the
+    same row once, in time buckets; a pair is a finding when the dependency goes both ways and no meeting is of two writes.
     """
     span = ["tx", "started_at", "committed_at"]
-    reads = log.select(*span, F.explode(F.array_distinct("reads")).alias("row_key"))
-    writes = log.select(*span, F.explode(F.array_distinct("writes")).alias("row_key"))
-    met = overlap_join(reads, writes, ["row_key"], "started_at", "committed_at", bucket_seconds)
-    reader, writer = F.col("l.tx"), F.col("r.tx")
-    edges = met.filter(reader != writer).select(
-        F.least(reader, writer).alias("first_tx"), F.greatest(reader, writer).alias("second_tx"), (reader < writer).alias("forward")
-    )
-    both = edges.groupBy("first_tx", "second_tx").agg(
-        F.bool_or("forward").alias("_forward"), F.bool_or(~F.col("forward")).alias("_back")
-    )
-    pairs = both.filter("_forward AND _back").select("first_tx", "second_tx")
-    same = overlap_join(writes, writes, ["row_key"], "started_at", "committed_at", bucket_seconds).filter(
-        F.col("l.tx") < F.col("r.tx")
-    )
-    conflicts = same.select(F.col("l.tx").alias("_a"), F.col("r.tx").alias("_b"))
-    return pairs.join(conflicts, (F.col("first_tx") == F.col("_a")) & (F.col("second_tx") == F.col("_b")), "left_anti")
+    none = F.array().cast(log.schema["writes"].dataType)
+    read, written = F.coalesce("reads", none), F.coalesce("writes", none)
+    access = log.select(*span, read.alias("reads"), written.alias("writes"), F.explode(F.array_union(read, written)).alias("row_key")).select(
+        *span, "row_key", F.array_contains("reads", F.col("row_key")).alias("is_read"), F.array_contains("writes", F.col("row_key")).alias("is_write"))
+    met = overlap_join(access, access.filter("is_write").drop("is_read"), ["row_key"], "started_at", "committed_at", bucket_seconds)
+    one, other = F.col("l.tx"), F.col("r.tx")
+    pairs = met.filter(one != other).groupBy(F.least(one, other).alias("first_tx"), F.greatest(one, other).alias("second_tx")).agg(
+        F.bool_or(F.col("l.is_read") & (one < other)).alias("_forward"), F.bool_or(F.col("l.is_read") & (one > other)).alias("_back"),
+        F.bool_or("l.is_write").alias("_conflict"))
+    return pairs.filter("_forward AND _back AND NOT _conflict").select("first_tx", "second_tx")
