@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
@@ -16,6 +17,21 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+#: Bytes of an Arrow batch on its way to a Python worker, and rows that the Parquet reader holds at once.
+BATCH_BYTES, READER_ROWS = 4 << 20, 512
+
+
+def bounded_batches(df: DataFrame) -> DataFrame:
+    """``df``, with the session's limits for Arrow batches and the Parquet reader lowered to ``BATCH_BYTES`` and
+    ``READER_ROWS``: long texts are held several times, by the reader, in Arrow and in Python, by every task of an executor.
+    (A row above the limit is a batch of its own.)"""
+    conf = df.sparkSession.conf
+    for key, most in (("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES), ("spark.sql.parquet.columnarReaderBatchSize", READER_ROWS)):
+        if not 0 < int(re.sub(r"\D", "", conf.get(key)) or 0) <= most:
+            conf.set(key, str(most))
+    return df
+
+
 def held_out(doc_id: str = "doc_id") -> Column:
     """True for rows that no classifier may learn from: crc32 of the id as text, modulo 4, is 2 (null ids: false)."""
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % 4 == 2, F.lit(False))

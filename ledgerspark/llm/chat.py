@@ -111,7 +111,7 @@ def format_log(events: DataFrame, part: int = PART) -> DataFrame:
             yield from base.batches(held, schema)
 
     key = ", ".join(f"`{k}` {kinds[k]}" for k in _KEY)
-    ordered = events.select(*_KEY, "seq", "role", "kind", "text").repartitionByRange(*_KEY).sortWithinPartitions(*_KEY, "seq")
+    ordered = base.bounded_batches(events).select(*_KEY, "seq", "role", "kind", "text").repartitionByRange(*_KEY).sortWithinPartitions(*_KEY, "seq")
     return ordered.mapInArrow(run, f"{key}, formatted string, loss array<struct<start:bigint,end:bigint>>")
 
 
@@ -178,7 +178,7 @@ def digests(parts: DataFrame) -> DataFrame:
         if rows:
             yield _table(rows, types[0])
 
-    ordered = parts.select("conv_id", "formatted", "loss", "position", "message").repartition("conv_id").sortWithinPartitions(*_KEY)
+    ordered = base.bounded_batches(parts).select("conv_id", "formatted", "loss", "position", "message").repartition("conv_id").sortWithinPartitions(*_KEY)
     return ordered.mapInArrow(run, f"conv_id {kind}, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long")
 
 

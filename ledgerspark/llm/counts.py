@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -16,15 +18,15 @@ from tokenizers import Tokenizer
 from ledgerspark.llm import base
 
 TOKENIZER = "byte_bpe_50k.json"
-#: A block of documents is closed at so many pairs of document and pre-token, and at 65,535 documents at the latest.
-PAIRS = 1_500_000
-#: A task keeps the sums of so many blocks before it passes them on.
-BLOCKS_HELD = 96
+#: A block of documents is closed at so many pairs of document and pre-token or so many documents.
+PAIRS, DOCUMENTS = 750_000, 1 << 13
+#: A task keeps the sums of so many blocks (64 KB each) before it passes them on.
+BLOCKS_HELD = 256
 #: From this letter on, the library's character classes may be of another Unicode version than those of ``regex``.
 NEWER = regex.compile("[԰-\U0010ffff]")
 
-_ROW = "block long, piece string, at binary, times binary"
-_SCHEMA = pa.schema([("block", pa.int64()), ("piece", pa.string()), ("at", pa.binary()), ("times", pa.binary())])
+_ROW = "block long, piece string, data binary"
+_SCHEMA = pa.schema([("block", pa.int64()), ("piece", pa.string()), ("data", pa.binary())])
 
 
 def tokenizer_json(path: str | None = None) -> str:
@@ -34,6 +36,7 @@ def tokenizer_json(path: str | None = None) -> str:
 
 
 def plain(tokenizer_file: str) -> Tokenizer:
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallel ones; threads hold memory of their own
     tokenizer = Tokenizer.from_str(tokenizer_file)
     tokenizer.no_truncation()
     tokenizer.no_padding()
@@ -64,7 +67,10 @@ class PreTokens:
 
 def piece_counts(tokenizer: Tokenizer, pieces: list[str]) -> list[int]:
     """Tokens of each pre-token. Each is encoded on its own; none holds a special string."""
-    return [len(e) for e in tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
+    counts: list[int] = []
+    for start in range(0, len(pieces), 1024):
+        counts += [len(e) for e in tokenizer.encode_batch_fast(pieces[start : start + 1024], add_special_tokens=False)]
+    return counts
 
 
 def known_pieces(tokenizer: Tokenizer) -> dict[str, int]:
@@ -79,9 +85,7 @@ class Block:
     def __init__(self) -> None:
         self.documents: list[tuple] = []
         self.index: dict[str, int] = {}
-        self.at: list[int] = []
-        self.which: list[int] = []
-        self.times: list[int] = []
+        self.at, self.which, self.times = array("H"), array("i"), array("H")
 
     def add(self, key, n_bytes: int, total: int, rare: dict[str, int]) -> None:
         index, here = self.index, len(self.documents)
@@ -96,23 +100,25 @@ class Block:
         self.documents.append((key, n_bytes, total))
 
     def full(self) -> bool:
-        return len(self.at) >= PAIRS or len(self.documents) >= 65_535
+        return len(self.at) >= PAIRS or len(self.documents) >= DOCUMENTS
 
     def rows(self, number: int, id_type: pa.DataType) -> Iterator[tuple]:
-        """The documents (as an Arrow stream) without a pre-token, then a row for each pre-token."""
+        """The documents (as an Arrow stream) without a pre-token, then a row for each pre-token: the places of its documents as
+        two bytes each; unless all are 1, their frequencies as well, and an odd byte that says so."""
         names, types = ["id", "n_bytes", "n_tokens"], (id_type, pa.int64(), pa.int64())
         held = pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*self.documents), types)], names=names)
         sink = pa.BufferOutputStream()
         with pa.ipc.new_stream(sink, held.schema) as writer:
             writer.write_batch(held)
-        yield number, None, sink.getvalue().to_pybytes(), None
-        which = np.array(self.which, np.int32)
+        yield number, None, sink.getvalue().to_pybytes()
+        which = np.frombuffer(self.which, np.int32)
         order = np.argsort(which, kind="stable")
-        at, times = np.array(self.at, np.uint16)[order].tobytes(), np.array(self.times, np.uint16)[order].tobytes()
-        start = 0
-        for piece, n in zip(self.index, np.bincount(which, minlength=len(self.index)).tolist()):
-            end = start + 2 * n
-            yield number, piece, at[start:end], times[start:end]
+        at, often = np.frombuffer(self.at, np.uint16)[order], np.frombuffer(self.times, np.uint16)[order]
+        ends = np.cumsum(np.bincount(which, minlength=len(self.index)))
+        several = np.maximum.reduceat(often, np.append(0, ends[:-1])) > 1 if len(ends) else ends
+        at, times, start = at.tobytes(), often.tobytes(), 0
+        for piece, end, more in zip(self.index, (2 * ends).tolist(), several.tolist()):
+            yield number, piece, at[start:end] + times[start:end] + b"+" if more else at[start:end]
             start = end
 
 
@@ -123,23 +129,31 @@ class Sums:
         self.places: dict[int, int] = {}
         self.total = np.zeros(0, np.int64)
 
-    def add(self, blocks: np.ndarray, at: pa.Array, times: pa.Array, counts: np.ndarray) -> None:
+    def add(self, blocks: np.ndarray, data: pa.Array, counts: np.ndarray) -> None:
         for block in np.unique(blocks).tolist():
             self.places.setdefault(block, len(self.places))
-        if (need := len(self.places) << 16) > len(self.total):
-            self.total = np.concatenate([self.total, np.zeros(need - len(self.total), np.int64)])
-        ends = np.frombuffer(at.buffers()[1], np.int32)[at.offset : at.offset + len(at) + 1]
-        numbers = [np.frombuffer(x.buffers()[2], np.uint16)[y[0] // 2 : y[-1] // 2] for x, y in (
-            (at, ends), (times, np.frombuffer(times.buffers()[1], np.int32)[times.offset : times.offset + len(times) + 1]))]
-        n = np.diff(ends) // 2
-        first = np.array([self.places[b] << 16 for b in blocks.tolist()], np.int64)
-        np.add.at(self.total, np.repeat(first, n) + numbers[0], numbers[1] * np.repeat(counts, n))
+        if (need := len(self.places) * DOCUMENTS) > len(self.total):
+            self.total = np.concatenate([self.total, np.zeros(2 * need - len(self.total), np.int64)])
+        ends = np.frombuffer(data.buffers()[1], np.int32)[data.offset : data.offset + len(data) + 1].astype(np.int64)
+        raw, size = np.frombuffer(data.buffers()[2], np.uint8), np.diff(ends)
+        several = size % 2 == 1
+        n = np.where(several, size // 4, size // 2)
+        step = 2 * (np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n))
+        at = np.repeat(ends[:-1], n) + step
+        places = raw[at] | raw[at + 1].astype(np.int64) << 8
+        times = np.ones(len(at), np.int64)
+        more = np.flatnonzero(np.repeat(several, n))
+        after = at[more] + 2 * np.repeat(n, n)[more]
+        times[more] = raw[after] | raw[after + 1].astype(np.int64) << 8
+        first = np.array([self.places[b] * DOCUMENTS for b in blocks.tolist()], np.int64)
+        np.add.at(self.total, np.repeat(first, n) + places, times * np.repeat(counts, n))
 
     def out(self) -> Iterator[tuple]:
+        """A block's documents with tokens: their places as two bytes each, then their sums as eight."""
         for block, place in self.places.items():
-            own = self.total[place << 16 : (place + 1) << 16]
+            own = self.total[place * DOCUMENTS : (place + 1) * DOCUMENTS]
             where = np.flatnonzero(own)
-            yield block, "", where.astype(np.uint16).tobytes(), own[where].tobytes()
+            yield block, "", where.astype(np.uint16).tobytes() + own[where].tobytes()
         self.__init__()
 
 
@@ -199,7 +213,7 @@ def count_tokens(docs: DataFrame, tokenizer_file: str | None = None, id_col: str
                 counts = piece_counts(tokenizer, names[1:] if names[0] == last else names)
                 counts = [last_count, *counts] if names[0] == last else counts
                 last, last_count = names[-1], counts[-1]
-                sums.add(batch.column(0).to_numpy(), batch.column(2), batch.column(3), np.array(counts, np.int64)[found.indices.to_numpy()])
+                sums.add(batch.column(0).to_numpy(), batch.column(2), np.array(counts, np.int64)[found.indices.to_numpy()])
                 if len(sums.places) >= BLOCKS_HELD:
                     yield from base.batches(sums.out(), _SCHEMA)
         yield from base.batches(sums.out(), _SCHEMA)
@@ -213,20 +227,21 @@ def count_tokens(docs: DataFrame, tokenizer_file: str | None = None, id_col: str
                                               names=[id_col, "n_bytes", "n_tokens", "over_limit"])
 
         for batch in it:
-            for piece, at, times in zip(batch.column(1), batch.column(2), batch.column(3)):
+            for piece, data in zip(batch.column(1), batch.column(2)):
                 if piece.is_valid:
-                    total[np.frombuffer(at.as_buffer(), np.uint16)] += np.frombuffer(times.as_buffer(), np.int64)
+                    n = len(data.as_buffer()) // 10
+                    total[np.frombuffer(data.as_buffer(), np.uint16, n)] += np.frombuffer(data.as_py()[2 * n :], np.int64)
                     continue
                 if rows is not None:
                     yield out()
-                rows = pa.ipc.open_stream(at.as_py()).read_next_batch()
+                rows = pa.ipc.open_stream(data.as_py()).read_next_batch()
                 total = rows.column(2).to_numpy().copy()
         if rows is not None:
             yield out()
 
     spread = F.xxhash64("piece", F.when(F.col("piece").isNull(), F.col("block")).otherwise(F.shiftright("block", 40)))
     return (
-        docs.select(docs[id_col], docs[text_col].alias("text"))
+        base.bounded_batches(docs).select(docs[id_col], docs[text_col].alias("text"))
         .mapInArrow(frequencies, _ROW)
         .repartition(spread).sortWithinPartitions("piece")
         .mapInArrow(counted, _ROW)

@@ -22,10 +22,10 @@ SIZES = (2, 3, 4)
 BUCKETS, DIMENSIONS = 1 << 16, 16
 EPOCHS, STEP, MINIBATCH = 4, 0.5, 32
 #: Share of rightly predicted calibration texts that rejection may cost, and the highest score that is ever rejected.
-REJECT_SHARE, REJECT_BELOW = 0.0005, 0.5
+REJECT_SHARE, REJECT_BELOW = 0.0005, 0.4
 UNKNOWN = "und"
 #: Letters handled at once: longer texts go through in pieces.
-AT_ONCE = 1 << 20
+AT_ONCE = 1 << 18
 
 
 @dataclass
@@ -91,7 +91,7 @@ def average(text: str, known: np.ndarray, table: np.ndarray) -> np.ndarray | Non
     """Mean table row of a whole text's subwords; None without a letter."""
     total, n = np.zeros(table.shape[1]), 0
     for part in base.pieces(text, AT_ONCE, lambda t, i: t[i] == " "):
-        for start in range(0, max(len(part), 1), AT_ONCE):  # a word of over a million letters is cut
+        for start in range(0, max(len(part), 1), AT_ONCE):  # a longer word is cut
             points = signs(part[start : start + AT_ONCE], known)
             if (points != 32).any():
                 found = subwords(points)
@@ -123,7 +123,7 @@ def fit(docs: DataFrame, seed: int = 7) -> Model:
     temperature and the score below which a prediction is rejected. No rows, or one language: it is predicted for every
     text with letters (``und`` if there is none).
     """
-    labelled = docs.select("doc_id", "text", "lang").where(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & ~base.held_out())
+    labelled = base.bounded_batches(docs).select("doc_id", "text", "lang").where(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & ~base.held_out())
     per = labelled.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).collect()
     languages = sorted(r["lang"] for r in per)
     if not languages:
@@ -225,7 +225,7 @@ def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: st
                  pa.array([g[0] != UNKNOWN and g[1] >= model.threshold for g in got], pa.bool_())],
                 names=[id_col, "lang_pred", "score", "accepted"])
 
-    return docs.select(docs[id_col], docs[text_col]).mapInArrow(run, f"`{id_col}` {kind}, lang_pred string, score double, accepted boolean")
+    return base.bounded_batches(docs).select(docs[id_col], docs[text_col]).mapInArrow(run, f"`{id_col}` {kind}, lang_pred string, score double, accepted boolean")
 
 
 def drop_rejected(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
@@ -238,7 +238,7 @@ def drop_rejected(docs: DataFrame, model: Model, text_col: str = "text") -> Data
             got = (predict(model, text.as_py() or "", known) for text in batch.column(at))
             yield batch.filter(pa.array([lang != UNKNOWN and score >= model.threshold for lang, score in got], pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+    return base.bounded_batches(docs).mapInArrow(run, docs.schema)
 
 
 def op3_language(spark: SparkSession, folder: str) -> DataFrame:

@@ -73,7 +73,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             values = np.array([fingerprint(t, size) for t in base.texts(batch, text_col)], np.uint64)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(values.view(np.int64))], names=[id_col, name])
 
-    return docs.select(docs[id_col], docs[text_col]).mapInArrow(run, f"`{id_col}` {kind}, `{name}` long")
+    return base.bounded_batches(docs).select(docs[id_col], docs[text_col]).mapInArrow(run, f"`{id_col}` {kind}, `{name}` long")
 
 
 def references(n: int = PIVOTS) -> np.ndarray:
@@ -105,7 +105,7 @@ def links(classes: DataFrame, bucket: int = BUCKET, pivots: int = PIVOTS) -> Dat
     In larger buckets every member looks up all fingerprints that are its own with one or two bits of the other two
     groups flipped: the same links at a cost in proportion to the members.
     """
-    keyed = classes.select("fp", F.explode(F.array(*[_key(t) for t in range(len(TABLES))])).alias("key"))
+    keyed = base.bounded_batches(classes).select("fp", F.explode(F.array(*[_key(t) for t in range(len(TABLES))])).alias("key"))
     large = base.materialize(keyed.groupBy("key").count().where(F.col("count") > bucket).select("key"), "buckets")
     small = keyed
     found = None
@@ -205,7 +205,7 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
             values = np.array([fingerprint(t) for t in base.texts(batch, "text")], np.uint64)
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(values.view(np.int64))], names=["id", "text_key", "fp"])
 
-    rows = docs.select(docs[id_col].alias("id"), F.xxhash64(docs[text_col]).alias("text_key"), docs[text_col].alias("text"))
+    rows = base.bounded_batches(docs).select(docs[id_col].alias("id"), F.xxhash64(docs[text_col]).alias("text_key"), docs[text_col].alias("text"))
     found = base.materialize(rows.mapInArrow(run, f"id {kind}, text_key long, fp long"), "fingerprints")
     first = F.min(F.struct(F.col("id").isNull().alias("no_id"), "id", "text_key"))
     classes = found.groupBy("fp").agg(first.alias("first"))

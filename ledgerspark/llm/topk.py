@@ -167,7 +167,7 @@ def top_k(table: DataFrame, queries: DataFrame | None = None, k: int = K, unit:
     documents reach. Ties go to the smaller vec_id; scores beyond a long are cut to it. Fewer than k documents: all of them.
     """
     spark = table.sparkSession
-    rows = base.materialize(vectors(table, unit), "vectors")
+    rows = base.materialize(vectors(base.bounded_batches(table), unit), "vectors")
     asked = rows.where(F.col("vec_id") % QUERY_EVERY == 0) if queries is None else base.materialize(vectors(queries, unit), "queries")
     n, m = rows.count(), asked.count()
     out = "query_id long, rank int, vec_id long, score long"

@@ -56,7 +56,7 @@ class Words(dict):
         self.known, self.rest = model.weights, model.rest
 
     def __missing__(self, word: str) -> float:
-        if len(self) > 500_000:
+        if len(self) > 100_000:
             self.clear()
         self[word] = found = max((self.known[t] for t in tokens_of(word) if t in self.known), default=self.rest)
         return found
@@ -125,7 +125,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     )
     fold = F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(CALIBRATE_EVERY)) == 0
     rows = base.materialize(
-        docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select((F.col("label") > 0).cast("int").alias("label"), fold.alias("aside"), F.coalesce("text", F.lit("")).alias("text")), "labelled")
+        base.bounded_batches(docs).select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select((F.col("label") > 0).cast("int").alias("label"), fold.alias("aside"), F.coalesce("text", F.lit("")).alias("text")), "labelled")
 
     def count(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = pa.schema([("token", pa.string()), ("toxic", pa.int64()), ("clean", pa.int64())])
@@ -144,7 +144,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
         for batch in it:
             for label, text in zip(batch.column(0).to_pylist(), base.texts(batch)):
                 seen[label].update(set(_WORD.findall(text.lower())))  # a document counts once
-            if len(seen[0]) + len(seen[1]) > 300_000:
+            if len(seen[0]) + len(seen[1]) > 150_000:
                 yield from base.batches(out(), schema, at_once=20_000)
         yield from base.batches(out(), schema, at_once=20_000)
 
@@ -251,7 +251,7 @@ def toxic_passages(docs: DataFrame, model: Model, id_col: str = "doc_id", text_c
             found = [[{"start": s, "end": e, "score": x, "p": p} for s, e, x, p in places] for *_, places in got]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(scores, pa.float64()), pa.array(found, item)], names=[id_col, "score", "passages"])
 
-    return docs.select(docs[id_col], docs[text_col]).mapInArrow(run, f"`{id_col}` {kind}, score double, passages {PASSAGES}")
+    return base.bounded_batches(docs).select(docs[id_col], docs[text_col]).mapInArrow(run, f"`{id_col}` {kind}, score double, passages {PASSAGES}")
 
 
 def drop_toxic(docs: DataFrame, model: Model, text_col: str = "text", cut: float = CUT) -> DataFrame:
@@ -264,7 +264,7 @@ def drop_toxic(docs: DataFrame, model: Model, text_col: str = "text", cut: float
             keep = [chance(model, *evidence(model, words, text.as_py() or "")[:2]) < cut for text in batch.column(at)]
             yield batch.filter(pa.array(keep, pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+    return base.bounded_batches(docs).mapInArrow(run, docs.schema)
 
 
 def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
