@@ -102,7 +102,7 @@ def records(rows: DataFrame, segment: int = SEGMENT, chunk: int = CHUNK) -> Data
 
         yield from base.batches(out(), pa.schema([("data", pa.binary())]), bytes_at_once=8 << 20)
 
-    return rows.mapInArrow(run, "data binary")
+    return base.bounded_batches(rows).mapInArrow(run, "data binary")
 
 
 def write(pages: DataFrame, path: str, segment: int = SEGMENT, chunk: int = CHUNK) -> None:
@@ -111,52 +111,76 @@ def write(pages: DataFrame, path: str, segment: int = SEGMENT, chunk: int = CHUN
     rows.write.option("lineSep", "\r\n").option("compression", "gzip").option("maxRecordsPerFile", RECORDS_PER_FILE).text(path)
 
 
-def _inflated(data) -> bytes:
-    """The content of a file: all members of a gzip file, any other file as it is."""
-    if bytes(data[:2]) != b"\x1f\x8b":
-        return bytes(data)
-    out, rest = [], bytes(data)
-    while rest:
-        member = zlib.decompressobj(31)
-        out.append(member.decompress(rest) + member.flush())
-        rest = member.unused_data
-    return b"".join(out)
-
-
-def parse(data: bytes) -> Iterator[tuple[int, dict[str, str], memoryview]]:
-    """(offset, headers, block) of every record, by the lengths they state. Bytes that are no record, or a record cut short,
-    end the file."""
-    at, view = 0, memoryview(data)
-    while (at := data.find(b"WARC/", at)) >= 0:
-        end = data.find(b"\r\n\r\n", at)
-        if end < 0:
+def inflated(data, step: int = 1 << 18) -> Iterator[bytes]:
+    """The content of a file in pieces: that of all members of a gzip file, any other file as it is. A damaged file ends
+    where the damage begins."""
+    view = memoryview(data)
+    if bytes(view[:2]) != b"\x1f\x8b":
+        yield from (bytes(view[at : at + step]) for at in range(0, len(view), step))
+        return
+    at, member = 0, zlib.decompressobj(31)
+    while at < len(view):
+        piece = view[at : at + step]
+        try:
+            out = member.decompress(piece, 4 * step)
+        except zlib.error:
             return
-        lines = data[at:end].decode("utf-8", "replace").split("\r\n")[1:]
+        used = len(piece) - len(member.unused_data if member.eof else member.unconsumed_tail)
+        at += used
+        yield out
+        if member.eof:
+            member = zlib.decompressobj(31)
+        elif not used and not out:
+            return
+    yield member.flush()
+
+
+def parse(pieces: Iterator[bytes]) -> Iterator[tuple[int, dict[str, str], bytes]]:
+    """(offset, headers, block) of every record, by the lengths they state; one record is held at a time. Bytes that are no
+    record, or a record cut short, end the file."""
+    held, before, pieces = bytearray(), 0, iter(pieces)
+
+    def reach(find) -> int:
+        """The place that ``find`` gives, reading on until there is one; -1 at the end of the file."""
+        while (place := find()) < 0:
+            piece = next(pieces, None)
+            if piece is None:
+                return -1
+            held.extend(piece)
+        return place
+
+    while (at := reach(lambda: held.find(b"WARC/"))) >= 0 and (end := reach(lambda: held.find(b"\r\n\r\n", at))) >= 0:
+        lines = held[at:end].decode("utf-8", "replace").split("\r\n")[1:]
         headers = {name.strip().lower(): value.strip() for name, _, value in (line.partition(":") for line in lines)}
         size = headers.get("content-length", "")
-        if not size.isdigit() or end + 4 + int(size) > len(data):
+        if not size.isdigit():
+            return
+        stop = end + 4 + int(size)
+        if reach(lambda: stop if len(held) >= stop else -1) < 0:
             return
-        yield at, headers, view[end + 4 : end + 4 + int(size)]
-        at = end + 4 + int(size)
+        yield before + at, headers, bytes(held[end + 4 : stop])
+        del held[:stop]
+        before += stop
 
 
 def read(spark: SparkSession, path: str) -> DataFrame:
-    """Every record of the archives under ``path`` (columns of ``RECORD``); files are read by Spark."""
+    """Every record of the archives under ``path`` (columns of ``RECORD``). Files are read by Spark, each by one task, which holds the
+    file as it is stored (2 GB at most) and one record."""
     schema = pa.schema([(n, {"string": pa.string(), "int": pa.int32(), "long": pa.int64(), "binary": pa.binary()}[k]) for n, k in (x.split() for x in RECORD.split(", "))])
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def out():
             for batch in it:
                 for file, content in zip(batch.column(0).to_pylist(), batch.column(1)):
-                    for offset, h, block in parse(_inflated(content.as_buffer())):
+                    for offset, h, block in parse(inflated(content.as_buffer())):
                         number, total = h.get("warc-segment-number", ""), h.get("warc-segment-total-length", "")
                         own = h.get("warc-record-id")
                         yield (own, h.get("warc-type"), h.get("warc-segment-origin-id") or own, int(number) if number.isdigit() else None, int(total) if total.isdigit() else None,
-                               h.get("x-page-id"), h.get("warc-refers-to"), (h.get("warc-payload-digest") or "").removeprefix("sha1:") or None, _unline(h.get("warc-target-uri", "")), file, offset, bytes(block))
+                               h.get("x-page-id"), h.get("warc-refers-to"), (h.get("warc-payload-digest") or "").removeprefix("sha1:") or None, _unline(h.get("warc-target-uri", "")), file, offset, block)
 
         yield from base.batches(out(), schema, bytes_at_once=8 << 20)
 
-    return spark.read.format("binaryFile").load(path).select("path", "content").mapInArrow(run, RECORD)
+    return base.bounded_batches(spark.read.format("binaryFile").load(path)).select("path", "content").mapInArrow(run, RECORD)
 
 
 class Body:
@@ -253,7 +277,7 @@ def reassemble(found: DataFrame, keep: bool = True) -> DataFrame:
         yield from base.batches(out(), schema, bytes_at_once=8 << 20)
 
     wanted = [*names, "block"]
-    single = found.where("segment IS NULL AND kind IN ('response', 'revisit', 'resource')").select(*wanted).mapInArrow(run, ddl)
+    single = base.bounded_batches(found).where("segment IS NULL AND kind IN ('response', 'revisit', 'resource')").select(*wanted).mapInArrow(run, ddl)
     parts = found.where("segment IS NOT NULL").select(*wanted).repartition("origin").sortWithinPartitions("origin", "segment").mapInArrow(run, ddl)
     return single.unionByName(parts.where("kind <> 'continuation'"))
 

@@ -83,3 +83,16 @@ def test_damaged_and_scattered_segments(spark, tmp_path):
     assert bytes(got["<a>"]["payload"]) == b"abcde" and got["<a>"]["valid"]
     assert bytes(got["<plain>"]["payload"]) == b"raw\xff" and got["<plain>"]["valid"]
     assert not any(got[k]["valid"] for k in ("<gap>", "<len>", "<end>"))
+
+
+def test_many_members_and_small_pieces():
+    data = [records(([("WARC-Type", "response"), ("WARC-Record-ID", f"<{i}>")], b"x" * (i * 37))) for i in range(200)]
+    packed = b"".join(map(gzip.compress, data))
+    for step in (64, 1000, 1 << 18):
+        assert b"".join(warc.inflated(packed, step)) == b"".join(data)
+        got = list(warc.parse(warc.inflated(packed, step)))
+        assert [(h["warc-record-id"], len(b)) for _, h, b in got] == [(f"<{i}>", i * 37) for i in range(200)]
+        assert [at for at, _, _ in got] == [sum(map(len, data[:i])) for i in range(200)]
+    assert len(list(warc.parse(warc.inflated(packed[:-200])))) < 200
+    bomb = gzip.compress(b"\0" * 50_000_000)
+    assert max(map(len, warc.inflated(bomb))) <= 1 << 20
