@@ -10,6 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from ledgerspark.llm import base
 
@@ -101,7 +102,9 @@ def candidates(docs: DataFrame, items: Items, id_col: str = "doc_id", text_col:
     """(id_col, text_key, row, item, start, end, passage, seeds): passages of whole texts that share a gram with an item.
     text_key is a hash of the whole text, row numbers the rows of ``docs``, start and end count characters."""
     kind = docs.schema[id_col].dataType.simpleString()
-    schema = pa.schema([("text_key", pa.int64()), ("row", pa.int64()), ("item", pa.int32()), ("start", pa.int32()), ("end", pa.int32()), ("passage", pa.string()), ("seeds", pa.list_(pa.int64()))])
+    schema = pa.schema([
+        (id_col, to_arrow_type(docs.schema[id_col].dataType)), ("text_key", pa.int64()), ("row", pa.int64()), ("item", pa.int32()),
+        ("start", pa.int32()), ("end", pa.int32()), ("passage", pa.string()), ("seeds", pa.list_(pa.int64()))])
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def rows():
@@ -117,20 +120,12 @@ def candidates(docs: DataFrame, items: Items, id_col: str = "doc_id", text_col:
                             start, end = spans[a][0], spans[b - 1][1]
                             yield key.as_py(), text_key.as_py(), row.as_py(), i, start, end, shown[start:end], seeds
 
-        whole = pa.schema([pa.field(id_col, keys), *schema]) if (keys := pa_type) is not None else schema
-        yield from base.batches(rows(), whole, bytes_at_once=4 << 20)
+        yield from base.batches(rows(), schema, bytes_at_once=4 << 20)
 
-    frame = docs.select(docs[id_col], F.xxhash64(docs[text_col]).alias("text_key"), F.monotonically_increasing_id().alias("row"), docs[text_col].alias("text"))
-    pa_type = _arrow_type(docs, id_col)
+    frame = base.bounded_batches(docs).select(docs[id_col], F.xxhash64(docs[text_col]).alias("text_key"), F.monotonically_increasing_id().alias("row"), docs[text_col].alias("text"))
     return frame.mapInArrow(run, f"`{id_col}` {kind}, text_key long, row long, item int, start int, end int, passage string, seeds array<long>")
 
 
-def _arrow_type(df: DataFrame, name: str) -> pa.DataType:
-    from pyspark.sql.pandas.types import to_arrow_type
-
-    return to_arrow_type(df.schema[name].dataType)
-
-
 def align(item: np.ndarray, passage: np.ndarray) -> tuple[int, int]:
     """Smith-Waterman: the best local score of two word sequences and the place after its last word in the passage.
     0 in the passage is a word that no item has."""
@@ -179,7 +174,7 @@ def scored(joined: DataFrame, id_col: str = "doc_id") -> DataFrame:
                  pa.array([p.as_py()[s:e] for p, (s, e) in zip(part.column("passage"), spans)], pa.string())],
                 names=[id_col, "text_key", "row", "item_id", "score", "start", "end", "passage"])
 
-    return joined.mapInArrow(run, f"`{id_col}` {kinds[id_col]}, text_key long, row long, item_id {kinds['item_id']}, score double, start int, end int, passage string")
+    return base.bounded_batches(joined).mapInArrow(run, f"`{id_col}` {kinds[id_col]}, text_key long, row long, item_id {kinds['item_id']}, score double, start int, end int, passage string")
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -221,11 +216,11 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     return out.groupBy("row", id_col, "text_key", "item_id").agg(best).select(id_col, "text_key", "item_id", "best.*")
 
 
-def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "text") -> DataFrame:
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that leak no item, with all their columns. What a text leaks depends on the text alone, so rows
     are told apart by a hash of the whole text."""
     key = base.unused(docs.columns, "text_key")
-    leaks = base.materialize(contaminated(docs, benchmark, docs.columns[0] if "doc_id" not in docs.columns else "doc_id", text_col).select(F.col("text_key").alias(key)).distinct(), "leaks")
+    leaks = base.materialize(contaminated(docs, benchmark, id_col, text_col).select(F.col("text_key").alias(key)).distinct(), "leaks")
     return docs.withColumn(key, F.xxhash64(docs[text_col])).join(leaks, key, "left_anti").select(*docs.columns)
 
 
