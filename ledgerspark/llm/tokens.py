@@ -47,7 +47,7 @@ def encode(docs: DataFrame, ranks: bytes | None = None, id_col: str = "doc_id",
     """
     ranks = rank_bytes() if ranks is None else ranks
     kind = docs.schema[id_col].dataType.simpleString()
-    frame = docs.select(docs[id_col], docs[text_col])
+    frame = base.bounded_batches(docs).select(docs[id_col], docs[text_col])
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoding(ranks)
@@ -77,26 +77,28 @@ def decode(encoded: DataFrame, ranks: bytes | None = None, ids_col: str = "ids",
                 found = [None if x.as_py() is None else enc.decode_bytes(x.values.to_numpy()) for x in part.column(ids_col)]
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(found, type=pa.binary())], names=[*part.schema.names, name])
 
-    return encoded.mapInArrow(run, f"{fields}, `{name}` binary")
+    return base.bounded_batches(encoded).mapInArrow(run, f"{fields}, `{name}` binary")
 
 
-def digests(decoded: DataFrame, ids_col: str = "ids", bytes_col: str = "decoded", id_col: str = "doc_id", keep_ids: bool = False) -> DataFrame:
-    """(id_col, n_tokens, ids_sha256, decoded_sha256) of encoded and decoded rows, with the ids after id_col if wanted; for
-    the digest the ids are joined by commas."""
-    kind = decoded.schema[id_col].dataType.simpleString()
-    frame = decoded.select(id_col, ids_col, bytes_col)
+def digests(encoded: DataFrame, ranks: bytes | None = None, ids_col: str = "ids", id_col: str = "doc_id", keep_ids: bool = False) -> DataFrame:
+    """(id_col, n_tokens, ids_sha256, decoded_sha256) of encoded rows, with the ids after id_col if wanted. For the first digest
+    the ids are joined by commas, the second is that of the bytes they decode to. Null ids count as none."""
+    ranks = rank_bytes() if ranks is None else ranks
+    kind = encoded.schema[id_col].dataType.simpleString()
+    frame = encoded.select(id_col, ids_col)
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        enc = encoding(ranks)
         written: list[str] = [str(i) for i in range(1 << 16)]
         for batch in it:
             rows = []
-            for ids, data in zip(batch.column(1), batch.column(2)):
-                numbers = ids.values.to_numpy().tolist()
+            for ids in batch.column(1):
+                numbers = ids.values.to_numpy().tolist() if ids.is_valid else []
                 top = max(numbers, default=0)
                 if top >= len(written):
                     written.extend(str(i) for i in range(len(written), top + 1))
                 joined = ",".join(map(written.__getitem__, numbers)).encode()
-                rows.append((len(numbers), hashlib.sha256(joined).hexdigest(), hashlib.sha256(data.as_buffer()).hexdigest()))
+                rows.append((len(numbers), hashlib.sha256(joined).hexdigest(), hashlib.sha256(enc.decode_bytes(numbers)).hexdigest()))
             columns = list(zip(*rows)) or [(), (), ()]
             kept = batch.columns[: 2 if keep_ids else 1]
             yield pa.RecordBatch.from_arrays(
@@ -104,7 +106,7 @@ def digests(decoded: DataFrame, ids_col: str = "ids", bytes_col: str = "decoded"
                 names=[*(id_col, ids_col)[: len(kept)], "n_tokens", "ids_sha256", "decoded_sha256"])
 
     ids = f"`{ids_col}` array<int>, " if keep_ids else ""
-    return frame.mapInArrow(run, f"`{id_col}` {kind}, {ids}n_tokens long, ids_sha256 string, decoded_sha256 string")
+    return base.bounded_batches(frame).mapInArrow(run, f"`{id_col}` {kind}, {ids}n_tokens long, ids_sha256 string, decoded_sha256 string")
 
 
 def op9_bpe_codec(spark: SparkSession, folder: str) -> DataFrame:
@@ -113,5 +115,6 @@ def op9_bpe_codec(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def codec_report(docs: DataFrame) -> DataFrame:
+    """Both directions in two passes: each pass of a task has a Python worker of its own."""
     ranks = rank_bytes()
-    return digests(decode(encode(docs, ranks), ranks))
+    return digests(encode(docs, ranks), ranks)

@@ -3,7 +3,6 @@ import hashlib
 import public_tokenizers
 import pytest
 from helpers import rows, table
-from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from ledgerspark.llm import counts, tokens
@@ -60,6 +59,11 @@ def test_pieces_are_cut_at_safe_places(spark, small, enc, piece):
     assert {r[0]: r[1] for r in tokens.encode(df, piece=piece).collect()} == want
 
 
+def test_decoding_gives_the_bytes_back(odd):
+    got = sorted(((r["doc_id"], bytes(r["decoded"])) for r in tokens.decode(tokens.encode(odd)).collect()), key=repr)
+    assert got == sorted(((k, (t or "").encode()) for k, t in ODD), key=repr)
+
+
 def test_raw_bytes(spark):
     df = spark.createDataFrame([(1, [230]), (2, None), (3, [])], "doc_id long, ids array<int>")
     got = {r["doc_id"]: r["decoded"] for r in tokens.decode(df).collect()}
@@ -91,4 +95,4 @@ def test_long_frequencies(spark, tok):
 
 def test_held_back_columns_are_not_read(spark, small):
     plan = counts.count_tokens(spark.read.parquet(f"{small}/documents.parquet"))._jdf.queryExecution().executedPlan().toString()
-    assert "lang" not in plan.split("ReadSchema")[1].split(">")[0] and F
+    assert "lang" not in plan.split("ReadSchema")[1].split(">")[0]
