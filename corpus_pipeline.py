@@ -32,7 +32,7 @@ def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """(doc_id, ids, n_tokens, ids_sha256, decoded_sha256): token ids of every document left, decoded again for the last digest."""
     ranks = tokens.rank_bytes()
-    return tokens.digests(tokens.decode(tokens.encode(docs, ranks), ranks), keep_ids=True)
+    return tokens.digests(tokens.encode(docs, ranks), ranks, keep_ids=True)
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
