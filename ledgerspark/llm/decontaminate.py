@@ -1,4 +1,4 @@
-"""Benchmark decontamination: rare n-gram seeds join passages of the corpus to test items, alignment scores them."""
+"""Benchmark decontamination: n-gram seeds join passages of the corpus to test items, alignment scores them."""
 
 from __future__ import annotations
 
@@ -8,7 +8,6 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
@@ -16,8 +15,6 @@ from ledgerspark.llm import base
 
 #: Words per seed; an item with fewer words is one seed.
 SEED_WORDS = 4
-#: A seed is rare if so few documents or so small a share of them has it, or if it is among the rarer share of its item's seeds.
-RARE_DOCUMENTS, RARE_SHARE, RARER_OF_ITEM = 20, 0.001, 0.75
 MATCH, MISMATCH, GAP = 2, -1, -1
 #: A passage counts from half of the full score of its item; from 40 matching words on in any case.
 CUT, LONG = 0.5, 40
@@ -83,8 +80,8 @@ def codes(words: np.ndarray, n: int) -> np.ndarray:
     return mixed.view(np.int64)
 
 
-def passages_of(items: Items, numbers: np.ndarray) -> Iterator[tuple[int, int, int, list[int]]]:
-    """(item, first word, word after the last, seeds): around hits of an item that lie less than 1.5 item lengths apart."""
+def passages_of(items: Items, numbers: np.ndarray) -> Iterator[tuple[int, int, int]]:
+    """(item, first word, word after the last): around hits of an item that lie less than 1.5 item lengths apart."""
     places, grams = items.hits(numbers)
     item = items.item[grams]
     order = np.lexsort((places, item))
@@ -95,16 +92,16 @@ def passages_of(items: Items, numbers: np.ndarray) -> Iterator[tuple[int, int, i
         i = int(item[part[0]])
         n, diagonal = len(items.words[i]), places[part] - items.at[grams[part]]
         slack = n // 4 + 2
-        yield i, max(0, int(diagonal.min()) - slack), min(len(numbers), int(diagonal.max()) + n + slack), np.unique(items.codes[grams[part]]).tolist()
+        yield i, max(0, int(diagonal.min()) - slack), min(len(numbers), int(diagonal.max()) + n + slack)
 
 
 def candidates(docs: DataFrame, items: Items, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id_col, text_key, row, item, start, end, passage, seeds): passages of whole texts that share a gram with an item.
+    """(id_col, text_key, row, item, start, end, passage): passages of whole texts that share a gram with an item.
     text_key is a hash of the whole text, row numbers the rows of ``docs``, start and end count characters."""
     kind = docs.schema[id_col].dataType.simpleString()
     schema = pa.schema([
         (id_col, to_arrow_type(docs.schema[id_col].dataType)), ("text_key", pa.int64()), ("row", pa.int64()), ("item", pa.int32()),
-        ("start", pa.int32()), ("end", pa.int32()), ("passage", pa.string()), ("seeds", pa.list_(pa.int64()))])
+        ("start", pa.int32()), ("end", pa.int32()), ("passage", pa.string())])
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def rows():
@@ -114,16 +111,16 @@ def candidates(docs: DataFrame, items: Items, id_col: str = "doc_id", text_col:
                     if found:
                         low = text.lower()
                         shown = text if len(low) == len(text) else low
-                        needed = {p for _, a, b, _ in found for p in (a, b - 1)}
+                        needed = {p for _, a, b in found for p in (a, b - 1)}
                         spans = {k: m.span() for k, m in enumerate(_WORD.finditer(low)) if k in needed}
-                        for i, a, b, seeds in found:
+                        for i, a, b in found:
                             start, end = spans[a][0], spans[b - 1][1]
-                            yield key.as_py(), text_key.as_py(), row.as_py(), i, start, end, shown[start:end], seeds
+                            yield key.as_py(), text_key.as_py(), row.as_py(), i, start, end, shown[start:end]
 
         yield from base.batches(rows(), schema, bytes_at_once=4 << 20)
 
     frame = base.bounded_batches(docs).select(docs[id_col], F.xxhash64(docs[text_col]).alias("text_key"), F.monotonically_increasing_id().alias("row"), docs[text_col].alias("text"))
-    return frame.mapInArrow(run, f"`{id_col}` {kind}, text_key long, row long, item int, start int, end int, passage string, seeds array<long>")
+    return frame.mapInArrow(run, f"`{id_col}` {kind}, text_key long, row long, item int, start int, end int, passage string")
 
 
 def align(item: np.ndarray, passage: np.ndarray) -> tuple[int, int]:
@@ -181,32 +178,21 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     """(id_col, text_key, item_id, score, start, end, passage): the best passage of each document for each item it leaks.
 
     One pass over the corpus per slice of the benchmark (one slice up to ``SLICE_WORDS`` words) collects the passages that
-    share a gram with an item; they give the number of documents of each gram, hence the rare seeds; passages with a
-    rare seed are aligned with the item. Null or empty texts and items without words match nothing; repeated rows are
+    share a gram with an item; each of them is aligned with the item, however many documents have its grams. Null or empty texts and items without words match nothing; repeated rows are
     reported each; a null item id is an item like others. Other columns are not read.
     """
     spark = docs.sparkSession
     items = benchmark.select("item_id", "text").where(F.col("text").isNotNull()).distinct()
     size = items.agg(F.sum(F.size(F.split("text", r"\s+"))).alias("n")).first()["n"] or 0
     slices, out = -(-size // SLICE_WORDS), None
-    total = None
     for k in range(slices):
         rows = [(r["item_id"], r["text"]) for r in items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(slices)) == k).orderBy("item_id", "text").collect()]
         own = Items(rows)
         if not len(own.codes):
             continue
         found = base.materialize(candidates(docs, own, id_col, text_col), "passages")
-        total = docs.count() if total is None else total
         numbered = spark.createDataFrame([(i, key, text) for i, (key, text) in enumerate(rows)], "item int, item_id " + items.schema["item_id"].dataType.simpleString() + ", item_text string")
-        grams = spark.createDataFrame(sorted({(int(i), int(c)) for i, c in zip(own.item, own.codes)}), "item int, seed long")
-        often = found.select("row", F.explode("seeds").alias("seed")).distinct().groupBy("seed").agg(F.count("*").alias("documents"))
-        order = W.partitionBy("item").orderBy(F.coalesce("documents", F.lit(0)))
-        rare = (
-            grams.join(often, "seed", "left").withColumn("place", F.percent_rank().over(order))
-            .where((F.col("place") <= RARER_OF_ITEM) | (F.col("documents") <= max(RARE_DOCUMENTS, RARE_SHARE * total)))
-            .groupBy("item").agg(F.collect_set("seed").alias("rare"))
-        )
-        joined = found.join(numbered.join(rare, "item"), "item").where(F.arrays_overlap("seeds", "rare")).select(id_col, "text_key", "row", "start", "end", "passage", "item_id", "item_text")
+        joined = found.join(numbered, "item").select(id_col, "text_key", "row", "start", "end", "passage", "item_id", "item_text")
         part = scored(joined, id_col)
         out = part if out is None else out.unionByName(part)
     if out is None:

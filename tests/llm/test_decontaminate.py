@@ -96,3 +96,12 @@ def test_odd_rows(spark):
     assert got == sorted([(None,), (3,), (3,), (4,), (5,), (6,)], key=repr)
     assert dc.contaminated(df.limit(0), b).count() == 0 and dc.contaminated(df, b.limit(0)).count() == 0
     assert dc.drop_contaminated(df, b.where("item_id = 1")).count() == 2
+
+
+def test_an_edited_copy_in_hundreds_of_documents(spark):
+    """The grams that survive the edits are the item's most frequent ones in the corpus, because the copy is popular."""
+    words = [f"q{i}" for i in range(40)]
+    copy = " ".join("other" if i % 5 == 4 else w for i, w in enumerate(words))
+    docs, items = [(i, f"a{i} b{i} {copy} c{i}") for i in range(300)] + [(1000 + i, f"d{i} e{i}") for i in range(300)], [(1, " ".join(words))]
+    got = dc.contaminated(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
+    assert {r[:2] for r in rows(got, "doc_id", "item_id")} == brute(docs, items) == {(i, 1) for i in range(300)}
