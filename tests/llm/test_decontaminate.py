@@ -105,3 +105,37 @@ def test_an_edited_copy_in_hundreds_of_documents(spark):
     docs, items = [(i, f"a{i} b{i} {copy} c{i}") for i in range(300)] + [(1000 + i, f"d{i} e{i}") for i in range(300)], [(1, " ".join(words))]
     got = dc.contaminated(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
     assert {r[:2] for r in rows(got, "doc_id", "item_id")} == brute(docs, items) == {(i, 1) for i in range(300)}
+
+
+@pytest.mark.parametrize("edit", ["replaced", "added"])
+@pytest.mark.parametrize("every", [1, 2, 3, 4, 5])
+def test_edits_of_every_nth_word(spark, edit, every):
+    """What whole documents align with is found, down to the last word that the cut needs."""
+    rng = np.random.default_rng(every)
+    lexicon = [f"w{i}" for i in range(500)]
+    items = [(i, " ".join(rng.choice(lexicon, size=n))) for i, n in enumerate([1, 2, 3, 5, 12, 16, 39, 40, 59, 80, 120])]
+    docs = []
+    for i, text in items:
+        words = text.split()
+        for first in range(min(every, len(words))):
+            for left in (0, 1, 2):  # words cut off at the end
+                own = words[: len(words) - left]
+                own = [x for k, w in enumerate(own) for x in ([w] if k % every != first else ["changed"] if edit == "replaced" else [w, "added"])]
+                docs.append((len(docs), " ".join([*rng.choice(lexicon, size=80), *own, *rng.choice(lexicon, size=20)])))
+    got = dc.contaminated(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
+    want = brute(docs, [(i, t) for i, t in items])
+    assert {r[:2] for r in rows(got, "doc_id", "item_id")} == want
+
+
+def test_passages_hold_every_alignment_at_the_cut(monkeypatch):
+    """Random texts of few words, where many alignments lie just at the cut; hits of long texts in parts."""
+    monkeypatch.setattr(dc, "WORDS_AT_ONCE", 16)
+    rng = np.random.default_rng(7)
+    for kinds in (3, 6, 12, 30):
+        lexicon = [f"w{i}" for i in range(kinds)]
+        items = [(i, " ".join(rng.choice(lexicon, size=n))) for i, n in enumerate([1, 2, 3, 4, 7, 15, 41, 90])]
+        own = dc.Items(items)
+        for d in range(60):
+            text = " ".join(rng.choice([*lexicon, "other"], size=int(rng.integers(0, 90))))
+            got = {(d, i): score for i, score, _, _ in dc.leaks_of(own, own.numbers(text))}
+            assert set(got) == brute([(d, text)], items)
