@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -111,60 +112,96 @@ def write(pages: DataFrame, path: str, segment: int = SEGMENT, chunk: int = CHUN
     rows.write.option("lineSep", "\r\n").option("compression", "gzip").option("maxRecordsPerFile", RECORDS_PER_FILE).text(path)
 
 
-def inflated(data, step: int = 1 << 18) -> Iterator[bytes]:
-    """The content of a file in pieces: that of all members of a gzip file, any other file as it is. A damaged file ends
-    where the damage begins."""
+_MEMBER = re.compile(rb"\x1f\x8b\x08[\x00-\x1f]")
+
+
+def inflated(data, step: int = 1 << 18) -> Iterator[bytes | None]:
+    """The content of a file in pieces: that of all members of a gzip file, any other file as it is. None stands where a
+    member is damaged; the next member that follows its start goes on."""
     view = memoryview(data)
     if bytes(view[:2]) != b"\x1f\x8b":
         yield from (bytes(view[at : at + step]) for at in range(0, len(view), step))
         return
-    at, member = 0, zlib.decompressobj(31)
+    at, start, member = 0, 0, zlib.decompressobj(31)
     while at < len(view):
-        piece = view[at : at + step]
+        piece, failed = view[at : at + step], False
         try:
             out = member.decompress(piece, 4 * step)
         except zlib.error:
-            return
-        used = len(piece) - len(member.unused_data if member.eof else member.unconsumed_tail)
-        at += used
-        yield out
-        if member.eof:
+            failed = True
+        else:
+            used = len(piece) - len(member.unused_data if member.eof else member.unconsumed_tail)
+            at += used
+            yield out
+            if member.eof:
+                start, member = at, zlib.decompressobj(31)
+                continue
+            if at >= len(view):
+                yield member.flush()
+            failed = not member.eof and (at >= len(view) or not used and not out)
+        if failed:
+            yield None
+            found = _MEMBER.search(view, start + 1)
+            if not found:
+                return
+            at = start = found.start()
             member = zlib.decompressobj(31)
-        elif not used and not out:
-            return
-    yield member.flush()
-
-
-def parse(pieces: Iterator[bytes]) -> Iterator[tuple[int, dict[str, str], bytes]]:
-    """(offset, headers, block) of every record, by the lengths they state; one record is held at a time. Bytes that are no
-    record, or a record cut short, end the file."""
-    held, before, pieces = bytearray(), 0, iter(pieces)
-
-    def reach(find) -> int:
-        """The place that ``find`` gives, reading on until there is one; -1 at the end of the file."""
-        while (place := find()) < 0:
-            piece = next(pieces, None)
-            if piece is None:
-                return -1
-            held.extend(piece)
-        return place
-
-    while (at := reach(lambda: held.find(b"WARC/"))) >= 0 and (end := reach(lambda: held.find(b"\r\n\r\n", at))) >= 0:
-        lines = held[at:end].decode("utf-8", "replace").split("\r\n")[1:]
-        headers = {name.strip().lower(): value.strip() for name, _, value in (line.partition(":") for line in lines)}
-        size = headers.get("content-length", "")
-        if not size.isdigit():
-            return
-        stop = end + 4 + int(size)
-        if reach(lambda: stop if len(held) >= stop else -1) < 0:
-            return
-        yield before + at, headers, bytes(held[end + 4 : stop])
-        del held[:stop]
-        before += stop
+
+
+def parse(pieces: Iterator[bytes | None], damaged: bool = False) -> Iterator[tuple[int, dict[str, str] | None, bytes | int]]:
+    """(offset, headers, block) of every record, by the lengths they state; one record is held at a time. After bytes that are
+    no record, or a record whose length is wrong, the next line that starts with WARC/ goes on; if ``damaged``, the range
+    left out is given as (offset, None, bytes)."""
+    before, pieces, more = 0, iter(pieces), True
+    while more:
+        held, cut, skip = bytearray(), False, 0
+
+        def reach(find) -> int:
+            """The place that ``find`` gives, reading on until there is one; -1 at the end of the file or at damage."""
+            nonlocal cut, more
+            while (place := find()) < 0:
+                piece = b"" if cut else next(pieces, _END)
+                if cut or piece is None or piece is _END:
+                    cut, more = True, more and piece is not _END
+                    return -1
+                held.extend(piece)
+            return place
+
+        def start() -> int:
+            return held.find(b"WARC/") if not skip else held.find(b"\nWARC/", skip) + 1 or -1
+
+        while (at := reach(start)) >= 0:
+            end = reach(lambda: held.find(b"\r\n\r\n", at))
+            lines = held[at : max(at, end)].decode("utf-8", "replace").split("\r\n")[1:]
+            headers = {name.strip().lower(): value.strip() for name, _, value in (line.partition(":") for line in lines)}
+            size = headers.get("content-length", "")
+            stop = end + 4 + int(size) if end >= 0 and size.isdecimal() and size.isascii() and len(size) < 19 else -1
+            if stop < 0 or reach(lambda: stop if len(held) >= stop else -1) < 0 or not _ends(held, stop, reach):
+                skip = at + 5
+                continue
+            if damaged and held[:at].strip():
+                yield before, None, at
+            yield before + at, headers, bytes(held[end + 4 : stop])
+            del held[:stop]
+            before, skip = before + stop, 0
+        if damaged and held.strip():
+            yield before, None, len(held)
+        before += len(held)
+
+
+_END = object()
+
+
+def _ends(held: bytearray, stop: int, reach) -> bool:
+    """True if a record can end there: before an empty line, the next record or the end."""
+    reach(lambda: stop if len(held) >= stop + 9 else -1)
+    rest = bytes(held[stop : stop + 9]).lstrip(b"\r\n")
+    return held[stop : stop + 4] == b"\r\n\r\n" or b"WARC/".startswith(rest[:5])
 
 
 def read(spark: SparkSession, path: str) -> DataFrame:
-    """Every record of the archives under ``path`` (columns of ``RECORD``). Files are read by Spark, each by one task, which holds the
+    """Every record of the archives under ``path`` (columns of ``RECORD``), and a row of kind ``damaged`` for every range that is
+    no whole record, whose total is its number of bytes, as far as they could be inflated. Files are read by Spark, each by one task, which holds the
     file as it is stored (2 GB at most) and one record."""
     schema = pa.schema([(n, {"string": pa.string(), "int": pa.int32(), "long": pa.int64(), "binary": pa.binary()}[k]) for n, k in (x.split() for x in RECORD.split(", "))])
 
@@ -172,7 +209,10 @@ def read(spark: SparkSession, path: str) -> DataFrame:
         def out():
             for batch in it:
                 for file, content in zip(batch.column(0).to_pylist(), batch.column(1)):
-                    for offset, h, block in parse(inflated(content.as_buffer())):
+                    for offset, h, block in parse(inflated(content.as_buffer()), damaged=True):
+                        if h is None:
+                            yield None, "damaged", None, None, min(block, 2**31 - 1), None, None, None, None, file, offset, b""
+                            continue
                         number, total = h.get("warc-segment-number", ""), h.get("warc-segment-total-length", "")
                         own = h.get("warc-record-id")
                         yield (own, h.get("warc-type"), h.get("warc-segment-origin-id") or own, int(number) if number.isdigit() else None, int(total) if total.isdigit() else None,
@@ -234,7 +274,8 @@ class Body:
 
 
 def reassemble(found: DataFrame, keep: bool = True) -> DataFrame:
-    """(record_id, kind, page_id, refers_to, digest, target, n, sha1, valid, payload) of every record but continuations.
+    """(record_id, kind, page_id, refers_to, digest, target, n, sha1, valid, payload) of every record but continuations that
+    follow a first record. Those without one, and damaged ranges, are rows that are not valid.
 
     Continuation records are grouped with their origin by its identifier, ordered by segment number and fed one after the
     other into one decoder, so that a task holds one segment at a time (and the payload, if ``keep``). valid: numbers run
@@ -253,7 +294,7 @@ def reassemble(found: DataFrame, keep: bool = True) -> DataFrame:
             def done():
                 own, kind, _, segment, _, page_id, refers_to, digest, target = first
                 sha = body.sha.hexdigest()
-                good = whole and own is not None and (kind == "revisit" or body.whole(total) and (digest in (None, sha)) and (segment is None or total is not None))
+                good = whole and own is not None and kind not in ("continuation", "damaged") and (kind == "revisit" or body.whole(total) and (digest in (None, sha)) and (segment is None or total is not None))
                 return own, kind, page_id, refers_to, digest, target, body.n, sha, good, b"".join(body.kept) if keep else None
 
             for batch in it:
@@ -277,9 +318,9 @@ def reassemble(found: DataFrame, keep: bool = True) -> DataFrame:
         yield from base.batches(out(), schema, bytes_at_once=8 << 20)
 
     wanted = [*names, "block"]
-    single = base.bounded_batches(found).where("segment IS NULL AND kind IN ('response', 'revisit', 'resource')").select(*wanted).mapInArrow(run, ddl)
+    single = base.bounded_batches(found).where("segment IS NULL AND kind IN ('response', 'revisit', 'resource', 'continuation', 'damaged')").select(*wanted).mapInArrow(run, ddl)
     parts = found.where("segment IS NOT NULL").select(*wanted).repartition("origin").sortWithinPartitions("origin", "segment").mapInArrow(run, ddl)
-    return single.unionByName(parts.where("kind <> 'continuation'"))
+    return single.unionByName(parts)
 
 
 def op6_warc(spark: SparkSession, folder: str) -> DataFrame:

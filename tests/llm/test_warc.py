@@ -1,5 +1,6 @@
 import gzip
 import hashlib
+import re
 
 import pytest
 from helpers import rows, table
@@ -96,3 +97,24 @@ def test_many_members_and_small_pieces():
     assert len(list(warc.parse(warc.inflated(packed[:-200])))) < 200
     bomb = gzip.compress(b"\0" * 50_000_000)
     assert max(map(len, warc.inflated(bomb))) <= 1 << 20
+
+
+def test_reading_goes_on_after_damage(spark, tmp_path):
+    one = lambda i: records(([("WARC-Type", "response"), ("WARC-Record-ID", f"<{i}>")], b"HTTP/1.0 200 OK\r\n\r\n" + bytes(str(i), "ascii") * 300))
+    packed = [gzip.compress(one(i)) for i in range(5)]
+    broken = bytearray(packed[2])
+    broken[len(broken) // 2] ^= 0xFF
+    plain = [one(i) for i in range(10, 16)]
+    size = re.search(rb"Content-Length: (\d+)", plain[1])[1]
+    plain[1] = plain[1].replace(size, b"999999")
+    plain[2] = plain[2].replace(size, b"none")
+    plain[4] = plain[4].replace(size, b"7")
+    late = segments("<orphan>", [b"a", b"b", b"c"], 3)[1:]
+    files = {"1.warc.gz": b"".join([*packed[:2], bytes(broken), *packed[3:]]), "2.warc": b"".join(plain), "3.warc": records(*late), "4.warc.gz": packed[0][:-30] + packed[1]}
+    for name, data in files.items():
+        (tmp_path / name).write_bytes(data)
+    found = warc.reassemble(warc.read(spark, str(tmp_path))).collect()
+    assert {r["record_id"] for r in found if r["valid"]} >= {"<0>", "<1>", "<3>", "<4>", "<10>", "<13>", "<15>"}
+    assert not {r["record_id"] for r in found if r["valid"]} & {"<11>", "<12>", "<14>"}
+    assert sum(r["kind"] == "damaged" for r in found) >= 2 and sum(r["kind"] == "continuation" for r in found) == 1
+    assert not any(r["valid"] for r in found if r["kind"] in ("continuation", "damaged"))
