@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerspark.llm import chat, counts, decontaminate, langid, simhash, tokens, topk, toxicity, urls, warc
+from ledgerspark.llm import chat, counts, decontaminate, langid, multiindex, negatives, phrases, simhash, tokens, topk, toxicity, urls, warc
 from ledgerspark.llm.oracles import ORACLES
 
 QUERIES: list[Callable[[SparkSession, str], DataFrame]] = [
@@ -20,6 +20,9 @@ QUERIES: list[Callable[[SparkSession, str], DataFrame]] = [
     decontaminate.op8_decontaminate,
     tokens.op9_bpe_codec,
     toxicity.op10_toxicity,
+    negatives.op11_hard_negatives,
+    phrases.op12_collocations,
+    multiindex.op13_embedding_dedup,
 ]
 
 

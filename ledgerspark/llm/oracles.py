@@ -97,4 +97,66 @@ t AS (SELECT coalesce((SELECT bin FROM z WHERE wrong IS NOT NULL ORDER BY wrong,
 SELECT page_id, host, path, rule, coalesce(verdict, CASE WHEN bin >= least THEN 'allow' ELSE 'block' END) AS verdict FROM j, t
 """
 
-ORACLES = {"op1_topk": TOP_K, "op2_chat": CHAT, "op4_url_filter": URLS, "op6_warc": WARC}
+HARD_NEGATIVES = """
+WITH v AS (
+  SELECT vec_id, min({'label': CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END, 'x': list_transform(embedding, lambda c: floor(256 * CAST(c AS DOUBLE)))}) AS r
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0
+  GROUP BY vec_id),
+s AS (
+  SELECT a.vec_id AS anchor_id, d.vec_id AS vec_id, a.r.label = d.r.label AS same, CAST(list_dot_product(a.r.x, d.r.x) AS BIGINT) AS score
+  FROM v AS a JOIN v AS d ON a.vec_id <> d.vec_id
+  WHERE a.vec_id % 100 = 0),
+p AS (SELECT anchor_id, vec_id, score FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5),
+w AS (
+  SELECT p.anchor_id AS anchor_id, p.vec_id AS positive_id, s.vec_id AS negative_id, p.score AS positive_score, s.score AS negative_score,
+         row_number() OVER (PARTITION BY p.anchor_id, p.vec_id ORDER BY s.score DESC, s.vec_id) AS place
+  FROM p JOIN s ON s.anchor_id = p.anchor_id AND NOT s.same AND 80 * p.score <= 100 * s.score AND s.score <= p.score)
+SELECT anchor_id, positive_id, CAST(place AS INTEGER) AS rank, negative_id, positive_score, negative_score FROM w WHERE place <= 5
+"""
+
+COLLOCATIONS = r"""
+WITH p AS (
+  SELECT lang, list_filter(string_split_regex(piece, '[ \t]+'), lambda w: w <> '') AS ws
+  FROM (SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\n\x0B\f\r]')) AS piece FROM documents)),
+o AS (
+  SELECT lang, unnest(ws) AS phrase, 1 AS words FROM p
+  UNION ALL SELECT lang, unnest(list_transform(range(1, len(ws)), lambda i: ws[i] || ' ' || ws[i + 1])), 2 FROM p
+  UNION ALL SELECT lang, unnest(list_transform(range(1, len(ws) - 1), lambda i: ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2])), 3 FROM p),
+f AS MATERIALIZED (SELECT lang, phrase, words, concat_ws('|', lang, phrase) AS key, count(*) AS f FROM o GROUP BY lang, phrase, words),
+n AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM f WHERE words = 1 GROUP BY lang),
+g AS MATERIALIZED (SELECT * FROM f WHERE f >= 10),
+c AS (SELECT lang, phrase, words, f AS a, string_split(phrase, ' ') AS w FROM g WHERE words > 1),
+u AS (SELECT lang, phrase, words, a, w, unnest(range(1, words)) AS cut FROM c),
+k AS MATERIALIZED (SELECT lang, phrase, a, cut, concat_ws('|', lang, array_to_string(w[1:cut], ' ')) AS before, concat_ws('|', lang, array_to_string(w[cut + 1:], ' ')) AS after FROM u),
+m AS MATERIALIZED (SELECT k.*, g.f AS l FROM k JOIN g ON g.key = k.before),
+s AS (SELECT m.lang AS lang, m.phrase AS phrase, a, cut, l, g.f AS r, CAST(1000000::HUGEINT * a * a // (l::HUGEINT * g.f) AS BIGINT) AS score FROM m JOIN g ON g.key = m.after),
+b AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1),
+d AS (
+  SELECT lang, phrase, max(a) AS around FROM (
+    SELECT lang, a, unnest([array_to_string(w[1:2], ' '), array_to_string(w[2:3], ' ')]) AS phrase FROM c WHERE words = 3) GROUP BY lang, phrase),
+z AS (
+  SELECT b.lang AS lang, row_number() OVER (PARTITION BY b.lang ORDER BY score DESC, a DESC, b.phrase) AS place, b.phrase AS phrase, a, l, r, score
+  FROM b LEFT JOIN d ON d.lang = b.lang AND d.phrase = b.phrase WHERE around IS NULL OR 100 * around < 50 * a)
+SELECT z.lang AS lang, CAST(place AS INTEGER) AS rank, phrase, a, l, r, n, score FROM z JOIN n ON n.lang = z.lang WHERE place <= 2000
+"""
+
+NEAR_VECTORS = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, list_transform(embedding, lambda c: CAST(c AS DOUBLE)) AS x FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0
+    AND len(list_filter(embedding, lambda c: c <> 0)) > 0),
+l AS MATERIALIZED (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM v AS a JOIN v AS b ON a.label = b.label AND len(a.x) = len(b.x) AND a.vec_id <> b.vec_id
+  WHERE list_cosine_similarity(a.x, b.x) >= 0.93),
+r AS (SELECT a AS node, a AS reached FROM l UNION SELECT r.node, l.b FROM r JOIN l ON l.a = r.reached),
+c AS (SELECT node, min(reached) AS least FROM r GROUP BY node),
+n AS (SELECT a, count(*) AS n FROM l GROUP BY a)
+SELECT e.vec_id AS vec_id, coalesce(n.n, 0) AS n_links, coalesce(c.least, e.vec_id) AS component_id, coalesce(c.least, e.vec_id) IS NOT DISTINCT FROM e.vec_id AS kept
+FROM embeddings AS e LEFT JOIN n ON n.a = e.vec_id LEFT JOIN c ON c.node = e.vec_id
+"""
+
+ORACLES = {
+    "op1_topk": TOP_K, "op2_chat": CHAT, "op4_url_filter": URLS, "op6_warc": WARC,
+    "op11_hard_negatives": HARD_NEGATIVES, "op12_collocations": COLLOCATIONS, "op13_embedding_dedup": NEAR_VECTORS,
+}
