@@ -96,14 +96,20 @@ def _kind(variant: Column, path: str, name: str) -> Column:
     return F.schema_of_variant(F.try_variant_get(variant, path, "variant")) == name
 
 
+def check_word(word: str) -> str:
+    """The word in lower case; it must consist of letters, marks and digits."""
+    wanted = word.lower()
+    if not wanted or not all(unicodedata.category(c)[0] in "LMN" for c in wanted):
+        raise ValueError(f"not a word: {word}")
+    return wanted
+
+
 def has_word(text: str | Column, word: str) -> Column:
     """Whether a text has the word, as a run of letters, marks and digits of its own, in any language and case.
 
     Letters are compared as they are stored: a text and a word in different normal forms do not match.
     """
-    wanted = word.lower()
-    if not wanted or not all(unicodedata.category(c)[0] in "LMN" for c in wanted):
-        raise ValueError(f"not a word: {word}")
+    wanted = check_word(word)
     low = F.lower(_col(text))
     # the plain search settles most texts before the pattern is tried
     border = r"[^\p{L}\p{M}\p{N}]"

@@ -12,7 +12,9 @@ from ledgerspark.operators import filters as P
 from ledgerspark.operators import joins as J
 from ledgerspark.operators import ledger, paging, setops
 from ledgerspark.operators import windows as W
+from ledgerspark.operators.postings import TextIndex
 from ledgerspark.plans.registry import query
+from ledgerspark.session import scratch_path
 
 # Groups above this many rows are cut in the ``*_hot`` queries, which put a third of all rows on one account.
 HOT_SPLIT = 2000
@@ -162,6 +164,35 @@ def text_search_spanish(v):
     return P.text_search(v.table("documents"), "text", ["Ñ", "los"]).select("doc_id")
 
 
+def document_index(v):
+    """Index of two thirds of the documents, and of the others as an appended batch with some of the first once more."""
+    docs, part = v.table("documents"), F.pmod(F.xxhash64("doc_id"), F.lit(3))
+    index = TextIndex.build(docs.filter(part > 0), "doc_id", "text", scratch_path(v.spark, "postings"))
+    index.append(docs.filter(part < 2), "doc_id", "text")
+    return index
+
+
+@query(f"SELECT doc_id FROM documents WHERE {WORDS.format('the')} AND {WORDS.format('license')}")
+def text_search_postings(v):
+    return document_index(v).search(["the", "License"]).select(F.col("id").alias("doc_id"))
+
+
+@query(r"""SELECT doc_id FROM documents
+WHERE regexp_matches(lower(text), '(^|[^\p{L}\p{M}\p{N}])on[^\p{L}\p{M}\p{N}]+the($|[^\p{L}\p{M}\p{N}])')""")
+def text_search_phrase(v):
+    return document_index(v).phrase(["on", "the"]).select(F.col("id").alias("doc_id"))
+
+
+@query(r"""SELECT word, count(*) AS documents FROM (
+  SELECT DISTINCT doc_id, unnest(regexp_split_to_array(lower(text), '[^\p{L}\p{M}\p{N}]+')) AS word FROM documents)
+WHERE word <> '' GROUP BY word""")
+def text_terms(v):
+    """After a merge, the index is that of all documents."""
+    index = document_index(v)
+    index.merge()
+    return index.terms()
+
+
 @query("SELECT id AS payment, amount_minor AS amount FROM payments")
 def projection(v):
     return P.projection(v.payments, payment="id", amount="amount_minor")
