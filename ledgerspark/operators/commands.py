@@ -3,16 +3,19 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerspark.functions.batches import extended, lists
 from ledgerspark.functions.scalars import request_hash
-from ledgerspark.operators.scans import ROWS_PER_SPLIT, global_rank, hot_keys, seq_split
-from ledgerspark.session import materialize
+from ledgerspark.operators.scans import ROWS_PER_SPLIT, cut, global_rank
+from ledgerspark.session import discard, materialize
+
+#: Maps of so many neighbouring ranges of a row are composed at once.
+FAN_OUT = 4
 
 
 def classify_requests(requests: DataFrame, payload: list[str]) -> DataFrame:
@@ -36,32 +39,39 @@ def classify_requests(requests: DataFrame, payload: list[str]) -> DataFrame:
 # ---- row versions. A missing row counts as version -1, so that a create is "version + 1" in every case.
 
 
-def optimistic_updates(rows: DataFrame, commands: DataFrame, rows_per_split: int = ROWS_PER_SPLIT) -> DataFrame:
+def optimistic_updates(
+    rows: DataFrame, commands: DataFrame, rows_per_split: int = ROWS_PER_SPLIT, on_round: Callable[[str, int], None] | None = None
+) -> DataFrame:
     """``commands`` (seq, row_id, expected_version) with ``outcome`` and the resulting ``version``.
 
     NULL as expected version creates or overwrites the row. Otherwise the row must exist (NOT_FOUND) and be at
-    the expected version (STALE); a success adds one to the version. ``rows`` (id, version) is the start.
+    the expected version (STALE); a success adds one to the version. ``rows`` (id, version) is the start. ``seq`` orders the
+    commands of a row; it may be of any kind that can be sorted, with any gaps.
 
     Rows with up to ``rows_per_split`` commands are followed in order in one pass over sorted data. The commands
-    of a row with more are cut into ranges of ``seq``; each range is turned into the map from the version before
-    it to the version after it, the maps are walked in order, and then all ranges are followed side by side.
+    of a row with more are cut into ranges; each range is turned into the map from the version before
+    it to the version after it, neighbouring maps are composed in log rounds (``on_round`` hears of each), and with the version
+    at the begin of every range all ranges are followed side by side. Commands without a row id are NOT_FOUND.
     """
     columns = commands.columns
+    nameless = commands.filter(F.col("row_id").isNull()).select(*columns, F.lit("NOT_FOUND").alias("outcome"), F.lit(None).cast("bigint").alias("version"))
+    commands = commands.filter(F.col("row_id").isNotNull())
     start = rows.select(F.col("id").alias("_id"), F.col("version").alias("_start"))
-    joined = commands.join(start, F.col("row_id") == F.col("_id"), "left").drop("_id")
-    joined = joined.withColumn("_start", F.coalesce("_start", F.lit(-1).cast("bigint")))
-    hot = hot_keys(commands, ["row_id"], rows_per_split)
-    if hot is None:
-        return _follow(joined.withColumn("_split", F.lit(0).cast("bigint")), columns)
-    hot = hot.select(F.col("_h_row_id").alias("_hot"))
-    marked = joined.join(hot, F.col("row_id") == F.col("_hot"), "left")
-    part = F.when(F.col("_hot").isNotNull(), seq_split(rows_per_split)).otherwise(0)
-    marked = materialize(marked.withColumn("_split", part), "commands")
-    begins = materialize(_walk(_range_maps(marked.filter(F.col("_hot").isNotNull()))), "begins")
-    begins = begins.select(F.col("row_id").alias("_row"), F.col("_split").alias("_range"), "_begin")
-    same = (F.col("row_id") == F.col("_row")) & (F.col("_split") == F.col("_range"))
-    placed = marked.join(begins, same, "left").withColumn("_start", F.coalesce("_begin", "_start"))
-    return _follow(placed.drop("_row", "_range", "_begin", "_hot"), columns)
+
+    def started(some: DataFrame) -> DataFrame:
+        joined = some.join(start, F.col("row_id") == F.col("_id"), "left").drop("_id")
+        return joined.withColumn("_start", F.coalesce("_start", F.lit(-1).cast("bigint")))
+
+    parts = cut(commands, ["row_id"], ["seq"], rows_per_split)
+    if parts is None:
+        return _follow(started(commands).withColumn("_split", F.lit(0).cast("bigint")), columns).unionByName(nameless)
+    large, rest = parts
+    large = started(large.withColumn("_split", F.col("_split").cast("bigint")))
+    points, ranges = _range_maps(large)
+    begins = _begins(points, materialize(ranges, "ranges"), on_round)
+    placed = large.drop("_start").join(begins, ["row_id", "_split"]).withColumnRenamed("_begin", "_start")
+    placed = placed.unionByName(started(rest).withColumn("_split", F.lit(0).cast("bigint")))
+    return _follow(placed, columns).unionByName(nameless)
 
 
 def _number_expected(df: DataFrame) -> DataFrame:
@@ -94,77 +104,122 @@ def _follow(commands: DataFrame, columns: list[str]) -> DataFrame:
     return followed.select(*columns, "outcome", F.when(F.col("_after") >= 0, F.col("_after")).alias("version"))
 
 
-def _range_maps(commands: DataFrame) -> DataFrame:
-    """For each range: version before -> version after, as runs of equal results (``_low`` to ``_high`` give
-    ``_out``) and the number of creates (``_shift``), which every other version moves by."""
+def _range_maps(commands: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """What each range makes of the version before it: points (row_id, _split, _version, _out), and per range its start, its
+    creates (``_shift``), which move every version without a point, and its number of commands."""
 
     kind = commands.schema["row_id"].dataType.simpleString()
-    schema = f"row_id {kind}, _split bigint, _start bigint, _shift bigint, _low bigint, _high bigint, _out bigint"
-    names = ["row_id", "_split", "_start", "_shift", "_low", "_high", "_out"]
+    names = ["row_id", "_split", "_version", "_out"]
 
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # rows come newest first: ``results`` maps a version, counted with the creates still to come, to the end
-        current, start, results, shift, types = None, -1, {}, 0, None
+        current, results, shift, types = None, {}, 0, None
         for batch in batches:
             types = batch.schema
-            for row, split, begin, expected in zip(*lists(batch, "row_id", "_split", "_start", "_expected"), strict=True):
+            for row, split, expected in zip(*lists(batch, "row_id", "_split", "_expected"), strict=True):
                 if (row, split) != current:
                     if current is not None:
-                        yield table(current, start, results, shift, types)
-                    current, start, results, shift = (row, split), begin, {}, 0
+                        yield table(current, results, shift, types)
+                    current, results, shift = (row, split), {}, 0
                 if expected == -1:
                     shift += 1
                 elif expected >= 0:
                     after = expected + 1 + shift
                     results[expected + shift] = results.get(after, after)
         if current is not None:
-            yield table(current, start, results, shift, types)
-
-    def table(current, start, results, shift, types) -> pa.RecordBatch:
-        runs = [[-2, -2, -2]]  # matches no version; it makes sure that each range has a row
-        for version in sorted(results):
-            before, out = version - shift, results[version]
-            if runs[-1][2] == out and runs[-1][1] == before - 1:
-                runs[-1][1] = before
-            else:
-                runs.append([before, before, out])
-        n = len(runs)
+            yield table(current, results, shift, types)
+
+    def table(current, results, shift, types) -> pa.RecordBatch:
+        n = len(results)
         columns = [pa.array([current[0]] * n, types.field("row_id").type), pa.array([current[1]] * n, pa.int64())]
-        columns += [pa.array([v] * n, pa.int64()) for v in (start, shift)]
-        columns += [pa.array(list(c), pa.int64()) for c in zip(*runs, strict=True)]
+        columns += [pa.array([v - shift for v in results], pa.int64()), pa.array(list(results.values()), pa.int64())]
         return pa.RecordBatch.from_arrays(columns, names=names)
 
     numbered = _number_expected(commands).select("row_id", "_split", "seq", "_start", "_expected")
+    creates = F.count_if(F.col("_expected") == -1).alias("_shift")
+    ranges = numbered.groupBy("row_id", "_split").agg(F.min("_start").alias("_start"), creates, F.count(F.lit(1)).alias("_commands"))
     ordered = numbered.repartition("row_id", "_split").sortWithinPartitions("row_id", "_split", F.desc("seq"))
-    return ordered.mapInArrow(step, schema)
+    return ordered.mapInArrow(step, f"row_id {kind}, _split bigint, _version bigint, _out bigint"), ranges
 
 
-def _walk(maps: DataFrame) -> DataFrame:
-    """Version at the begin of each range."""
+def _begins(points: DataFrame, ranges: DataFrame, on_round: Callable[[str, int], None] | None) -> DataFrame:
+    """(row_id, _split, _begin): the version at the begin of every range, by a tree over the ranges of each row.
 
-    def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        row = split = None
-        version = after = -1
-        for batch in batches:
-            found = [], [], []
-            names = ("row_id", "_split", "_start", "_shift", "_low", "_high", "_out")
-            for key, part, start, shift, low, high, out in zip(*lists(batch, *names), strict=True):
-                if key != row:
-                    row, split, after = key, None, start
-                if part != split:
-                    split, version = part, after
-                    after = version + shift
-                    for column, value in zip(found, (key, part, version), strict=True):
-                        column.append(value)
-                if low <= version <= high and low > -2:
-                    after = out
-            types = (batch.schema.field("row_id").type, pa.int64(), pa.int64())
-            arrays = [pa.array(c, t) for c, t in zip(found, types, strict=True)]
-            yield pa.RecordBatch.from_arrays(arrays, names=["row_id", "_split", "_begin"])
-
-    kind = maps.schema["row_id"].dataType.simpleString()
-    ordered = maps.repartition("row_id").sortWithinPartitions("row_id", "_split", "_low")
-    return ordered.mapInArrow(step, f"row_id {kind}, _split bigint, _begin bigint")
+    ``points`` (row_id, _split, _version, _out) is the map of every range where it does more than its creates, ``ranges``
+    (row_id, _split, _start, _shift, _commands) has one row per range; every other version is moved by ``_shift``. Maps of
+    ``FAN_OUT`` neighbours are composed into one, level by level up; then the begins are handed down. A level is one written
+    table, and all its lookups are joins on (row, range, version), so a row is never followed by one task.
+    """
+    along = Window.partitionBy("row_id").orderBy("_split")
+    before = along.rowsBetween(Window.unboundedPreceding, -1)
+    placed = materialize(ranges.select(
+        "row_id", "_split", "_start", "_shift", (F.row_number().over(along) - 1).cast("bigint").alias("_node"),
+        (F.col("_start") + F.coalesce(F.sum("_shift").over(before), F.lit(0))).alias("_least"),
+        (F.col("_start") + F.coalesce(F.sum("_commands").over(before), F.lit(0))).alias("_most")), "places")
+    # versions that a row cannot have at the begin of a range are never looked up
+    level = points.join(placed.select("row_id", "_split", "_node", "_least", "_most"), ["row_id", "_split"])
+    level = level.filter("_version BETWEEN _least AND _most").select("row_id", "_node", "_version", "_out")
+    levels = [(materialize(level, "maps"), placed.select("row_id", "_node", "_shift"))]
+    nodes = (placed.agg(F.max("_node")).first()[0] or 0) + 1
+    while nodes > FAN_OUT:
+        maps, shifts = levels[-1]
+        levels.append((materialize(_composed(maps, shifts), "maps"), materialize(_grouped(shifts).select("row_id", "_node", _ahead(FAN_OUT).alias("_shift")), "shifts")))
+        nodes = -(-nodes // FAN_OUT)
+        if on_round:
+            on_round("up", nodes)
+    begins = placed.filter("_node = 0").select("row_id", "_node", F.col("_start").alias("_begin"))
+    for maps, shifts in reversed(levels):
+        begins = materialize(_handed_down(begins, maps, shifts), "begins")
+        if on_round:
+            on_round("down", nodes)
+    for maps, _ in levels:
+        discard(maps)
+    return begins.join(placed, ["row_id", "_node"]).select("row_id", "_split", "_begin")
+
+
+def _grouped(shifts: DataFrame) -> DataFrame:
+    """(row_id, _node of the level above, ``_s0`` ...): the creates of its ranges, NULL where there is none."""
+    place = F.col("_node") % FAN_OUT
+    sums = [F.sum(F.when(place == k, F.col("_shift"))).alias(f"_s{k}") for k in range(FAN_OUT)]
+    return shifts.groupBy("row_id", F.floor(F.col("_node") / FAN_OUT).alias("_node")).agg(*sums)
+
+
+def _ahead(place: int) -> Column:
+    """Creates of a group's ranges before the given one."""
+    return sum((F.coalesce(f"_s{k}", F.lit(0)) for k in range(place)), F.lit(0).cast("bigint"))
+
+
+def _composed(maps: DataFrame, shifts: DataFrame) -> DataFrame:
+    """The maps of ``FAN_OUT`` neighbours as one. What an earlier range sends on is looked up in the later ones; the points of a
+    later range hold for the versions that only creates bring to it, unless an earlier one has the version itself."""
+    group = _grouped(shifts)
+    place, node = F.col("_node") % FAN_OUT, F.floor(F.col("_node") / FAN_OUT)
+    parts = maps.withColumn("_place", place).withColumn("_node", node).join(group, ["row_id", "_node"])
+    extra = [f"_s{k}" for k in range(FAN_OUT)]
+    held = None
+    for k in range(FAN_OUT):
+        own = parts.filter(F.col("_place") == k)
+        if held is not None:
+            later = own.select(F.col("row_id").alias("_r"), F.col("_node").alias("_n"), F.col("_version").alias("_at"), F.col("_out").alias("_next"))
+            met = (F.col("row_id") == F.col("_r")) & (F.col("_node") == F.col("_n")) & (F.col("_out") == F.col("_at"))
+            out = F.coalesce("_next", F.col("_out") + F.coalesce(f"_s{k}", F.lit(0)))
+            held = held.join(later, met, "left").select("row_id", "_node", "_version", out.alias("_out"), "_first", *extra)
+        brought = own.select("row_id", "_node", (F.col("_version") - _ahead(k)).alias("_version"), "_out", F.lit(k).alias("_first"), *extra)
+        held = brought if held is None else held.unionByName(brought)
+    return held.groupBy("row_id", "_node", "_version").agg(F.min_by("_out", "_first").alias("_out"))
+
+
+def _handed_down(begins: DataFrame, maps: DataFrame, shifts: DataFrame) -> DataFrame:
+    """Begins of a level's ranges from those of the level above."""
+    now = begins.join(_grouped(shifts), ["row_id", "_node"]).withColumn("_b0", F.col("_begin"))
+    for k in range(FAN_OUT - 1):
+        own = maps.filter(F.col("_node") % FAN_OUT == k)
+        own = own.select(F.col("row_id").alias("_r"), F.floor(F.col("_node") / FAN_OUT).alias("_n"), F.col("_version").alias("_at"), F.col("_out").alias("_next"))
+        met = (F.col("row_id") == F.col("_r")) & (F.col("_node") == F.col("_n")) & (F.col(f"_b{k}") == F.col("_at"))
+        after = F.coalesce("_next", F.col(f"_b{k}") + F.coalesce(f"_s{k}", F.lit(0)))
+        now = now.join(own, met, "left").withColumn(f"_b{k + 1}", after).drop("_r", "_n", "_at", "_next")
+    children = F.array(*[F.when(F.col(f"_s{k}").isNotNull(), F.struct((F.col("_node") * FAN_OUT + k).alias("_node"), F.col(f"_b{k}").alias("_begin"))) for k in range(FAN_OUT)])
+    return now.select("row_id", F.explode(F.filter(children, lambda c: c.isNotNull())).alias("_c")).select("row_id", "_c._node", "_c._begin")
 
 
 def versions_after(rows: DataFrame, outcomes: DataFrame) -> DataFrame:

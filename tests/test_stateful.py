@@ -138,13 +138,42 @@ def test_optimistic_updates_equal_serial(spark, split):
         expected = None if rng.random() < 0.03 else max(-1, guess.get(row, 0) + rng.choice([0, 0, 0, -1, 1]))
         if rng.random() < 0.6:
             guess[row] = guess.get(row, -1) + 1
-        rows.append((seq, row, expected))
+        rows.append((seq * 10**9 + rng.randrange(10**9), row, expected))  # gaps as of a clock
     stored = spark.createDataFrame(list(versions.items()), "id bigint, version bigint")
     asked = spark.createDataFrame(rows, "seq bigint, row_id bigint, expected_version bigint")
     got = commands.optimistic_updates(stored, asked, split)
     assert {r.seq: (r.outcome, r.version) for r in got.collect()} == serial.optimistic(versions, rows)
 
 
+def test_begins_of_ten_thousand_ranges(spark):
+    """Random maps of one row's ranges and a shorter row beside it, against following them one after the other."""
+    rng = random.Random(9)
+    rounds, points, ranges, want = [], [], [], {}
+    for row, n in ((7, 10_000), (8, 5)):
+        version = 3
+        for split in range(n):
+            shift = int(rng.random() < 0.2)
+            known = {version + rng.randrange(-3, 4) for _ in range(2)} if rng.random() < 0.5 else set()
+            moves = {v: v + shift + 1 + rng.randrange(2) for v in known if v >= 0}
+            points += [(row, 5 * split, v, out) for v, out in moves.items()]
+            ranges.append((row, 5 * split, 3, shift, 4))
+            want[row, 5 * split] = version
+            version = moves.get(version, version + shift)
+    got = commands._begins(
+        spark.createDataFrame(points, "row_id long, _split long, _version long, _out long"),
+        spark.createDataFrame(ranges, "row_id long, _split long, _start long, _shift long, _commands long"), lambda *r: rounds.append(r))
+    assert {(r["row_id"], r["_split"]): r["_begin"] for r in got.collect()} == want
+    assert 10 < len(rounds) <= 15
+
+
+def test_commands_without_a_row(spark):
+    stored = spark.createDataFrame([(1, 0)], "id bigint, version bigint")
+    asked = spark.createDataFrame([(1, None, None), (2, None, 0), (3, 1, 0)], "seq bigint, row_id bigint, expected_version bigint")
+    for split in (1, 100):
+        got = commands.optimistic_updates(stored, asked, split)
+        assert [(r.outcome, r.version) for r in got.orderBy("seq").collect()] == [("NOT_FOUND", None), ("NOT_FOUND", None), ("APPLIED", 1)]
+
+
 def test_a_long_run_of_right_versions_on_one_row(spark):
     n = 600
     rows = [(i, 1, i) for i in range(n)]
