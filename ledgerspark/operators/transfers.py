@@ -40,13 +40,16 @@ def apply_transfers(
     COMPLETED moves money; REPLAY gives the id of the earlier transfer of that key; INVALID_REQUEST is a bad
     argument or a key used for another payload; OPERATION_REJECTED a missing account, another currency or too
     little money. A request that fails does not use up its key. ``on_round`` is told the number of changed
-    decisions of each round.
+    decisions of each round, which is the number of rows that it writes.
     """
     checked = materialize(_check(accounts, stored, requests, rows_per_split), "requests")
     candidates = checked.filter("_open").select("seq", "idempotency_key", *PAYLOAD, *FLAGS)
     return _label(checked, _decide(candidates, rows_per_split, on_round), requests.columns)
 
 
+#: Changes of so many rounds are kept apart before they are written into one table with the requests.
+FLIPS_FOLDED = 24
+
 # What the rounds know about the two accounts of a request: the balance of the payer, whether it covers all debits of
 # the batch without any credit, whether the payer has very many entries, and for the payee whether credits can matter.
 FLAGS = ["opening", "covered", "hot", "matters", "to_hot"]
@@ -121,17 +124,34 @@ def _decide(candidates: DataFrame, rows_per_split: int, on_round=None) -> DataFr
     any_hot = open_rows.filter("hot").limit(1).count() > 0
     ranges = _ranges(open_rows, credits, rows_per_split) if any_hot else None
     credits = materialize(_placed(credits, ranges, "to_account", "to_range"), "credits")
-    state, concerned = _placed(_placed(open_rows, ranges, "from_account", "range"), ranges, "to_account", "to_range"), None
+    base = _placed(_placed(open_rows, ranges, "from_account", "range"), ranges, "to_account", "to_range")
+    base = materialize(base, "open") if any_hot else base
+    flips, concerned, frontier = [], None, None
     while True:
-        before = state
-        state = materialize(_round(before, credits, concerned, any_hot), "round")
-        discard(before, concerned)
-        changes = state.filter("changed").count()
+        state = _current(base, flips)
+        if len(flips) == FLIPS_FOLDED:
+            base, state = state, materialize(state, "open")
+            discard(base, *flips)
+            base, flips = state, []
+        changed = materialize(_round(state, credits, concerned, frontier, any_hot), "round")
+        discard(concerned)
+        changes, first = changed.agg(F.count(F.lit(1)), F.min("seq")).first()
         if on_round:
             on_round(changes)
         if changes == 0:
             return settled.select(*result).unionByName(state.filter("accept").select(*result))
-        concerned = _concerned(state)
+        flips, frontier = [*flips, changed], first
+        concerned = _concerned(base, changed)
+
+
+def _current(base: DataFrame, flips: list[DataFrame]) -> DataFrame:
+    """``base`` with the decisions turned round that changed an odd number of times since it was written."""
+    if not flips:
+        return base
+    turned = reduce(DataFrame.unionByName, [f.select(F.col("seq").alias("_turned")) for f in flips])
+    odd = turned.groupBy("_turned").agg(F.count(F.lit(1)).alias("_times")).filter("_times % 2 = 1")
+    accept = F.col("accept") != F.col("_turned").isNotNull()
+    return base.join(odd, F.col("seq") == F.col("_turned"), "left").select(*[accept.alias(c) if c == "accept" else c for c in base.columns])
 
 
 def _ranges(open_rows: DataFrame, credits: DataFrame, rows_per_split: int) -> DataFrame:
@@ -151,25 +171,36 @@ def _placed(rows: DataFrame, ranges: DataFrame | None, account: str, name: str)
     return rows.join(ranges, same, "left").withColumn(name, F.coalesce("_range", F.lit(0))).drop("_account", "_seq", "_range")
 
 
-def _concerned(state: DataFrame) -> DataFrame:
+def _concerned(base: DataFrame, changed: DataFrame) -> DataFrame:
     """Accounts whose decisions have to be taken again after the changes of the last round."""
-    changed = state.filter("changed")
     credited = changed.filter("matters").select(F.col("to_account").alias("_account"))
     itself = changed.filter("hot").select(F.col("from_account").alias("_account"))
     keys = changed.filter("repeats").select(F.col("idempotency_key").alias("_k")).distinct()
-    same_key = state.filter("repeats").join(keys, F.col("idempotency_key") == F.col("_k"), "left_semi")
+    same_key = base.filter("repeats").join(keys, F.col("idempotency_key") == F.col("_k"), "left_semi")
     parts = [credited, itself, same_key.select(F.col("from_account").alias("_account"))]
     return materialize(reduce(DataFrame.unionByName, parts).distinct(), "concerned")
 
 
-def _round(state: DataFrame, settled: DataFrame, concerned: DataFrame | None, any_hot: bool) -> DataFrame:
+def _before(debits: DataFrame, credits: DataFrame, frontier: int) -> DataFrame:
+    """(_settled_account, _settled): what the decisions up to the frontier have moved on each account."""
+    out = debits.filter((F.col("seq") <= frontier) & F.col("accept")).select(F.col("from_account").alias("_settled_account"), (-F.col("amount_minor")).alias("_moved"))
+    into = credits.filter(F.col("seq") <= frontier).select(F.col("to_account").alias("_settled_account"), F.col("amount_minor").alias("_moved"))
+    return out.unionByName(into).groupBy("_settled_account").agg(F.sum("_moved").alias("_settled"))
+
+
+def _round(state: DataFrame, settled: DataFrame, concerned: DataFrame | None, frontier: int | None, any_hot: bool) -> DataFrame:
+    """The requests after the frontier, of the accounts concerned, whose decision changes."""
     columns = state.columns
     credits = state.filter("accept AND matters").select(*settled.columns).unionByName(settled)
-    debits, kept = state, None
+    debits = state
     if concerned is not None:
         debits = state.join(concerned, F.col("from_account") == F.col("_account"), "left_semi")
-        kept = state.join(concerned, F.col("from_account") == F.col("_account"), "left_anti").withColumn("changed", F.lit(False))
         credits = credits.join(concerned, F.col("to_account") == F.col("_account"), "left_semi")
+        moved = _before(debits, credits, frontier)
+        debits = debits.filter(F.col("seq") > frontier).join(moved, F.col("from_account") == F.col("_settled_account"), "left")
+        opening = F.col("opening") + F.coalesce("_settled", F.lit(0))
+        debits = debits.select(*[opening.alias(c) if c == "opening" else c for c in columns])
+        credits = credits.filter(F.col("seq") > frontier)
     # the first accepted request of each repeated key; all other keys are free by definition
     first = state.filter("repeats AND accept").groupBy(F.col("idempotency_key").alias("_k")).agg(F.min("seq").alias("_first"))
     repeated = debits.filter("repeats").join(first, F.col("idempotency_key") == F.col("_k"), "left")
@@ -179,13 +210,9 @@ def _round(state: DataFrame, settled: DataFrame, concerned: DataFrame | None, an
         "seq", F.col("to_account").alias("account"), F.col("amount_minor").alias("credit"), F.col("to_hot").alias("hot"), F.col("to_range").alias("range"))
     own = debits.select("*", F.col("from_account").alias("account"), F.lit(None).cast("bigint").alias("credit"))
     entries = own.filter("NOT covered").unionByName(incoming, allowMissingColumns=True)
-    parts = [
-        _compared(own.filter("covered").withColumn("_new", F.col("free")), columns),
-        _in_order(_carried(entries) if any_hot else entries.withColumn("_carry", F.lit(0).cast("bigint")), columns),
-    ]
-    if kept is not None:
-        parts.append(kept.select(*columns))
-    return reduce(DataFrame.unionByName, parts)
+    taken = _compared(own.filter("covered").withColumn("_new", F.col("free")), columns).unionByName(
+        _in_order(_carried(entries) if any_hot else entries.withColumn("_carry", F.lit(0).cast("bigint")), columns))
+    return taken.filter("changed")
 
 
 def _carried(entries: DataFrame) -> DataFrame:

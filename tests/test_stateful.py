@@ -88,6 +88,22 @@ def test_rounds_of_a_hot_account_grow_with_its_ranges(spark, n):
     assert len(rounds) <= ranges + 3
 
 
+def test_rounds_write_what_changes(spark, monkeypatch):
+    """A chain of payers, each of which needs the money of the one before, beside many accounts that are settled after the
+    first rounds: a round of the chain changes one decision, and writes that one row."""
+    monkeypatch.setattr(transfers, "FLIPS_FOLDED", 3)
+    links, rng = 12, random.Random(1)
+    accounts = {i: ("RUB", 0) for i in range(links + 1)} | {100 + i: ("RUB", 40) for i in range(60)}
+    requests = [(s, f"n{s}", rng.randrange(100, 160), rng.randrange(100, 160), rng.choice([5, 20, 30]), "me") for s in range(900)]
+    requests += [(1000 + i, f"c{i}", i, i + 1, 10, "me") for i in range(links)]
+    rounds = []
+    a = spark.createDataFrame([(i, c, b) for i, (c, b) in accounts.items()], "id bigint, currency string, balance_minor bigint")
+    got = transfers.apply_transfers(a, spark.createDataFrame([], TRANSFERS), spark.createDataFrame(requests, REQUESTS), PLAIN, rounds.append)
+    assert named(got.collect()) == serial.transfers(accounts, {}, requests)[0]
+    assert len(rounds) >= 6 and rounds[-1] == 0
+    assert sum(rounds[1:]) < len(requests) and max(rounds[len(rounds) // 2 :]) < rounds[0] / 4
+
+
 def test_registered_transfers_equal_serial(spark, small):
     """The registered query with many rejections, on all requests of the small tables."""
     from ledgerspark.plans import stateful
