@@ -107,31 +107,43 @@ CHANGES = {"widen text": (False, False), "narrow text": (True, True), "other typ
 
 
 def change_type(df: DataFrame, column: str, to: str, max_length: int | None = None) -> DataFrame:
-    """The table with a column of another type, or of another length for text: a value that does not fit stops the job.
+    """The table with a column of another type, or of another length for text: a value that the new type cannot hold exactly
+    (3.7 as int, a time of day as date, a long with more digits than a double) stops the job; no value is rounded.
 
     Widening text never stops. ``change_violations`` lists the rows in the way, ``change_split`` parts them from the others.
     """
     kind = "string" if max_length is not None else to
     stop = F.raise_error(F.concat(F.lit(f"{column} does not fit: "), F.col(column).cast("string"))).cast(kind)
-    changed = F.when(_lost(column, to, max_length), stop).otherwise(F.col(column).try_cast(kind))
+    changed = F.when(_lost(df, column, to, max_length), stop).otherwise(F.col(column).try_cast(kind))
     return df.withColumn(column, changed)
 
 
 def change_violations(df: DataFrame, column: str, to: str, max_length: int | None = None) -> DataFrame:
-    """Rows whose value does not survive the change: lost by the cast, or longer than ``max_length``."""
-    return df.filter(_lost(column, to, max_length))
+    """Rows whose value does not survive the change: lost or altered by the cast, or longer than ``max_length``."""
+    return df.filter(_lost(df, column, to, max_length))
 
 
 def change_split(df: DataFrame, column: str, to: str, max_length: int | None = None) -> DataFrame:
     """All rows with ``fits``, and in ``changed`` the new value of those that fit (NULL for the others, whose old value stays)."""
-    lost = _lost(column, to, max_length)
+    lost = _lost(df, column, to, max_length)
     return df.withColumn("fits", ~lost).withColumn("changed", F.when(~lost, F.col(column).try_cast("string" if max_length is not None else to)))
 
 
-def _lost(column: str, to: str, max_length: int | None) -> Column:
-    lost = F.col(column).isNotNull() & F.col(column).try_cast(to).isNull()
+def _lost(df: DataFrame, column: str, to: str, max_length: int | None) -> Column:
+    """A value is lost where the new type cannot hold it exactly: a fraction, a digit, a time of day or the range. Nothing is rounded.
+    Texts are judged by what they say, not by how it is written: 05 is 5."""
+    value, old = F.col(column), df.schema[column].dataType.simpleString()
+    new = value.try_cast(to)
+    lost = value.isNotNull() & new.isNull()
+    if old == "string" and to in ("float", "double"):
+        exact = "decimal(38,18)"
+        lost = lost | F.coalesce(value.try_cast(exact) != new.try_cast(exact), F.lit(False))
+    elif old == "string" and to == "date":
+        lost = lost | F.coalesce(value.try_cast("timestamp_ntz") != new.try_cast("timestamp_ntz"), F.lit(False))
+    elif old != "string" and to != old:
+        lost = lost | ~new.try_cast(old).eqNullSafe(value)
     if max_length is not None:
-        lost = lost | F.coalesce(F.length(F.col(column)) > max_length, F.lit(False))
+        lost = lost | F.coalesce(F.length(value) > max_length, F.lit(False))
     return lost
 
 

@@ -1,5 +1,8 @@
 """Stored tables, write jobs and migrations."""
 
+import datetime as dt
+from decimal import Decimal
+
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -135,6 +138,29 @@ def test_a_value_that_does_not_fit_stops_the_change(spark):
     assert [(r.id, r.fits, r.changed) for r in migrate.change_split(df, "n", "int").orderBy("id").collect()] == [(1, True, 5), (2, False, None), (3, True, None)]
 
 
+def test_a_change_of_type_loses_nothing(spark):
+    """Values that the new type could only hold rounded or cut off are in the way."""
+    cases = [
+        ("double", "int", [(3.0, True), (3.7, False), (float("nan"), False), (1e12, False)]),
+        ("bigint", "double", [(2**53, True), (2**53 + 1, False)]),
+        ("decimal(10,4)", "decimal(10,2)", [(Decimal("1.25"), True), (Decimal("1.255"), False)]),
+        ("timestamp_ntz", "date", [(dt.datetime(2024, 1, 1), True), (dt.datetime(2024, 1, 1, 10), False)]),
+        ("bigint", "boolean", [(1, True), (5, False)]),
+        ("string", "int", [("5", True), ("05", True), ("3.7", False), ("x", False)]),
+        ("string", "double", [("0.1", True), ("1e300", True), ("9007199254740993", False)]),
+        ("string", "date", [("2024-01-01", True), ("2024-01-01 10:00:00", False)]),
+    ]
+    for old, new, values in cases:
+        rows = [(k, value) for k, (value, _) in enumerate(values)] + [(99, None)]
+        df = spark.createDataFrame(rows, f"id bigint, v {old}")
+        wrong = [k for k, (_, fits) in enumerate(values) if not fits]
+        assert ids(migrate.change_violations(df, "v", new).select("id")) == wrong, (old, new)
+        split = {r.id: (r.fits, r.changed is None) for r in migrate.change_split(df, "v", new).collect()}
+        assert split == {k: (fits, not fits) for k, (_, fits) in enumerate(values)} | {99: (True, True)}
+        with pytest.raises(Exception, match="does not fit"):
+            migrate.change_type(df, "v", new).collect()
+
+
 def test_narrowing_finds_values_that_do_not_fit(spark):
     df = spark.createDataFrame([(1, "PENDING"), (2, "A" * 40)], "id bigint, status string")
     assert ids(migrate.change_violations(df, "status", "string", 32).select("id")) == [2]
