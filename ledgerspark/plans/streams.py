@@ -92,6 +92,13 @@ def stream_sessions(v):
 
 @query(raw=WALK.format(account="o_custkey"))
 def stream_running_balance(v):
+    debits = payments(v).select(F.col("id").alias("seq"), "account_id", "amount_minor")
+    return drained(v, J.stream_running_balance(v.spark, debits, balances(v, SMALL_OPENING_MINOR)))
+
+
+@query(raw=WALK.format(account="o_custkey"))
+def stream_running_balance_batches(v):
+    """The same with the balances in a table that each batch publishes."""
     store = new_store(v)
     store.publish(replace={"balances": balances(v, SMALL_OPENING_MINOR)})
     debits = payments(v).select(F.col("id").alias("seq"), "account_id", "amount_minor")

@@ -214,6 +214,58 @@ class StuckOperations(StatefulProcessor):
         pass
 
 
+class RunningBalance(StatefulProcessor):
+    """Debits of one account, each applied only if the balance covers it. The state is one value: the balance and the last
+    ``seq`` that was decided. A row that comes after a later one was decided, or once more, is LATE and moves nothing."""
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.account = handle.getValueState("account", "balance BIGINT, last BIGINT")
+
+    def handleInitialState(self, key, initialState: pd.DataFrame, timerValues) -> None:
+        self.account.update((int(initialState["balance_minor"].iloc[0]), -(2**63)))
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        debits = pd.concat(list(rows)).sort_values("seq", kind="stable")
+        if not self.account.exists():
+            yield debits.assign(outcome="NOT_FOUND")
+            return
+        balance, last = self.account.get()
+        outcomes = []
+        for seq, amount in zip(debits["seq"].tolist(), debits["amount_minor"].tolist()):
+            if seq <= last:
+                outcomes.append("LATE")
+                continue
+            last = seq
+            outcomes.append("APPLIED" if amount <= balance else "REJECTED")
+            balance -= amount if amount <= balance else 0
+        self.account.update((balance, last))
+        yield debits.assign(outcome=outcomes)
+
+    def close(self) -> None:
+        pass
+
+
+def stream_running_balance(spark: SparkSession, stream: DataFrame, balances: DataFrame) -> DataFrame:
+    """Debits (seq, account_id, amount_minor) with ``outcome``: APPLIED, REJECTED, NOT_FOUND, INVALID or LATE.
+
+    Every account's balance is the stream's own state, which starts from ``balances`` (id, balance_minor; one row per account) and is
+    checkpointed with the stream: a batch that is run again after a crash changes nothing. Inside a batch the rows of an
+    account are taken by ``seq``, whatever order they come in. Rows without seq, account or a positive amount are INVALID.
+    """
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+    columns = ["seq", "account_id", "amount_minor"]
+    valid = F.coalesce(F.col("seq").isNotNull() & F.col("account_id").isNotNull() & (F.col("amount_minor") > 0), F.lit(False))
+    kinds = ", ".join(f"{c} {stream.schema[c].dataType.simpleString()}" for c in columns)
+    decided = stream.filter(valid).select(*columns).groupBy("account_id").transformWithStateInPandas(
+        statefulProcessor=RunningBalance(),
+        outputStructType=f"{kinds}, outcome STRING",
+        outputMode="Append",
+        timeMode="None",
+        initialState=balances.select(F.col("id").alias("account_id"), "balance_minor").groupBy("account_id"),
+    )
+    return decided.union(stream.filter(~valid).select(*columns, F.lit("INVALID").alias("outcome")))
+
+
 def open_stuck_operations(operations: DataFrame, at: str, age_ms: int) -> DataFrame:
     """The same question to a finished table, with its last time as now."""
     last = operations.groupBy("idempotency_key").agg(

@@ -85,6 +85,29 @@ def test_running_balance_over_batches_and_replay(spark):
     assert store.versions()[-1] == version
 
 
+def test_running_balance_as_state_of_the_stream(spark):
+    """Several batches, one of them run again from the checkpoint, rows out of order, late and repeated rows."""
+    balances = spark.createDataFrame([(1, 1000), (2, 500)], "id bigint, balance_minor bigint")
+    rows = [(s, 1 + s % 2, 90) for s in range(30)]
+    feed = Feed(spark, "seq bigint, account_id bigint, amount_minor bigint")
+    checkpoint, out = scratch_path(spark, "checkpoint"), scratch_path(spark, "out")
+
+    def run():
+        return {(r.seq, r.account_id): r.outcome for r in jobs.drain(jobs.stream_running_balance(spark, feed.stream(), balances), checkpoint, out).collect()}
+
+    feed.add(*rows[10:0:-1], rows[0])
+    feed.add(*rows[11:20])
+    want = serial.guarded_debits({1: 1000, 2: 500}, rows[:20])
+    assert {s: o for (s, _), o in run().items()} == want
+    assert len(run()) == 20  # nothing new: nothing is decided again
+    feed.add((25, 1, 10), (3, 7, 10), (26, 1, 0), (27, None, 5))
+    feed.add((24, 1, 10), (28, 1, 10), (28, 2, 5))
+    got = run()
+    assert [got[k] for k in ((25, 1), (3, 7), (26, 1), (27, None), (24, 1), (28, 1), (28, 2))] == ["REJECTED" if 1000 - 11 * 90 < 10 else "APPLIED", "NOT_FOUND", "INVALID", "INVALID", "LATE", got[28, 1], "APPLIED"]
+    assert len(got) == 27
+    assert jobs.drain(jobs.stream_running_balance(spark, feed.stream(), balances), checkpoint, out).count() == 27
+
+
 def test_projection_over_batches(spark):
     store = VersionedStore(spark, scratch_path(spark, "store"))
     feed = Feed(spark, "account_id bigint, amount_minor bigint")
