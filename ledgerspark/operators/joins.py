@@ -120,7 +120,9 @@ def overlap_join(
     seconds = _epoch(F.col(end)) - _epoch(F.col(start))
     level = F.greatest(F.ceil(F.log(float(LEVEL_GROWTH), seconds / bucket_seconds)), F.lit(0))
     lhs, rhs = (
-        df.filter(F.col(start) < F.col(end)).select(*[F.col(k).alias(f"_{n}_{k}") for k in keys], F.struct(*df.columns).alias(n), level.alias(f"_{n}_own"))
+        df.filter(F.col(start) < F.col(end)).select(
+            *[F.col(k).alias(f"_{n}_{k}") for k in keys], F.struct(*df.columns).alias(n), level.alias(f"_{n}_own"),
+            F.col(start).alias(f"_{n}_begins"), F.col(end).alias(f"_{n}_ends"))
         for df, n in ((left, "l"), (right, "r"))
     )
     # a handful of numbers: each level is sixteen times as long as the one before
@@ -131,8 +133,8 @@ def overlap_join(
         parts = []
         for m in levels:
             width = bucket_seconds * LEVEL_GROWTH**m
-            first = F.floor(_epoch(F.col(f"{name}.{start}")) / width)
-            last = F.floor((_epoch(F.col(f"{name}.{end}")) - 1e-6) / width)
+            first = F.floor(_epoch(F.col(f"_{name}_begins")) / width)
+            last = F.floor((_epoch(F.col(f"_{name}_ends")) - 1e-6) / width)
             own = F.col(f"_{name}_own")
             both, one = F.array(F.lit(0), F.lit(1)), (F.array(F.lit(0)), F.array(F.lit(1)))
             sides = F.when(own == m, one[0]).otherwise(one[1]) if name == "l" else F.when(own == m, both).otherwise(one[0])
@@ -144,10 +146,10 @@ def overlap_join(
     condition = (F.col("_l_level") == F.col("_r_level")) & (F.col("_l_bucket") == F.col("_r_bucket")) & (F.col("_l_side") == F.col("_r_side"))
     for k in keys:
         condition = condition & (F.col(f"_l_{k}") == F.col(f"_r_{k}"))
-    l_start, r_start = F.col(f"l.{start}"), F.col(f"r.{start}")
+    l_start, r_start = F.col("_l_begins"), F.col("_r_begins")
     width = F.lit(bucket_seconds) * F.pow(F.lit(float(LEVEL_GROWTH)), F.col("_l_level"))
     begin = F.floor(_epoch(F.greatest(l_start, r_start)) / width)
-    overlaps = (l_start < F.col(f"r.{end}")) & (r_start < F.col(f"l.{end}")) & (begin == F.col("_l_bucket"))
+    overlaps = (l_start < F.col("_r_ends")) & (r_start < F.col("_l_ends")) & (begin == F.col("_l_bucket"))
     return buckets(lhs, "l").join(buckets(rhs, "r"), condition & overlaps).select("l", "r")
 
 
@@ -163,6 +165,31 @@ def range_overlap_join(periods: DataFrame, key: str, start: str, end: str, bucke
     )
 
 
+def overlap_counts(periods: DataFrame, key: str, start: str, end: str, rows_per_split: int = ROWS_PER_SPLIT) -> DataFrame:
+    """(id, overlaps): with how many other periods of its key each half-open period overlaps. ``id`` is unique.
+
+    By a sweep over all starts and ends, without pairs: what overlaps a period has started before its end, and has not ended
+    by its start. A period that is empty or lacks an end or a key overlaps nothing.
+    """
+    real = F.coalesce((F.col(start) < F.col(end)) & F.col(key).isNotNull(), F.lit(False))
+    ends = F.array(
+        F.struct(F.col(start).alias("at"), F.lit(1).alias("starts")), F.struct(F.col(end).alias("at"), F.lit(0).alias("starts")))
+    marks = periods.filter(real).select("id", key, F.explode(ends).alias("_m")).select("id", key, "_m.at", "_m.starts")
+    # at one time, ends come before starts: periods that only touch do not overlap
+    swept = ordered_scan(marks, [key], ["at", "starts", "id"], rows_per_split=rows_per_split, running={
+        "_started": Running("sum", "starts"), "_ended": Running("sum", 1 - F.col("starts"))})
+    seen = F.when(F.col("starts") == 1, -F.col("_ended")).otherwise(F.col("_started"))
+    counts = swept.groupBy("id").agg((F.sum(seen) - 1).alias("overlaps"))
+    return counts.unionByName(periods.filter(~real).select("id", F.lit(0).cast("bigint").alias("overlaps")))
+
+
+def overlaps_of(periods: DataFrame, named: DataFrame, key: str, start: str, end: str, bucket_seconds: int = 86400) -> DataFrame:
+    """(key, id, other_id): the partners of the periods whose id is in ``named``, and of no others."""
+    chosen = periods.join(named.select(F.col(named.columns[0]).alias("_id")), F.col("id") == F.col("_id"), "left_semi")
+    pairs = overlap_join(chosen, periods, [key], start, end, bucket_seconds).filter(F.col("l.id") != F.col("r.id"))
+    return pairs.select(F.col(f"l.{key}").alias(key), F.col("l.id").alias("id"), F.col("r.id").alias("other_id"))
+
+
 def overlapping_periods(
     periods: DataFrame, key: str, start: str, end: str, rows_per_split: int = ROWS_PER_SPLIT
 ) -> DataFrame:

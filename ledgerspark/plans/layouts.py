@@ -9,10 +9,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerspark.operators import layout as L
+from ledgerspark.operators import sketches as K
 from ledgerspark.operators.aggregates import selectivity_report as selectivity
 from ledgerspark.plans.registry import query
 from ledgerspark.plans.relational import METADATA, documents
-from ledgerspark.session import scratch_path
+from ledgerspark.session import materialize, scratch_path
 from ledgerspark.sources.schemas import TABLES
 
 
@@ -119,12 +120,29 @@ def write_cost_report(v):
     return L.write_cost_report(rows, {"by account": ["account_id", "created_at"], "by time": ["created_at"]})
 
 
-@query("""SELECT 'payment_id' AS "column", count(*) AS rows, round(CAST(count(*) - count(payment_id) AS DOUBLE) * 100 / CAST(count(*) AS DOUBLE), 4) AS null_pct,
-  count(DISTINCT payment_id) AS different, CAST(min(payment_id) AS VARCHAR) AS smallest, CAST(max(payment_id) AS VARCHAR) AS largest FROM ledger_entries
-UNION ALL SELECT 'amount_minor', count(*), round(CAST(count(*) - count(amount_minor) AS DOUBLE) * 100 / CAST(count(*) AS DOUBLE), 4),
-  count(DISTINCT amount_minor), CAST(min(amount_minor) AS VARCHAR), CAST(max(amount_minor) AS VARCHAR) FROM ledger_entries""")
+PROFILED = ["id", "account_id", "payment_id", "amount_minor", "created_at"]
+
+
+def _profile(different: str) -> str:
+    return " UNION ALL ".join(
+        f"""SELECT '{c}' AS "column", count(*) AS rows, round(CAST(count(*) - count({c}) AS DOUBLE) * 100 / CAST(count(*) AS DOUBLE), 4) AS null_pct,
+  {different.format(c)}, CAST(min({c}) AS VARCHAR) AS smallest, CAST(max({c}) AS VARCHAR) AS largest FROM ledger_entries""" for c in PROFILED)
+
+
+@query(_profile("count(DISTINCT {}) AS different"))
 def profile_columns(v):
-    return L.profile_columns(v.ledger_entries, ["payment_id", "amount_minor"], exact=True)
+    return L.profile_columns(v.ledger_entries, PROFILED, exact=True)
+
+
+@query(_profile("true AS near"))
+def profile_sketches(v):
+    """Two batches, sketched apart, as one profile; the estimates are compared with the exact counts."""
+    entries, late = v.ledger_entries, F.col("id") % 3 == 0
+    stored = K.column_sketches(entries.filter(~late)).unionByName(K.column_sketches(entries.filter(late)))
+    found = K.profile(materialize(stored, "sketches"))
+    exact = L.profile_columns(entries, PROFILED, exact=True).select(F.col("column").alias("_column"), F.col("different").alias("_exact"))
+    near = F.abs(F.col("different") - F.col("_exact")) <= F.col("_exact") * K.COUNT_ERROR
+    return found.join(exact, F.col("column") == F.col("_column")).select("column", "rows", "null_pct", near.alias("near"), "smallest", "largest")
 
 
 @query("""SELECT event_type, count(*) AS total, round(CAST(count(*) AS DOUBLE) * 100 / CAST(sum(count(*)) OVER () AS DOUBLE), 4) AS percent

@@ -11,10 +11,11 @@ from ledgerspark.operators import aggregates as A
 from ledgerspark.operators import filters as P
 from ledgerspark.operators import joins as J
 from ledgerspark.operators import ledger, paging, setops
+from ledgerspark.operators import sketches as K
 from ledgerspark.operators import windows as W
 from ledgerspark.operators.postings import TextIndex
 from ledgerspark.plans.registry import query
-from ledgerspark.session import scratch_path
+from ledgerspark.session import materialize, scratch_path
 
 # Groups above this many rows are cut in the ``*_hot`` queries, which put a third of all rows on one account.
 HOT_SPLIT = 2000
@@ -329,14 +330,40 @@ LONG_PERIODS = """long_periods AS (
   SELECT id, currency % 5 AS currency, starts_at, CASE WHEN id % 1000 = 0 THEN starts_at + INTERVAL 4000 DAY ELSE ends_at END AS ends_at FROM rate_periods)"""
 
 
+def long_periods(v):
+    end = F.when(F.col("id") % 1000 == 0, F.col("starts_at") + F.expr("interval 4000 day")).otherwise(F.col("ends_at"))
+    return v.rate_periods.withColumn("currency", F.col("currency") % 5).withColumn("ends_at", end)
+
+
+COUNTED = """SELECT p.id, count(q.id) AS overlaps FROM {0} p LEFT JOIN {0} q
+ON q.currency = p.currency AND q.id <> p.id AND q.starts_at < p.ends_at AND p.starts_at < q.ends_at GROUP BY p.id"""
+
+
+@query(COUNTED.format("rate_periods"))
+def overlap_counts(v):
+    return J.overlap_counts(v.rate_periods, "currency", "starts_at", "ends_at")
+
+
+@query(COUNTED.format("long_periods"), also=LONG_PERIODS)
+def overlap_counts_hot(v):
+    """Few keys with many periods each, some of them very long."""
+    return J.overlap_counts(long_periods(v), "currency", "starts_at", "ends_at", HOT_SPLIT)
+
+
+@query("""SELECT l.currency, l.id, r.id AS other_id FROM long_periods l JOIN long_periods r ON l.currency = r.currency AND l.id <> r.id
+AND l.starts_at < r.ends_at AND r.starts_at < l.ends_at WHERE l.id % 97 = 0""", also=LONG_PERIODS)
+def overlaps_of(v):
+    """The partners of some periods only."""
+    periods = long_periods(v)
+    return J.overlaps_of(periods, periods.filter("id % 97 = 0").select("id"), "currency", "starts_at", "ends_at", 86400 * 4)
+
+
 @query("""SELECT l.currency, l.id AS left_id, r.id AS right_id FROM long_periods l JOIN long_periods r
 ON l.currency = r.currency AND l.id < r.id AND l.starts_at < r.ends_at AND r.starts_at < l.ends_at
 WHERE l.id % 1000 = 0 AND r.id % 1000 = 0""", also=LONG_PERIODS)
 def overlap_join_levels(v):
     """Long periods of a few keys against each other and against short ones; the long ones' pairs are shown."""
-    end = F.when(F.col("id") % 1000 == 0, F.col("starts_at") + F.expr("interval 4000 day")).otherwise(F.col("ends_at"))
-    periods = v.rate_periods.withColumn("currency", F.col("currency") % 5).withColumn("ends_at", end)
-    long = periods.filter("id % 1000 = 0")
+    long = long_periods(v).filter("id % 1000 = 0")
     return J.range_overlap_join(long, "currency", "starts_at", "ends_at", 86400 * 4)
 
 
@@ -465,6 +492,20 @@ def latency_percentiles_sketch(v):
     return A.latency_percentiles(v.table("events"), "value", "event_type")
 
 
+@query("""SELECT event_type, count(*) AS rows, true AS p50_holds, true AS p95_holds, true AS p99_holds FROM events
+WHERE CAST(ts AS DATE) > (SELECT min(CAST(ts AS DATE)) FROM events) GROUP BY event_type""")
+def latency_percentiles_merged(v):
+    """Percentiles of all days but the first from stored daily sketches, and whether their places are right in the rows."""
+    events, wanted = v.table("events"), A.PERCENTILES
+    stored = materialize(K.daily_sketches(events, "value", "ts", "event_type"), "sketches")
+    first = stored.agg(F.min("day")).scalar()
+    found = K.merged_percentiles(stored, wanted, "event_type", condition=F.col("day") > first)
+    errors = K.rank_errors(events.filter(F.to_date("ts") > first), "value", found, wanted, "event_type")
+    holds = [(F.col(f"_{p}") < K.RANK_ERROR).alias(f"{p}_holds") for p in wanted]
+    errors = errors.select(F.col("event_type").alias("_type"), *[F.col(p).alias(f"_{p}") for p in wanted])
+    return found.join(errors, F.col("event_type") == F.col("_type")).select("event_type", "rows", *holds)
+
+
 @query("""SELECT event_type, round(CAST(sum(event_id % 7) AS DOUBLE) * 100 / nullif(CAST(sum(event_id % 11) AS DOUBLE), 0), 2)
 AS percent FROM events GROUP BY event_type""")
 def pipelined_ratio(v):

@@ -1,5 +1,8 @@
 """Column expressions and small operators on hand-made rows."""
 
+import datetime as dt
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -107,6 +110,21 @@ def test_deadlock_is_found_behind_a_queue(spark):
     assert [r.blocking_pid for r in diagnostics.root_blockers(edges).collect()] == [6]
 
 
+def test_overlap_counts_without_pairs(spark):
+    rng = random.Random(3)
+    rows = [(i, rng.choice(["k", "k", "l", None]), rng.choice([None, *range(40)]), rng.randrange(45)) for i in range(250)]
+    df = spark.createDataFrame([(i, k, None if s is None else dt.datetime(2024, 1, 1) + dt.timedelta(hours=s), dt.datetime(2024, 1, 1) + dt.timedelta(hours=e)) for i, k, s, e in rows],
+                               "id bigint, k string, s timestamp_ntz, e timestamp_ntz")
+    real = [r for r in rows if r[1] and r[2] is not None and r[2] < r[3]]
+    want = {i: 0 for i, *_ in rows} | {i: sum(k == k2 and i != j and s < e2 and s2 < e for j, k2, s2, e2 in real) for i, k, s, e in real}
+    for split in (10**6, 20):
+        got = joins.overlap_counts(df, "k", "s", "e", split)
+        assert {r.id: r.overlaps for r in got.collect()} == want
+    named = spark.createDataFrame([(3,), (4,), (4,), (999,)], "who bigint")
+    partners = joins.overlaps_of(df, named, "k", "s", "e", 3600 * 5).groupBy("id").count().collect()
+    assert {r.id: r["count"] for r in partners} == {i: want[i] for i in (3, 4) if want[i]}
+
+
 def test_overlaps_across_buckets_appear_once(spark):
     rows = [(i, 1, f"2024-01-{1 + i:02d} 00:00:00", f"2024-01-{4 + i:02d} 00:00:00") for i in range(6)]
     df = spark.createDataFrame(rows, "id int, k int, s string, e string").select(
