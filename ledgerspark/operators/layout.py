@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
+import json
+import re
 import time
+from collections.abc import Iterator
+from decimal import Decimal
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerspark.functions.scalars import normalized_email, percent_of
-from ledgerspark.session import materialize, scratch_path
+from ledgerspark.session import scratch_path
 
 
 def layout_sorted(df: DataFrame, columns: list[str], path: str, files: int | None = None, row_group_bytes: int | None = None) -> None:
@@ -85,33 +90,100 @@ def layout_normalized_key(df: DataFrame, column: str, name: str, path: str, file
 
 
 def layout_inverted(df: DataFrame, key: str, document: str, path: str) -> DataFrame:
-    """(path, value, id) of the members of a JSON object at any depth, one row per scalar or array element, partitioned by
-    path (the names on the way, joined by dots). Objects are opened level by level, as many as the documents have."""
-    here, rows = df.select(key, F.lit("").alias("path"), F.col(document).alias("member")), None
-    while True:
-        opened = here.select(key, F.col("path").alias("_above"), F.explode(F.from_json("member", "map<string,string>")).alias("_name", "member"))
-        opened = opened.select(key, F.concat_ws(".", F.nullif("_above", F.lit("")), "_name").alias("path"), "member")
-        elements = F.coalesce(F.from_json("member", "array<string>"), F.array("member"))
-        level = materialize(opened.select("path", F.explode(elements).alias("value"), key), "members")
-        is_object = F.coalesce(F.col("value").startswith("{"), F.lit(False)) & F.from_json("value", "map<string,string>").isNotNull()
-        found = level.filter(~is_object)
-        rows = found if rows is None else rows.unionByName(found)
-        here = level.filter(is_object).select(key, "path", F.col("value").alias("member"))
-        if not here.limit(1).count():
-            break
-    # ranges of (path, value, id), so that neither a frequent member nor a frequent value becomes one writing task
-    ranged = rows.repartitionByRange("path", "value", key).sortWithinPartitions("path", "value", key)
-    ranged.write.partitionBy("path").parquet(path)
+    """(path, kind, value, at, key): one row per scalar of a JSON document at any depth, sorted by (path, kind, value).
+
+    ``path`` joins the names on the way by dots, with dots and backslashes inside names escaped. ``kind`` is string, number,
+    boolean or null, so that the text "1" is not the number 1, and a text that looks like JSON is a text; numbers are
+    written in one way (1.50 as 1.5). ``at`` has, for the document and for every name of the path, the positions in the arrays
+    opened there ("0.2" is the third element of the first array): members of one array element have the same beginning. A text
+    that is no JSON has no members; of members of one name the last counts.
+    """
+    kind = df.schema[key].dataType.simpleString()
+
+    def members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found, keys = ([], [], [], []), []
+            for place, text in enumerate(batch.column(1).to_pylist()):
+                for row in scalars_of(text):
+                    keys.append(place)
+                    for column, value in zip(found, row, strict=True):
+                        column.append(value)
+            types = (pa.string(), pa.string(), pa.string(), pa.list_(pa.string()))
+            arrays = [pa.array(c, t) for c, t in zip(found, types, strict=True)]
+            yield pa.RecordBatch.from_arrays([*arrays, batch.column(0).take(pa.array(keys, pa.int64()))], names=["path", "kind", "value", "at", key])
+
+    rows = df.select(key, document).mapInArrow(members, f"path string, kind string, value string, at array<string>, `{key}` {kind}")
+    # ranges of (path, kind, value, id), so that neither a frequent member nor a frequent value becomes one writing task
+    order = ["path", "kind", "value", key]
+    rows.repartitionByRange(*order).sortWithinPartitions(*order).write.parquet(path)
     return df.sparkSession.read.schema(rows.schema).parquet(path)
 
 
-def inverted_lookup(index: DataFrame, key: str, **members: str) -> DataFrame:
-    """Ids whose document has all the given members."""
-    wanted = F.lit(False)
-    for path, value in members.items():
-        wanted = wanted | ((F.col("path") == path) & (F.col("value") == value))
-    hits = index.filter(wanted).groupBy(key).agg(F.count_distinct(F.col("path")).alias("_n"))
-    return hits.filter(F.col("_n") == len(members)).select(key)
+def json_path(*names: str) -> str:
+    """The ``path`` of nested names in an inverted layout."""
+    return ".".join(n.replace("\\", "\\\\").replace(".", "\\.") for n in names)
+
+
+def scalars_of(text: str | None) -> Iterator[tuple[str, str, str | None, list[str]]]:
+    """(path, kind, value, at) of every scalar of a JSON text."""
+    try:
+        root = json.loads(text, parse_float=Decimal, parse_constant=_no_json) if text is not None else {}
+    except (ValueError, RecursionError, ArithmeticError):
+        return
+    todo = [((), [""], root)]
+    while todo:
+        names, at, value = todo.pop()
+        if isinstance(value, dict):
+            todo.extend(((*names, name), [*at, ""], member) for name, member in value.items())
+        elif isinstance(value, list):
+            todo.extend((names, [*at[:-1], f"{at[-1]}.{k}" if at[-1] else str(k)], member) for k, member in enumerate(value))
+        else:
+            yield (json_path(*names), *kind_and_text(value), at)
+
+
+def _no_json(name: str):
+    raise ValueError(name)
+
+
+def kind_and_text(value: str | bool | int | float | Decimal | None) -> tuple[str, str | None]:
+    """How a scalar is kept: equal numbers are written alike."""
+    if value is None:
+        return "null", None
+    if isinstance(value, bool):
+        return "boolean", str(value).lower()
+    if isinstance(value, str):
+        return "string", value
+    if isinstance(value, int):
+        return "number", str(value)
+    number = (Decimal(repr(value)) if isinstance(value, float) else value).normalize()
+    return "number", f"{number:f}" if abs(number.adjusted()) < 100 else str(number)
+
+
+def inverted_lookup(index: DataFrame, key: str, wanted: dict | None = None, **members) -> DataFrame:
+    """Ids whose document has all the given members, each found by one range of the index.
+
+    Members are given by path (``json_path``, or plain dotted names) with a value of the kind that is looked for. A dict as
+    value stands for one array element, or one object, that has all of its members (by their names below it) together.
+    """
+    hits = None
+    for path, value in {**(wanted or {}), **members}.items():
+        if isinstance(value, dict):
+            # the place in the document after as many names as the path has
+            depth, found = re.sub(r"\\.", "", path).count(".") + 1, None
+            for inner, own in value.items():
+                rows = _holding(index, f"{path}.{inner}", own).select(key, F.slice("at", 1, depth + 1).alias("_at")).distinct()
+                found = rows if found is None else found.join(rows, [key, "_at"], "left_semi")
+            found = found.select(key)
+        else:
+            found = _holding(index, path, value).select(key)
+        hits = found.distinct() if hits is None else hits.join(found, key, "left_semi")
+    return hits
+
+
+def _holding(index: DataFrame, path: str, value) -> DataFrame:
+    kind, text = kind_and_text(value)
+    rows = index.filter((F.col("path") == path) & (F.col("kind") == kind))
+    return rows if text is None else rows.filter(F.col("value") == text)
 
 
 def layout_bucketed(df: DataFrame, table: str, key: str, buckets: int | None, path: str) -> DataFrame:

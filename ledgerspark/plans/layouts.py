@@ -106,6 +106,20 @@ def layout_inverted_nested(v):
     return L.inverted_lookup(index, "id", **{"call.who.merchant": "m-42", "call.how.channel": "web"})
 
 
+@query("SELECT id FROM operations WHERE merchant = 'm-42' AND channel = 'web'")
+def layout_inverted_kinds(v):
+    """Names with dots, texts that look like JSON, numbers beside equal texts, and members of one array element."""
+    merchant, channel = F.col("merchant"), F.col("channel")
+    items = F.array(F.struct(merchant.alias("m"), channel.alias("c")), F.struct(F.lit("m-42").alias("m"), F.lit("none").alias("c")))
+    document = F.struct(
+        channel.alias("a.b"), F.struct(merchant.alias("b")).alias("a"), F.concat(F.lit('["'), channel, F.lit('"]')).alias("text"),
+        F.when(channel == "web", 1.5).alias("n"), F.lit("1.5").alias("s"), items.alias("items"))
+    rows = v.operations.select("id", F.to_json(document).alias("metadata"))
+    index = L.layout_inverted(rows, "id", "metadata", scratch_path(v.spark, "inverted"))
+    return L.inverted_lookup(index, "id", {
+        L.json_path("a.b"): "web", "a.b": "m-42", "text": '["web"]', "n": 1.50, "s": "1.5", "items": {"m": "m-42", "c": "web"}})
+
+
 @query("SELECT account_id, count(*) AS payments, CAST(sum(amount_minor) AS BIGINT) AS amount FROM payments GROUP BY 1")
 def layout_bucketed(v):
     path = scratch_path(v.spark, "bucketed")

@@ -233,3 +233,25 @@ def test_scratch_tables_can_be_removed(spark):
     assert two.count() == 4
     with pytest.raises(Exception):
         spark.read.parquet(one.scratch_path).count()
+
+
+def test_inverted_members_keep_their_kind_and_place(spark):
+    documents = [
+        (1, '{"a": "{\\"b\\":1}", "n": "1"}'), (2, '{"a": {"b": 1}, "n": 1}'), (3, '{"a": ["x"], "n": 1.0}'), (4, '{"a.b": 1, "a": "[\\"x\\"]"}'),
+        (5, '{"a": [{"b": 1, "c": 2}, {"b": 3, "c": [4, 5]}], "t": true, "z": null}'), (6, "no json"), (7, None), (8, '[{"a": [[{"b": 1}]]}]'), (9, "{}"), (10, '{"t": "true", "z": NaN}')]
+    df = spark.createDataFrame(documents, "id bigint, doc string")
+    index = layout.layout_inverted(df, "id", "doc", scratch_path(spark, "inverted")).cache()
+
+    def found(wanted):
+        return ids(layout.inverted_lookup(index, "id", wanted))
+
+    assert found({"a.b": 1}) == [2, 5, 8]
+    assert found({layout.json_path("a.b"): 1}) == [4]
+    assert found({"a": '{"b":1}'}) == [1] and found({"a": '["x"]'}) == [4] and found({"a": "x"}) == [3]
+    assert found({"n": 1}) == [2, 3] and found({"n": "1"}) == [1]
+    assert found({"t": True}) == [5] and found({"t": "true"}) == [] and found({"z": None}) == [5]
+    assert found({"a.b": 1, "a.c": 4}) == [5] and found({"a": {"b": 1, "c": 4}}) == [] and found({"a": {"b": 3, "c": 4}}) == [5]
+    assert [r["at"] for r in index.filter("id = 8").collect()] == [["0", "0.0", ""]]
+    assert not index.filter("id IN (6, 7, 9, 10)").count()
+    plan = layout.inverted_lookup(index.sparkSession.read.schema(index.schema).parquet(*index.inputFiles()), "id", {"n": 1})._jdf.queryExecution().executedPlan().toString()
+    assert "EqualTo(path,n)" in plan and "EqualTo(kind,number)" in plan and "Scan parquet" in plan
