@@ -167,9 +167,9 @@ def text_search_spanish(v):
 
 def document_index(v):
     """Index of two thirds of the documents, and of the others as an appended batch with some of the first once more."""
-    docs, part = v.table("documents"), F.pmod(F.xxhash64("doc_id"), F.lit(3))
-    index = TextIndex.build(docs.filter(part > 0), "doc_id", "text", scratch_path(v.spark, "postings"))
-    index.append(docs.filter(part < 2), "doc_id", "text")
+    docs, part = v.table("documents"), F.pmod(F.xxhash64("doc_id"), F.lit(48))
+    index = TextIndex.build(docs.filter(part > 15), "doc_id", "text", scratch_path(v.spark, "postings"))
+    index.append(docs.filter(part < 17), "doc_id", "text")
     return index
 
 
