@@ -212,7 +212,7 @@ def counted(tokens: DataFrame, candidates: np.ndarray, support: int = SUPPORT) -
 def collocations(docs: DataFrame, first: int = FIRST, support: int = SUPPORT, shards: int = SHARDS) -> DataFrame:
     """(lang, rank int, phrase, a, l, r, n, score): the ``first`` best phrases of 2 and 3 words of each language.
 
-    docs has the columns text and lang. Words, pieces and scores are those of the class of queries op12: A-Z are lowered, texts fall into
+    docs has the columns text and lang. A-Z are lowered, texts fall into
     pieces at ``.,;:!?`` and line ends, a phrase lies within a piece, f counts all its occurrences, a = f(phrase) is at least ``support``;
     of its cuts into two parts with counts l and r the one with the smallest floor(10**6 * a * a / (l * r)) counts, ties to the
     shorter first part; a phrase is dropped where a phrase one word longer (of at most three) around it has half of its count.
