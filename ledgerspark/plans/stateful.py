@@ -357,3 +357,44 @@ def write_skew_pairs(v):
         F.array(a, a + 1).alias("reads"), F.array(a + event % 2).alias("writes"),
     )
     return accesslog.write_skew_pairs(log)
+
+
+RING_LOG = """ring_log AS (
+  SELECT event_id AS tx, ts AS started_at, ts + to_seconds(3600 + event_id % 36000) AS committed_at,
+         user_id // 3 * 3 + event_id % 3 AS w, user_id // 3 * 3 + (event_id + 1) % 3 AS r
+  FROM events),
+access AS (
+  SELECT tx, started_at, committed_at, 0 AS kind, w AS row_key, committed_at AS moment FROM ring_log
+  UNION ALL SELECT tx, started_at, committed_at, 1, unnest([r, w]), started_at FROM ring_log),
+version AS (
+  SELECT *, last_value(CASE WHEN kind = 0 THEN tx END IGNORE NULLS) OVER earlier AS written_by,
+         first_value(CASE WHEN kind = 0 THEN tx END IGNORE NULLS) OVER later AS next_by
+  FROM access WINDOW earlier AS (PARTITION BY row_key ORDER BY moment, kind, tx ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING),
+                     later AS (PARTITION BY row_key ORDER BY moment, kind, tx ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING))"""
+
+
+def ring_log(v):
+    """Each transaction reads two neighbours in a ring of three users and writes the first of them, so that most cycles have three."""
+    event, user = F.col("event_id"), F.col("user_id")
+    ring = user - user % 3
+    first, second = ring + event % 3, ring + (event + 1) % 3
+    return v.table("events").select(
+        event.alias("tx"), F.col("ts").alias("started_at"),
+        (F.col("ts") + F.make_dt_interval(secs=3600 + event % 36000)).alias("committed_at"),
+        F.array(first, second).alias("reads"), F.array(first).alias("writes"),
+    )
+
+
+@query("""SELECT written_by AS from_tx, tx AS to_tx, CASE kind WHEN 0 THEN 'ww' ELSE 'wr' END AS kind, row_key FROM version WHERE written_by <> tx
+UNION ALL SELECT tx, next_by, 'rw', row_key FROM version WHERE kind = 1 AND next_by <> tx""", also=RING_LOG)
+def serialization_edges(v):
+    return accesslog.serialization_edges(ring_log(v))
+
+
+@query("""SELECT p.tx, (SELECT count(*) FROM rw WHERE writer = p.tx) AS readers_of, (SELECT count(*) FROM rw WHERE reader = p.tx) AS overwritten_by
+FROM ring_log p WHERE EXISTS (SELECT 1 FROM rw i JOIN rw o ON i.writer = o.reader WHERE i.writer = p.tx
+  AND o.writer_commits < p.committed_at AND o.writer_commits <= i.reader_commits)""", also=RING_LOG + """,
+rw AS (SELECT a.tx AS reader, a.committed_at AS reader_commits, n.tx AS writer, n.committed_at AS writer_commits
+  FROM version a JOIN ring_log n ON n.tx = a.next_by WHERE a.kind = 1 AND n.tx <> a.tx AND n.started_at < a.committed_at)""")
+def dangerous_structures(v):
+    return accesslog.dangerous_structures(ring_log(v))
