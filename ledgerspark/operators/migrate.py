@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 import json
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerspark.operators.scans import global_rank
+from ledgerspark.operators.scans import Running, ordered_scan
+from ledgerspark.session import materialize
 from ledgerspark.sources.store import ConcurrentPublish, VersionedStore
 
 
@@ -21,18 +23,22 @@ def add_column_default(spark: SparkSession, paths: list[str], schema: T.StructTy
     return spark.read.schema(wider).parquet(*paths)
 
 
-def backfill_ranges(df: DataFrame, key: str, pending: Column, batch_rows: int) -> list:
-    """Upper key of each batch, so that a batch holds at most ``batch_rows`` pending rows. ``key`` is unique."""
-    ranked = global_rank(df.filter(pending).select(key), [key], "_rank")
-    batch = F.floor((F.col("_rank") - 1) / batch_rows).alias("_batch")
-    tops = ranked.groupBy(batch).agg(F.max(key).alias("top")).orderBy("_batch")
-    return [row["top"] for row in tops.collect()]  # one value per batch: the loop below runs once for each
+def backfill_plan(df: DataFrame, pending: Column, batch_rows: int, directory: Column | None = None) -> DataFrame:
+    """(file, directory, rows, pending, batch) of the files that ``df`` reads, in the order of their names, but for those of
+    directories (an expression of ``file``) without a pending row. A batch is closed as soon as it has ``batch_rows`` rows, so it
+    holds less than that and one file more. Reads the columns of ``pending`` only."""
+    counts = df.select(F.col("_metadata.file_path").alias("file"), pending.alias("_p")).groupBy("file").agg(
+        F.count(F.lit(1)).alias("rows"), F.count_if("_p").alias("pending"))
+    files = materialize(counts.select("file", (F.lit("") if directory is None else directory).alias("directory"), "rows", "pending"), "files")
+    concerned = files.groupBy(F.col("directory").alias("_d")).agg(F.sum("pending").alias("_n")).filter("_n > 0")
+    todo = files.join(concerned, F.col("directory") == F.col("_d"), "left_semi")
+    ahead = ordered_scan(todo, [], ["file"], running={"_ahead": Running("sum", "rows", inclusive=False)})
+    return ahead.select("file", "directory", "rows", "pending", F.floor(F.coalesce("_ahead", F.lit(0)) / batch_rows).alias("batch"))
 
 
 def backfill_batches(
     store: VersionedStore,
     table: str,
-    key: str,
     pending: Column,
     values: dict[str, Column],
     batch_rows: int,
@@ -40,44 +46,56 @@ def backfill_batches(
 ) -> int:
     """Fill columns of the pending rows in batches of bounded size, and publish the table when none is left.
 
-    Every finished key range is a directory with a progress note in the store, committed on its own. A job that
-    was stopped goes on after the last finished range; a finished job finds nothing to do. Returns the number of
-    batches run by this call.
+    A batch is a group of the table's files, so that every file is read once over all batches, written without a shuffle, and keeps
+    its order; no key is needed. A finished batch is a directory with a note in the store, which names the last one only: a job that
+    was stopped goes on after it, and writes a batch that it had begun anew. A finished job finds nothing to do. Directories
+    of the table without a pending row are kept as they are. Returns the number of batches run by this call.
     """
     note = f"backfill:{table}"
     manifest = store.manifest()
     source = manifest.tables[table]
     progress = json.loads(manifest.notes.get(note, "null"))
     if progress is None or progress["source"] != source["paths"]:
-        tops = backfill_ranges(store.read(table), key, pending, batch_rows)
-        if not tops:
+        progress = _begin_backfill(store, table, source, pending, batch_rows)
+        if progress is None:
             return 0
-        progress = {"source": source["paths"], "tops": tops, "done": []}
         store.publish(notes={note: json.dumps(progress)})
-    tops, done = progress["tops"], progress["done"]
-    columns = store.read(table).columns
-    ran = 0
-    for i in range(len(done), len(tops)):
-        # the first range also takes rows without a key, the last one all keys above the last pending row
-        low = F.lit(True) if i == 0 else F.col(key) > F.lit(tops[i - 1])
-        high = F.lit(True) if i == len(tops) - 1 else F.col(key) <= F.lit(tops[i])
-        if i == 0:
-            high = high | F.col(key).isNull()
-        part = store.read(table).filter(low & high).select(
-            *[F.when(pending, values[c]).otherwise(F.col(c)).alias(c) if c in values else F.col(c) for c in columns]
-        )
-        done.append(store._write(table, manifest.version + 1, part))
+    plan, ran = _stored_plan(store, progress["plan"]), 0
+    while (batch := plan.filter(F.col("batch") > progress["last"]).agg(F.min("batch")).first()[0]) is not None:
+        files = [r.file for r in plan.filter(F.col("batch") == batch).select("file").collect()]
+        part = store.spark.read.schema(source["schema"]).parquet(*files)
+        filled = part.select(*[F.when(pending, values[c]).otherwise(F.col(c)).alias(c) if c in values else F.col(c) for c in part.columns])
+        filled.write.mode("overwrite").parquet(f"{store.root}/{progress['target']}/{batch}")
+        progress["last"] = batch
         store.publish(notes={note: json.dumps(progress)})
         ran += 1
         if on_batch:
-            on_batch(i)
+            on_batch(ran - 1)
     base = store.manifest()
     if base.tables[table]["paths"] != progress["source"]:
         raise ConcurrentPublish(f"{table} has changed since the backfill began; run it again on the new version")
-    store.attach(table, source["schema"], done, base)
+    store.attach(table, source["schema"], [*progress["kept"], f"{progress['target']}/*"], base)
     return ran
 
 
+def _begin_backfill(store: VersionedStore, table: str, source: dict, pending: Column, batch_rows: int) -> dict | None:
+    """Write the plan of a table's backfill and return its first note, None if no row is pending."""
+    below = F.split_part(F.col("file"), F.lit(f"/{store.root.rsplit('/', 1)[-1]}/{table}/"), F.lit(2))
+    run = uuid.uuid4().hex
+    path = f"_plans/{table}-{run}"
+    backfill_plan(store.read(table), pending, batch_rows, F.split_part(below, F.lit("/"), F.lit(1))).write.parquet(f"{store.root}/{path}")
+    # one name for each directory of the manifest at most
+    concerned = {r.directory for r in _stored_plan(store, path).select("directory").distinct().collect()}
+    if not concerned:
+        return None
+    kept = [p for p in source["paths"] if p.split("/")[1] not in concerned]
+    return {"source": source["paths"], "kept": kept, "plan": path, "target": f"{table}/filled-{run}", "last": -1}
+
+
+def _stored_plan(store: VersionedStore, path: str) -> DataFrame:
+    return store.spark.read.schema("file STRING, directory STRING, rows BIGINT, pending BIGINT, batch BIGINT").parquet(f"{store.root}/{path}")
+
+
 def validate_then_require(df: DataFrame, column: str, is_new: Column, rule: Column | None = None) -> DataFrame:
     """The steps to a required column as rows (step, violations, allowed).
 

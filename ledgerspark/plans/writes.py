@@ -261,8 +261,8 @@ def backfill_batches(v):
     store.publish(replace={"payments": table.repartitionByRange("id")})
     pending = F.col("settled_at").isNull() & (F.col("status") == "COMPLETED")
     hour = F.col("created_at") + F.expr("interval 1 hour")
-    size = max(1, v.payments.filter("status = 'COMPLETED'").count() // 3)
-    migrate.backfill_batches(store, "payments", "id", pending, {"settled_at": hour}, size)
+    size = max(1, v.payments.count() // 3)
+    migrate.backfill_batches(store, "payments", pending, {"settled_at": hour}, size)
     return store.read("payments").select("id", "status", "settled_at")
 
 

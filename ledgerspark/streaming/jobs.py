@@ -10,12 +10,13 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from ledgerspark.operators.debits import guarded_debits
-from ledgerspark.session import materialize
+from ledgerspark.operators.scans import ROWS_PER_SPLIT, Running, ordered_scan
+from ledgerspark.session import discard, materialize
 from ledgerspark.sources.store import VersionedStore
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -148,25 +149,61 @@ def running_balance_batch(store: VersionedStore, fold_every: int = 50) -> Callab
     return handle
 
 
+RANGES = "first_id BIGINT, last_id BIGINT"
+
+
+def not_in_ranges(rows: DataFrame, ranges: DataFrame, rows_per_split: int = ROWS_PER_SPLIT) -> DataFrame:
+    """Rows (id, ...) whose id is in none of the ranges (first_id, last_id), which do not overlap: ranges and ids are passed over
+    once in their order, so no row meets a range."""
+    starts = ranges.select(F.col("first_id").alias("_at"), F.lit(0).alias("_kind"), F.col("last_id").alias("_to"))
+    asked = rows.select(F.col("id").alias("_at"), F.lit(1).alias("_kind"), F.lit(None).cast("bigint").alias("_to"))
+    covered = ordered_scan(starts.union(asked), [], ["_at", "_kind"], running={"_reach": Running("max", "_to")}, rows_per_split=rows_per_split)
+    free = covered.filter((F.col("_kind") == 1) & (F.coalesce("_reach", F.col("_at") - 1) < F.col("_at"))).select(F.col("_at").alias("_free"))
+    return rows.join(free, F.col("id") == F.col("_free"), "left_semi")
+
+
+def merge_ranges(ranges: DataFrame, rows_per_split: int = ROWS_PER_SPLIT) -> DataFrame:
+    """Ranges (first_id, last_id) that do not overlap, with those that touch made one."""
+    rows = ordered_scan(ranges, [], ["first_id"], previous={"_up_to": "last_id"}, rows_per_split=rows_per_split)
+    begins = F.when(F.coalesce(F.col("_up_to") + 1 == F.col("first_id"), F.lit(False)), None).otherwise(F.col("first_id"))
+    runs = ordered_scan(rows.withColumn("_begin", begins), [], ["first_id"], running={"_run": Running("max", "_begin")}, rows_per_split=rows_per_split)
+    return runs.groupBy("_run").agg(F.max("last_id").alias("last_id")).select(F.col("_run").alias("first_id"), "last_id")
+
+
+def low_water_mark(store: VersionedStore) -> int | None:
+    """The id up to which, from the first one seen, every id is settled; None before the first batch."""
+    if "sent" not in store.manifest().tables:
+        return None
+    return store.read("sent").agg(F.min_by("last_id", "first_id")).first()[0]
+
+
 def relay_outbox_batch(
-    store: VersionedStore, deliver: Callable[[DataFrame], None]
+    store: VersionedStore, deliver: Callable[[DataFrame], None], wanted: Column | None = None, rows_per_split: int = ROWS_PER_SPLIT
 ) -> Callable[[DataFrame, int], None]:
     """Handler for a stream of outbox rows (id, ...): deliver the unsent ones, then note them as sent.
 
-    A crash in between delivers again, so delivery is at least once and consumers have to know the id.
+    What is noted (table ``sent``) are the ranges of settled ids: one up to the low-water mark, and one behind each gap above it. A gap
+    are ids that have not come yet, such as those of transactions that are still open or were rolled back, so the table is bounded by
+    them and not by what was ever sent. However late the row of a gap comes, it is delivered and closes the gap. Rows that are not
+    ``wanted`` are settled without delivery. A crash between delivery and note delivers again, so delivery is at least once and
+    consumers have to know the id. ids are whole numbers; a row without one is not delivered.
     """
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         if _seen(store, "outbox", batch_id):
             return
-        unsent = batch.dropDuplicates(["id"])
-        if "sent" in store.manifest().tables:
-            sent = store.read("sent").select(F.col("id").alias("_sent"))
-            unsent = unsent.join(sent, F.col("id") == F.col("_sent"), "left_anti")
-        unsent = materialize(unsent, "unsent")
-        deliver(unsent.repartitionByRange("id").sortWithinPartitions("id"))
-        marked = unsent.select("id", F.lit(batch_id).cast("bigint").alias("sent_in"))
-        store.publish(append={"sent": marked}, notes={"batch:outbox": str(batch_id)})
+        base = store.manifest()
+        rows = batch.filter("id IS NOT NULL").dropDuplicates(["id"])
+        known = store.read("sent", base.version) if "sent" in base.tables else batch.sparkSession.createDataFrame([], RANGES)
+        came = materialize(rows, "came")
+        unsent = materialize(not_in_ranges(came, known, rows_per_split), "unsent")
+        due = unsent if wanted is None else unsent.filter(wanted)
+        deliver(due.repartitionByRange("id").sortWithinPartitions("id"))
+        one = F.col("id").cast("bigint")
+        # two scans read it: written, so that both see the same rows
+        both = materialize(known.unionByName(unsent.select(one.alias("first_id"), one.alias("last_id"))), "settled")
+        store.publish(replace={"sent": merge_ranges(both, rows_per_split)}, notes={"batch:outbox": str(batch_id)}, base=base)
+        discard(came, unsent, both)
 
     return handle
 

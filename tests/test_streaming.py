@@ -1,6 +1,7 @@
 """Streams of several batches: late rows, repeated batches, timers."""
 
 import datetime as dt
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -135,6 +136,30 @@ def test_outbox_is_delivered_again_only_after_a_crash(spark):
     assert sent == [1, 2, 1, 2, 3]
 
 
+def test_outbox_keeps_ranges_between_open_ids(spark):
+    """Ids come out of order and again; a crash between delivery and note delivers a batch once more."""
+    store, sent = VersionedStore(spark, scratch_path(spark, "store")), []
+    handler = jobs.relay_outbox_batch(store, lambda rows: sent.extend(r.id for r in rows.collect()), F.col("id") % 10 != 0, rows_per_split=7)
+    draw, late = random.Random(1), {17, 18, 55}
+    ids = [i for i in range(1, 121) if i not in late]
+    batches = [ids[k : k + 20] for k in range(0, len(ids), 20)]
+    assert jobs.low_water_mark(store) is None
+    for number, batch in enumerate(batches):
+        again = draw.sample(ids[: 20 * number + 1], min(5, number))
+        mixed = [*batch, *again, batch[0], None]
+        draw.shuffle(mixed)
+        handler(spark.createDataFrame([(i,) for i in mixed], "id bigint"), number)
+        assert store.read("sent").count() <= 1 + 2  # one range up to each of the two gaps, and the rest
+    assert jobs.low_water_mark(store) == 16
+    assert sorted(map(tuple, store.read("sent").collect())) == [(1, 16), (19, 54), (56, 120)]
+    handler(spark.createDataFrame([(18,), (55,), (20,)], "id bigint"), 10)
+    assert sorted(map(tuple, store.read("sent").collect())) == [(1, 16), (18, 120)]
+    handler(spark.createDataFrame([(17,)], "id bigint"), 11)
+    handler(spark.createDataFrame([], "id bigint"), 12)
+    assert [tuple(r) for r in store.read("sent").collect()] == [(1, 120)] and jobs.low_water_mark(store) == 120
+    assert sorted(sent) == [i for i in range(1, 121) if i % 10]
+
+
 def test_stuck_operations(spark):
     feed = Feed(spark, "idempotency_key string, status string, ts timestamp")
     feed.add(("done", "RESERVED", at(0)), ("stuck", "RESERVED", at(1)), ("tick", "COMPLETED", at(1)))

@@ -1,6 +1,7 @@
 """Stored tables, write jobs and migrations."""
 
 import datetime as dt
+import json
 from decimal import Decimal
 
 import pytest
@@ -58,7 +59,7 @@ def test_append_with_other_columns_is_refused(spark, store):
 
 
 def test_backfill_goes_on_after_a_stop(spark, store):
-    table = spark.range(100).select("id", F.lit(None).cast("string").alias("ref"), (F.col("id") % 4).alias("kind"))
+    table = spark.range(0, 100, 1, 8).select("id", F.lit(None).cast("string").alias("ref"), (F.col("id") % 4).alias("kind"))
     store.publish(replace={"t": table})
     pending = F.col("ref").isNull() & (F.col("kind") != 0)
     values = {"ref": F.concat(F.lit("legacy-"), "id")}
@@ -70,33 +71,69 @@ def test_backfill_goes_on_after_a_stop(spark, store):
             raise KeyboardInterrupt
 
     with pytest.raises(KeyboardInterrupt):
-        migrate.backfill_batches(store, "t", "id", pending, values, 10, stop_after_two)
+        migrate.backfill_batches(store, "t", pending, values, 10, stop_after_two)
     assert store.read("t").filter("ref IS NOT NULL").count() == 0  # not visible before the end
-    assert migrate.backfill_batches(store, "t", "id", pending, values, 10) == 6
+    # what a batch had written before it was stopped is written anew
+    target = json.loads(store.manifest().notes["backfill:t"])["target"]
+    spark.range(5).selectExpr("id", "'half' AS ref", "id AS kind").write.parquet(f"{store.root}/{target}/2")
+    assert migrate.backfill_batches(store, "t", pending, values, 10) == 6
     done = store.read("t")
     assert done.count() == 100 and done.filter(pending).count() == 0
     assert done.filter("kind = 0 AND ref IS NOT NULL").count() == 0
-    assert migrate.backfill_batches(store, "t", "id", pending, values, 10) == 0
+    assert done.filter("ref <> concat('legacy-', id)").count() == 0
+    assert migrate.backfill_batches(store, "t", pending, values, 10) == 0
 
 
 def test_backfill_does_not_overwrite_later_rows(spark, store):
-    store.publish(replace={"t": spark.range(20).select("id", F.lit(None).cast("string").alias("ref"))})
+    store.publish(replace={"t": spark.range(0, 20, 1, 2).select("id", F.lit(None).cast("string").alias("ref"))})
     values, pending = {"ref": F.lit("x")}, F.col("ref").isNull()
 
     def new_row(i):
         if i == 0:
-            store.publish(append={"t": spark.range(20, 21).select("id", F.lit(None).cast("string").alias("ref"))})
+            store.publish(append={"t": spark.range(20, 21, 1, 1).select("id", F.lit(None).cast("string").alias("ref"))})
 
     with pytest.raises(ConcurrentPublish):
-        migrate.backfill_batches(store, "t", "id", pending, values, 10, new_row)
-    assert migrate.backfill_batches(store, "t", "id", pending, values, 10) == 3
+        migrate.backfill_batches(store, "t", pending, values, 10, new_row)
+    assert migrate.backfill_batches(store, "t", pending, values, 10) == 3
     assert store.read("t").count() == 21 and store.read("t").filter(pending).count() == 0
 
 
 def test_backfill_batches_are_bounded(spark):
-    df = spark.range(100)
-    tops = migrate.backfill_ranges(df, "id", F.col("id") % 2 == 0, 8)
-    assert tops == [14, 30, 46, 62, 78, 94, 98]
+    path = scratch_path(spark, "files")
+    spark.range(0, 100, 1, 10).write.parquet(path)
+    plan = migrate.backfill_plan(spark.read.parquet(path), F.col("id") % 2 == 0, 25)
+    sizes = {r.batch: (r.rows, r.pending) for r in plan.groupBy("batch").agg(F.sum("rows").alias("rows"), F.sum("pending").alias("pending")).collect()}
+    assert sizes == {0: (30, 15), 1: (20, 10), 2: (30, 15), 3: (20, 10)}
+    assert all(rows < 25 + 10 for rows, _ in sizes.values())
+
+
+def test_backfill_reads_each_file_once_without_a_shuffle(spark, store, monkeypatch):
+    """The batches read disjoint files, all of them together the table; directories that need nothing stay."""
+    kinds = "id bigint, ref string"
+    store.publish(replace={"t": spark.range(0, 40, 1, 4).selectExpr("id", "CAST(NULL AS STRING) AS ref")})
+    store.publish(append={"t": spark.createDataFrame([(100, "there")], kinds)})
+    full = store.manifest().tables["t"]["paths"][1]
+    read, plans = [], []
+    plain = type(spark.read).parquet
+
+    def watched(self, *paths, **options):
+        if all(p.endswith(".parquet") for p in paths):
+            read.extend(paths)
+            got = plain(self, *paths, **options)
+            plans.append(got._jdf.queryExecution().toString())
+            return got
+        return plain(self, *paths, **options)
+
+    monkeypatch.setattr(type(spark.read), "parquet", watched)
+    assert migrate.backfill_batches(store, "t", F.col("ref").isNull(), {"ref": F.lit("x")}, 10) == 4
+    assert len(read) == len(set(read)) == 4 and not any("Exchange" in p for p in plans)
+    assert full in store.manifest().tables["t"]["paths"]
+    assert {r.ref: r["count"] for r in store.read("t").groupBy("ref").count().collect()} == {"x": 40, "there": 1}
+    assert migrate.backfill_batches(store, "t", F.col("id") > 1000, {"ref": F.lit("y")}, 10) == 0  # nothing pending
+    monkeypatch.undo()
+    store.publish(notes={"backfill:t": "null"})  # a second backfill, of the directories that the first one wrote
+    assert migrate.backfill_batches(store, "t", F.col("id") == 5, {"ref": F.lit("z")}, 1000) == 1
+    assert {r.ref: r["count"] for r in store.read("t").groupBy("ref").count().collect()} == {"x": 39, "z": 1, "there": 1}
 
 
 def test_required_column(spark):
