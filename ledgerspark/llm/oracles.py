@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from ledgerspark.llm.urls import CALIBRATE_EVERY, CELLS, KINDS, RULES, SIGNS, STEP, UNIT
+from ledgerspark.llm.urls import ASIDE, COUNTS, ORDER, RULES, START, STEP, UNIT
 
 TOP_K = """
 WITH v AS (
@@ -53,15 +53,19 @@ def _rules() -> str:
     return "CASE " + " ".join(fits) + " END"
 
 
-def _likelihood(v: str) -> str:
-    return f"""
-  CASE WHEN {v}_n2 > 0 THEN ({v} + {v}_k2 * {v}_p1) / ({v}_n2 + {v}_k2) ELSE {v}_p1 END"""
-
-
-def _blend(v: str) -> str:
-    return f"""
-  CASE WHEN {v}_n1 > 0 THEN ({v}_pair + {v}_k1 * ({v}_last + 1) / CAST({v}_all + {KINDS} AS DOUBLE)) / ({v}_n1 + {v}_k1)
-       ELSE ({v}_last + 1) / CAST({v}_all + {KINDS} AS DOUBLE) END AS {v}_p1"""
+def _levels() -> str:
+    """The models of 0 to ORDER signs of context, each from the one before."""
+    parts = []
+    for k in range(ORDER + 1):
+        sums = ", ".join(f"CAST(sum({v}) AS BIGINT) AS {v}" for v in COUNTS)
+        seen = ", ".join(f"CAST(sum({v}) OVER c AS BIGINT) AS {v}_n, count(*) FILTER (WHERE {v} > 0) OVER c AS {v}_k" for v in COUNTS)
+        before = {v: f"s.{v}_p" if k else "CAST(1 AS DOUBLE) / (l.signs + 1)" for v in COUNTS}
+        blends = ", ".join(f"CASE WHEN {v}_n > 0 THEN ({v} + {v}_k * {before[v]}) / ({v}_n + {v}_k) ELSE {before[v]} END AS {v}_p" for v in COUNTS)
+        shorter = f" JOIN p{k - 1} AS s ON s.gram = substr(l.gram, 2)" if k else ""
+        parts += [f"n{k} AS (SELECT right(gram, {k + 1}) AS gram, {sums} FROM n GROUP BY 1),",
+                  f"l{k} AS (SELECT *, {seen}, count(*) OVER c AS signs FROM n{k} WINDOW c AS (PARTITION BY left(gram, {k}))),",
+                  f"p{k} AS (SELECT l.gram AS gram, {blends} FROM l{k} AS l{shorter}),"]
+    return "\n".join(parts)
 
 
 _BOTH = ("allow", "block")
@@ -74,26 +78,18 @@ h AS (
          regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM o),
 f AS (SELECT row_id, page_id, url, host, path, {_rules()} AS hit FROM h),
 d AS (SELECT row_id, page_id, host, path, split_part(hit, '|', 1) AS rule, CASE WHEN hit IS NOT NULL THEN split_part(hit, '|', 2) END AS verdict,
-             coalesce(page_id % {CALIBRATE_EVERY} = 0, false) AS aside, translate(lower(coalesce(url, '')), '123456789', '000000000') AS plain FROM f),
-c AS (SELECT row_id, verdict, aside, i, instr('{SIGNS}', substr(plain, i, 1)) AS place
-      FROM (SELECT row_id, verdict, aside, plain, unnest(range(1, length(plain) + 1)) AS i FROM d)),
-s AS (SELECT row_id, verdict, aside, i, CASE WHEN place = 0 THEN {KINDS - 1} ELSE place END AS sign FROM c),
-g AS (SELECT row_id, verdict, aside,
-             (coalesce(lag(sign, 2) OVER (PARTITION BY row_id ORDER BY i), 0) * {KINDS} + coalesce(lag(sign, 1) OVER (PARTITION BY row_id ORDER BY i), 0)) * {KINDS} + sign AS cell FROM s),
-n AS (SELECT cell, count(*) FILTER (WHERE verdict = 'allow') AS allow, count(*) FILTER (WHERE verdict = 'block') AS block
-      FROM g WHERE verdict IS NOT NULL AND NOT aside GROUP BY cell),
-k AS (SELECT a.cell AS cell, a.cell // {KINDS * KINDS} AS c1, a.cell // {KINDS} % {KINDS} AS c2, a.cell % {KINDS} AS c3, coalesce(allow, 0) AS allow, coalesce(block, 0) AS block
-      FROM (SELECT unnest(range({CELLS})) AS cell) AS a LEFT JOIN n ON n.cell = a.cell),
-w AS (SELECT cell, c1, c2, c3, allow, block, {', '.join(f'sum({v}) OVER (PARTITION BY c2, c3) AS {v}_pair, sum({v}) OVER (PARTITION BY c3) AS {v}_last, sum({v}) OVER () AS {v}_all' for v in _BOTH)} FROM k),
-x AS (SELECT *, {', '.join(f'sum({v}) OVER (PARTITION BY c2) AS {v}_n1, CAST(count(*) FILTER (WHERE {v}_pair > 0) OVER (PARTITION BY c2) AS DOUBLE) / {KINDS} AS {v}_k1, sum({v}) OVER (PARTITION BY c1, c2) AS {v}_n2, count(*) FILTER (WHERE {v} > 0) OVER (PARTITION BY c1, c2) AS {v}_k2' for v in _BOTH)} FROM w),
-y AS (SELECT *, {', '.join(_blend(v) for v in _BOTH)} FROM x),
-m AS (SELECT cell, CAST(round((ln({_likelihood('allow')}) - ln({_likelihood('block')})) * {UNIT}) AS BIGINT) AS ratio FROM y),
-b AS (SELECT g.row_id AS row_id, CAST(floor(CAST(sum(ratio) AS DOUBLE) / count(*) / {STEP}) AS BIGINT) AS bin FROM g JOIN m ON m.cell = g.cell GROUP BY g.row_id),
-j AS (SELECT page_id, host, path, rule, verdict, aside, coalesce(bin, 0) AS bin FROM d LEFT JOIN b ON b.row_id = d.row_id),
-q AS (SELECT bin, count(*) FILTER (WHERE verdict = 'allow') AS allow, count(*) FILTER (WHERE verdict = 'block') AS block FROM j WHERE verdict IS NOT NULL AND aside GROUP BY bin),
-z AS (SELECT bin, CAST(coalesce(sum(allow) OVER u, 0) AS DOUBLE) / nullif(sum(allow) OVER (), 0) + (1 - CAST(coalesce(sum(block) OVER u, 0) AS DOUBLE) / nullif(sum(block) OVER (), 0)) AS wrong
+             coalesce(md5(url) < '{ASIDE}', false) AS aside, coalesce(url, '') AS url FROM f),
+g AS (SELECT row_id, verdict, aside, substr('{START * ORDER}' || url, i, {ORDER + 1}) AS gram
+      FROM (SELECT row_id, verdict, aside, url, unnest(range(1, length(url) + 1)) AS i FROM d)),
+n AS (SELECT gram, {', '.join(f"CAST(count(*) FILTER (WHERE verdict = '{v}') AS BIGINT) AS {v}, CAST(count(*) FILTER (WHERE verdict = '{v}' AND NOT aside) AS BIGINT) AS {v}_part" for v in _BOTH)} FROM g GROUP BY gram),
+{_levels()}
+m AS (SELECT gram, {', '.join(f"CAST(round((ln(allow{e}_p) - ln(block{e}_p)) * {UNIT}) AS BIGINT) AS ratio{e}" for e in ('', '_part'))} FROM p{ORDER}),
+b AS (SELECT g.row_id AS row_id, {', '.join(f"CAST(floor(CAST(sum(ratio{e}) AS DOUBLE) / count(*) / {STEP}) AS BIGINT) AS bin{e}" for e in ('', '_part'))} FROM g JOIN m ON m.gram = g.gram GROUP BY g.row_id),
+j AS (SELECT page_id, host, path, rule, verdict, aside, coalesce(bin, 0) AS bin, coalesce(bin_part, 0) AS bin_part FROM d LEFT JOIN b ON b.row_id = d.row_id),
+q AS (SELECT bin_part AS bin, count(*) FILTER (WHERE verdict = 'allow') AS allow, count(*) FILTER (WHERE verdict = 'block') AS block FROM j WHERE verdict IS NOT NULL AND aside GROUP BY bin_part),
+z AS (SELECT least(bin, greatest(0, lag(bin) OVER (ORDER BY bin) + 1)) AS cut, CAST(coalesce(sum(allow) OVER u, 0) AS DOUBLE) / nullif(sum(allow) OVER (), 0) + (1 - CAST(coalesce(sum(block) OVER u, 0) AS DOUBLE) / nullif(sum(block) OVER (), 0)) AS wrong
       FROM q WINDOW u AS (ORDER BY bin ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
-t AS (SELECT coalesce((SELECT bin FROM z WHERE wrong IS NOT NULL ORDER BY wrong, abs(bin), bin LIMIT 1), 0) AS least)
+t AS (SELECT coalesce((SELECT cut FROM z WHERE wrong IS NOT NULL ORDER BY wrong, abs(cut), cut LIMIT 1), 0) AS least)
 SELECT page_id, host, path, rule, coalesce(verdict, CASE WHEN bin >= least THEN 'allow' ELSE 'block' END) AS verdict FROM j, t
 """
 
