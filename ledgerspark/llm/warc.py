@@ -6,6 +6,7 @@ import hashlib
 import re
 import zlib
 from collections.abc import Iterator
+from urllib.parse import quote, unquote
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -59,11 +60,18 @@ def record(headers: list[tuple[str, object]], block: bytes) -> bytes:
 
 def _line(value: object) -> str:
     """A header's value stays on its line."""
-    return str(value).replace("%", "%25").replace("\r", "%0D").replace("\n", "%0A") if isinstance(value, str) else str(value)
+    return str(value).replace("\r", "%0D").replace("\n", "%0A")
 
 
-def _unline(value: str) -> str:
-    return value.replace("%0A", "\n").replace("%0D", "\r").replace("%25", "%")
+def _target(url: str) -> list[tuple[str, object]]:
+    """The URL as it is, for any reader; in a field of its own, escaped, where a header's line would change it."""
+    exact = url == url.strip() and _line(url) == url
+    return [("WARC-Target-URI", url), ("X-Page-Url", None if exact else quote(url))]
+
+
+def _number(text: str, bits: int) -> int | None:
+    """A whole number in decimal digits that fits into so many bits with sign, else None."""
+    return int(text) if text.isascii() and text.isdecimal() and len(text) < 20 and int(text) < 1 << bits - 1 else None
 
 
 def record_id(page_id: object, row: int) -> str:
@@ -81,8 +89,8 @@ def records(rows: DataFrame, segment: int = SEGMENT, chunk: int = CHUNK) -> Data
                 for k in range(batch.num_rows):
                     page_id, row, url, payload, digest, n, writer, writer_row = (c[k].as_py() if i != 3 else c[k].as_buffer() for i, c in enumerate(columns))
                     own = record_id(page_id, row)
-                    head = [("WARC-Type", "response"), ("WARC-Record-ID", own), ("WARC-Date", DATE), ("WARC-Target-URI", url or ""),
-                            ("X-Page-Id", "" if page_id is None else page_id), ("WARC-Payload-Digest", f"sha1:{digest}"), ("Content-Type", "application/http;msgtype=response")]
+                    head = [("WARC-Type", "response"), ("WARC-Record-ID", own), ("WARC-Date", DATE), *_target(url or ""),
+                            ("X-Page-Id", "" if page_id is None else quote(str(page_id))), ("WARC-Payload-Digest", f"sha1:{digest}"), ("Content-Type", "application/http;msgtype=response")]
                     if writer_row != row:
                         head[0] = ("WARC-Type", "revisit")
                         more = [("WARC-Profile", _PROFILE), ("WARC-Refers-To", record_id(writer, writer_row))]
@@ -215,19 +223,25 @@ def read(spark: SparkSession, path: str) -> DataFrame:
                             continue
                         number, total = h.get("warc-segment-number", ""), h.get("warc-segment-total-length", "")
                         own = h.get("warc-record-id")
-                        yield (own, h.get("warc-type"), h.get("warc-segment-origin-id") or own, int(number) if number.isdigit() else None, int(total) if total.isdigit() else None,
-                               h.get("x-page-id"), h.get("warc-refers-to"), (h.get("warc-payload-digest") or "").removeprefix("sha1:") or None, _unline(h.get("warc-target-uri", "")), file, offset, block)
+                        yield (own, h.get("warc-type"), h.get("warc-segment-origin-id") or own, _number(number, 32), _number(total, 64),
+                               unquote(h["x-page-id"]) if "x-page-id" in h else None, h.get("warc-refers-to"), (h.get("warc-payload-digest") or "").removeprefix("sha1:") or None,
+                               unquote(h["x-page-url"]) if "x-page-url" in h else h.get("warc-target-uri", ""), file, offset, block)
 
         yield from base.batches(out(), schema, bytes_at_once=8 << 20)
 
     return base.bounded_batches(spark.read.format("binaryFile").load(path)).select("path", "content").mapInArrow(run, RECORD)
 
 
+#: A chunk's size and what may follow it on its line, which has less than ``LINE`` bytes.
+_SIZE, LINE = re.compile(rb"[ \t]*([0-9A-Fa-f]{1,15})[ \t]*(?:;|\Z)"), 8192
+
+
 class Body:
-    """A record's payload, fed with its block in pieces: skips the HTTP head, decodes chunked framing, keeps what is asked for."""
+    """A record's payload, fed with its block in pieces: skips the HTTP head, decodes chunked framing, keeps what is asked for.
+    Where the framing is broken (a size that is no hexadecimal number, a chunk without its line end) the payload ends: not whole."""
 
     def __init__(self, keep: bool = True) -> None:
-        self.head, self.framed, self.left, self.ended, self.rest = True, False, 0, False, b""
+        self.head, self.framed, self.left, self.ended, self.broken, self.rest = True, False, 0, False, False, b""
         self.fed = self.n = 0
         self.sha, self.kept = hashlib.sha1(), [] if keep else None
 
@@ -242,7 +256,7 @@ class Body:
                 return
             self.head, at = False, end + 4
             self.framed = any(line.partition(b":")[0].strip() == b"transfer-encoding" and b"chunked" in line for line in data[:end].lower().split(b"\r\n")[1:])
-        while at < len(data) and not self.ended:
+        while at < len(data) and not self.ended and not self.broken:
             if not self.framed:
                 self._add(data[at:])
                 at = len(data)
@@ -254,14 +268,20 @@ class Body:
                     break
             elif self.left:
                 take = min(self.left, len(data) - at)
+                self.broken = data[at : at + take] != b"\r\n"[2 - self.left :][:take]
                 at, self.left = at + take, self.left - take
             else:
                 end = data.find(b"\r\n", at)
-                if end < 0:
+                line = data[at : at + LINE if end < 0 else end]
+                said = _SIZE.match(line)
+                if end < 0 and len(line) < LINE:
+                    break
+                if end < 0 or not said:
+                    self.broken = True
                     break
-                size = int(data[at:end].split(b";")[0].strip() or b"0", 16)
+                size = int(said[1], 16)
                 at, self.ended, self.left = end + 2, size == 0, size + 2 if size else 0
-        self.rest = data[at:]
+        self.rest = b"" if self.ended or self.broken else data[at:]
 
     def _add(self, part: bytes) -> None:
         self.n += len(part)
@@ -270,7 +290,7 @@ class Body:
             self.kept.append(part)
 
     def whole(self, total: int | None) -> bool:
-        return not self.head and (self.ended or not self.framed) and (total is None or total == self.fed)
+        return not self.head and not self.broken and (self.ended or not self.framed) and (total is None or total == self.fed)
 
 
 def reassemble(found: DataFrame, keep: bool = True) -> DataFrame:

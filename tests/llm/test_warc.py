@@ -118,3 +118,39 @@ def test_reading_goes_on_after_damage(spark, tmp_path):
     assert not {r["record_id"] for r in found if r["valid"]} & {"<11>", "<12>", "<14>"}
     assert sum(r["kind"] == "damaged" for r in found) >= 2 and sum(r["kind"] == "continuation" for r in found) == 1
     assert not any(r["valid"] for r in found if r["kind"] in ("continuation", "damaged"))
+
+
+def test_malformed_framing_and_numbers_are_rows(spark, tmp_path):
+    """Each case is one record that is not valid; the records around it are read."""
+    http = b"HTTP/1.1 200 OK\r\nTransfer-Encoding: chunked\r\n\r\n"
+    bad = {"letters": b"zz\r\nabc\r\n0\r\n\r\n", "negative": b"-5\r\nabcde\r\n0\r\n\r\n", "blank": b"\r\nabc", "prefix": b"0x3\r\nabc\r\n0\r\n\r\n", "huge": b"f" * 40 + b"\r\nabc",
+           "no line end": b"3\r\nabcde\r\n0\r\n\r\n", "endless": b"1" * 20_000, "cut": b"3\r\nab"}
+    one = lambda own, block, *more: ([("WARC-Type", "response"), ("WARC-Record-ID", own), *more], block)
+    good = http + b"3;x=y\r\nabc\r\n00A \r\n0123456789\r\n0\r\n\r\n"
+    numbers = {"²": None, "99999999999": None, "-1": None, "٣": None, "1" * 5000: None}
+    items = [one("<first>", good), *[one(f"<{k}>", http + b) for k, b in bad.items()],
+             *[([("WARC-Type", "continuation"), ("WARC-Record-ID", f"<n{i}>"), ("WARC-Segment-Origin-ID", "<x>"), ("WARC-Segment-Number", n), ("WARC-Segment-Total-Length", n)], b"part") for i, n in enumerate(numbers)],
+             one("<last>", good)]
+    (tmp_path / "1.warc").write_bytes(records(*items))
+    got = {r["record_id"]: r for r in warc.reassemble(warc.read(spark, str(tmp_path))).collect()}
+    assert len(got) == len(items)
+    assert {k for k, r in got.items() if r["valid"]} == {"<first>", "<last>"}
+    assert bytes(got["<first>"]["payload"]) == b"abc0123456789"
+    body = warc.Body()
+    for k in range(len(good)):  # the same in pieces of one byte
+        body.feed(good[k : k + 1])
+    assert body.whole(len(good)) and b"".join(body.kept) == b"abc0123456789"
+
+
+def test_targets_are_those_of_the_pages_and_of_foreign_archives(spark, tmp_path):
+    urls = ["http://a/%2520x", "http://a/%0A", "http://a/b c", " lead", "line\r\nend%0D", "", None]
+    df = spark.createDataFrame([(f"id %41\n{i}", u, "h" * (2000 if i < 2 else 5)) for i, u in enumerate(urls)], "page_id string, url string, html string")
+    path = base.scratch_path(spark, "warc-urls")
+    warc.write(df, path)
+    found = warc.read(spark, path)
+    assert {r["page_id"]: r["target"] for r in found.collect()} == {f"id %41\n{i}": u or "" for i, u in enumerate(urls)}
+    data = b"".join(gzip.decompress(bytes(r[0])) for r in spark.read.format("binaryFile").load(path).select("content").collect())
+    assert b"WARC-Target-URI: http://a/%2520x\r\n" in data
+    assert rows(warc.round_trip(df), "page_id", "refers_to", "valid") == sorted([(f"id %41\n{i}", "id %41\n1" if i == 0 else None, True) for i in range(len(urls))], key=repr)
+    (tmp_path / "1.warc").write_bytes(records(([("WARC-Type", "response"), ("WARC-Record-ID", "<a>"), ("WARC-Target-URI", "http://a/%2520x")], b"HTTP/1.0 200 OK\r\n\r\nx")))
+    assert [r["target"] for r in warc.read(spark, str(tmp_path)).collect()] == ["http://a/%2520x"]
