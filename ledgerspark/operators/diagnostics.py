@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -114,6 +115,70 @@ def _reaches_cycle(edges: DataFrame, on_round=None) -> DataFrame:
     return materialize(left.unionByName(behind.select(F.col("v").alias("pid"))).distinct(), "stuck")
 
 
+def deadlocks(edges: DataFrame, on_round=None) -> DataFrame:
+    """(pid, deadlock) of the sessions that wait for themselves through others: each deadlock is a strongly connected component of the
+    wait-for graph (waiting_pid, blocking_pid), named by its smallest pid. Repeated edges count once, null ends are no edges.
+
+    Colouring, forward and backward: every session gets the greatest one that it leads to; those of a colour that the greatest
+    one leads back to are a component, the others go on without it. Sessions are compared by a hash, so that what is known of a
+    chain grows by a factor in every round instead of by a link.
+    """
+    links = edges.select(F.col("waiting_pid").alias("a"), F.col("blocking_pid").alias("b")).filter("a IS NOT NULL AND b IS NOT NULL").distinct()
+    # only those between cycles are left, so most components are found at once
+    on = wait_cycles(links.toDF("waiting_pid", "blocking_pid"), on_round).filter("on_cycle").select(F.col("pid").alias("v"))
+    nodes = materialize(on, "nodes")
+    links = materialize(_between(links, nodes), "links")
+    loops = links.filter("a = b").select(F.col("a").alias("pid"))
+    found = []
+    while nodes.limit(1).count():
+        ahead = _greatest(nodes, links, on_round)
+        colour = ahead.select("v", F.col("top").alias("colour"))
+        ends = links.join(colour, F.col("a") == F.col("v")).select("a", "b", F.col("colour").alias("own")).join(colour, F.col("b") == F.col("v"))
+        inside = materialize(ends.filter("own = colour").select("a", "b"), "links")
+        back = _greatest(nodes, inside.select(F.col("b").alias("a"), F.col("a").alias("b")), on_round).select(F.col("v").alias("_v"), F.col("top").alias("origin"))
+        both = materialize(colour.join(back, F.col("v") == F.col("_v")).select("v", "colour", (F.col("origin") == F.col("colour")).alias("done")), "colours")
+        found.append(both.filter("done").select(F.col("v").alias("pid"), "colour"))
+        discard(nodes, ahead)
+        nodes = materialize(both.filter("NOT done").select("v"), "nodes")
+        links = materialize(_between(inside, nodes), "links")
+        discard(inside)
+    if not found:
+        return on.select(F.col("v").alias("pid"), F.col("v").alias("deadlock"))
+    members = reduce(DataFrame.unionByName, found)
+    names = members.groupBy(F.col("colour").alias("_c")).agg(F.min("pid").alias("deadlock"), F.count(F.lit(1)).alias("n"))
+    named = members.join(names, F.col("colour") == F.col("_c")).join(loops.select(F.col("pid").alias("_l")), F.col("pid") == F.col("_l"), "left")
+    return named.filter("n > 1 OR _l IS NOT NULL").select("pid", "deadlock")
+
+
+def _between(links: DataFrame, nodes: DataFrame) -> DataFrame:
+    """The links (a, b) with both ends among the nodes (v)."""
+    return links.join(nodes, F.col("a") == F.col("v"), "left_semi").join(nodes, F.col("b") == F.col("v"), "left_semi")
+
+
+def _greatest(nodes: DataFrame, links: DataFrame, on_round=None) -> DataFrame:
+    """(v, top): of the nodes that the links a -> b lead to from v, v included, the one with the greatest hash. In each round a node asks
+    its neighbours, the one that it knows as the greatest so far, and one that is twice as many links ahead as in the round before."""
+    first = links.groupBy("a").agg(F.max_by("b", F.xxhash64("a", "b")).alias("at"))
+    known = materialize(nodes.join(first, F.col("v") == F.col("a"), "left").select("v", F.col("v").alias("top"), F.coalesce("at", "v").alias("at")), "tops")
+    while True:
+        told = known.select(F.col("v").alias("_v"), F.col("top").alias("_top"), F.col("at").alias("_at"))
+        none = F.lit(None).cast(known.schema["v"].dataType)
+        asked = known.select("v", "top", none.alias("at"), F.col("top").alias("before"))
+        near = links.join(told, F.col("b") == F.col("_v")).select(F.col("a").alias("v"), F.col("_top").alias("top"), none.alias("at"), none.alias("before"))
+        far = known.join(told, F.col("top") == F.col("_v")).select("v", F.col("_top").alias("top"), none.alias("at"), none.alias("before"))
+        ahead = known.join(told, F.col("at") == F.col("_v")).select("v", F.col("_top").alias("top"), F.col("_at").alias("at"), none.alias("before"))
+        best = asked.unionByName(near).unionByName(far).unionByName(ahead).groupBy("v").agg(
+            F.max_by("top", F.struct(F.xxhash64("top"), F.col("top"))).alias("top"), F.max("at").alias("at"), F.max("before").alias("before"))
+        old, step = known, materialize(best, "tops")
+        known = step.select("v", "top", "at")
+        known.scratch_path = step.scratch_path
+        discard(old)
+        if on_round:
+            on_round(1)
+        if not step.filter("top <> before").limit(1).count():
+            return known
+
+
 def root_blockers(edges: DataFrame) -> DataFrame:
     """Sessions that block others and wait for nobody, with the number of sessions right behind them."""
     waiting = edges.select(F.col("waiting_pid").alias("_w"))

@@ -79,6 +79,16 @@ def wait_cycles(v):
     return D.wait_cycles(pairs(v))
 
 
+@query("""SELECT pid, deadlock FROM (
+  WITH RECURSIVE reach AS (
+    SELECT waiting_pid AS pid, blocking_pid AS dest FROM pairs
+    UNION SELECT r.pid, p.blocking_pid FROM reach r JOIN pairs p ON p.waiting_pid = r.dest)
+  SELECT r.pid, min(r.dest) AS deadlock FROM reach r JOIN reach s ON s.pid = r.dest AND s.dest = r.pid GROUP BY r.pid)""", also=PAIRS)
+def deadlocks(v):
+    """The sessions of each deadlock, under one name."""
+    return D.deadlocks(pairs(v))
+
+
 @query("""SELECT blocking_pid, count(DISTINCT waiting_pid) AS waiters FROM pairs
 WHERE blocking_pid NOT IN (SELECT waiting_pid FROM pairs) GROUP BY 1""", also=PAIRS)
 def root_blockers(v):

@@ -110,6 +110,44 @@ def test_deadlock_is_found_behind_a_queue(spark):
     assert [r.blocking_pid for r in diagnostics.root_blockers(edges).collect()] == [6]
 
 
+def components(edges):
+    """Those that reach each other, by plain search."""
+    after = {}
+    for a, b in edges:
+        after.setdefault(a, set()).add(b)
+
+    def reach(a):
+        seen, todo = set(), [a]
+        while todo:
+            new = after.get(todo.pop(), set()) - seen
+            seen |= new
+            todo += new
+        return seen
+
+    ahead = {a: reach(a) for a in after}
+    return {a: min(b for b in ahead[a] if a in ahead.get(b, ())) for a in after if a in ahead[a]}
+
+
+def test_each_deadlock_has_a_name(spark):
+    for seed in range(3):
+        rng = random.Random(seed)
+        edges = [(rng.randrange(40), rng.randrange(40)) for _ in range(45)] + [(None, 1), (1, None)]
+        got = diagnostics.deadlocks(spark.createDataFrame(edges * 2, "waiting_pid bigint, blocking_pid bigint")).collect()
+        want = components([e for e in edges if None not in e])
+        assert sorted((r.pid, r.deadlock) for r in got) == sorted(want.items())
+    chain = spark.createDataFrame([(1, 2), (2, 3)], "waiting_pid bigint, blocking_pid bigint")
+    assert diagnostics.deadlocks(chain).count() == 0 and diagnostics.deadlocks(chain.limit(0)).count() == 0
+
+
+def test_a_long_deadlock_of_doubly_blocked_sessions_takes_few_rounds(spark):
+    """1,000 sessions, each blocked by the next two, round in a ring: colours go forward once and backward once."""
+    rounds = []
+    edges = [(i, (i + k) % 1000) for i in range(1000) for k in (1, 2)] + [(2000, 5), (5000, 5001), (5001, 5000)]
+    got = diagnostics.deadlocks(spark.createDataFrame(edges, "waiting_pid bigint, blocking_pid bigint"), rounds.append).collect()
+    assert {(r.pid, r.deadlock) for r in got} == {(i, 0) for i in range(1000)} | {(5000, 5000), (5001, 5000)}
+    assert len(rounds) <= 40, len(rounds)
+
+
 def test_overlap_counts_without_pairs(spark):
     rng = random.Random(3)
     rows = [(i, rng.choice(["k", "k", "l", None]), rng.choice([None, *range(40)]), rng.randrange(45)) for i in range(250)]
