@@ -211,94 +211,132 @@ def relay_outbox_batch(
 # ---- state per operation
 
 
+#: State is kept per bucket of keys, since a call for every key costs far more than its rows. The number never changes during
+#: the life of a checkpoint; it does not go with the tables, so what a bucket holds does.
+BUCKETS = 16_384
+
+
+def bucket_of(key: str, buckets: int) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(buckets)).alias("_bucket")
+
+
 class StuckOperations(StatefulProcessor):
     """Reports an operation when ``age_ms`` of event time have passed since its last reservation without a final
-    status after it. Only the two latest times are kept, so the order inside a batch does not matter."""
+    status after it. Only the two latest times are kept, so the order inside a batch does not matter. The state of a bucket is one
+    value with the operations that have not reached that age, and one timer for the first that will."""
 
     def __init__(self, age_ms: int):
         self.age_ms = age_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.reserved = handle.getValueState("reserved", "at_ms BIGINT")
-        self.final = handle.getValueState("final", "at_ms BIGINT")
+        self.open = handle.getValueState("open", "key ARRAY<STRING>, reserved ARRAY<BIGINT>, final ARRAY<BIGINT>, timer BIGINT")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        held, timer = self._held()
         for frame in rows:
-            is_reserved = frame["status"] == "RESERVED"
-            self._raise(self.reserved, frame.loc[is_reserved, "at_ms"])
-            self._raise(self.final, frame.loc[~is_reserved, "at_ms"])
+            for name, status, at in zip(*(frame[c].tolist() for c in ("idempotency_key", "status", "at_ms"))):
+                times = held.setdefault(name, [-1, -1])
+                kind = 0 if status == "RESERVED" else 1
+                if at > times[kind]:
+                    times[kind] = int(at)
+        self._keep(held, timer)
         yield from ()
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        reserved, final = self._at(self.reserved), self._at(self.final)
-        if expiredTimerInfo.getExpiryTimeInMs() < max(reserved, final) + self.age_ms:
-            return  # a later status has come since
-        if reserved > final:
-            yield pd.DataFrame({"idempotency_key": [key[0]], "reserved_ms": [reserved]})
-        self.reserved.clear()
-        self.final.clear()
-
-    def _at(self, state) -> int:
-        return state.get()[0] if state.exists() else -1
-
-    def _raise(self, state, times: pd.Series) -> None:
-        if len(times) and int(times.max()) > self._at(state):
-            state.update((int(times.max()),))
-            self.handle.registerTimer(int(times.max()) + self.age_ms)
+        held, _ = self._held()
+        now = max(expiredTimerInfo.getExpiryTimeInMs(), timerValues.getCurrentWatermarkInMs() - 1)
+        over = {name: times for name, times in held.items() if max(times) + self.age_ms <= now}
+        self._keep({name: times for name, times in held.items() if name not in over}, -1)
+        stuck = [(name, reserved) for name, (reserved, final) in over.items() if reserved > final]
+        if stuck:
+            yield pd.DataFrame(stuck, columns=["idempotency_key", "reserved_ms"])
+
+    def _held(self) -> tuple[dict, int]:
+        if not self.open.exists():
+            return {}, -1
+        names, reserved, final, timer = self.open.get()
+        return {name: [r, f] for name, r, f in zip(names, reserved, final)}, timer
+
+    def _keep(self, held: dict, timer: int) -> None:
+        if not held:
+            self.open.clear()
+            return
+        first = min(map(max, held.values())) + self.age_ms
+        if timer == -1 or first < timer:
+            self.handle.registerTimer(first)
+            timer = first
+        self.open.update((list(held), [r for r, _ in held.values()], [f for _, f in held.values()], timer))
 
     def close(self) -> None:
         pass
 
 
 class RunningBalance(StatefulProcessor):
-    """Debits of one account, each applied only if the balance covers it. The state is one value: the balance and the last
-    ``seq`` that was decided. A row that comes after a later one was decided, or once more, is LATE and moves nothing."""
+    """Debits of a bucket of accounts, each applied only if its account's balance covers it. The state is one value: of every account
+    the balance and the last ``seq`` that was decided. A row that comes after a later one of its account was decided, or once
+    more, is LATE and moves nothing."""
+
+    def __init__(self, account: str):
+        self.schema = f"account ARRAY<{account}>, balance ARRAY<BIGINT>, last ARRAY<BIGINT>"
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.account = handle.getValueState("account", "balance BIGINT, last BIGINT")
+        self.accounts = handle.getValueState("accounts", self.schema)
 
     def handleInitialState(self, key, initialState: pd.DataFrame, timerValues) -> None:
-        self.account.update((int(initialState["balance_minor"].iloc[0]), -(2**63)))
+        held = self._held()
+        for account, balance in zip(initialState["account_id"].tolist(), initialState["balance_minor"].tolist()):
+            held.setdefault(account, [int(balance), -(2**63)])
+        self._keep(held)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        debits = pd.concat(list(rows)).sort_values("seq", kind="stable")
-        if not self.account.exists():
-            yield debits.assign(outcome="NOT_FOUND")
-            return
-        balance, last = self.account.get()
-        outcomes = []
-        for seq, amount in zip(debits["seq"].tolist(), debits["amount_minor"].tolist()):
-            if seq <= last:
+        debits = pd.concat(list(rows))[["seq", "account_id", "amount_minor"]].sort_values("seq", kind="stable")
+        held, outcomes = self._held(), []
+        for seq, account, amount in zip(*(debits[c].tolist() for c in debits.columns)):
+            state = held.get(account)
+            if state is None:
+                outcomes.append("NOT_FOUND")
+            elif seq <= state[1]:
                 outcomes.append("LATE")
-                continue
-            last = seq
-            outcomes.append("APPLIED" if amount <= balance else "REJECTED")
-            balance -= amount if amount <= balance else 0
-        self.account.update((balance, last))
+            else:
+                fits = amount <= state[0]
+                state[0], state[1] = state[0] - amount if fits else state[0], seq
+                outcomes.append("APPLIED" if fits else "REJECTED")
+        if held:
+            self._keep(held)
         yield debits.assign(outcome=outcomes)
 
+    def _held(self) -> dict:
+        if not self.accounts.exists():
+            return {}
+        return {account: [balance, last] for account, balance, last in zip(*self.accounts.get())}
+
+    def _keep(self, held: dict) -> None:
+        self.accounts.update((list(held), [b for b, _ in held.values()], [n for _, n in held.values()]))
+
     def close(self) -> None:
         pass
 
 
-def stream_running_balance(spark: SparkSession, stream: DataFrame, balances: DataFrame) -> DataFrame:
+def stream_running_balance(spark: SparkSession, stream: DataFrame, balances: DataFrame, buckets: int = BUCKETS) -> DataFrame:
     """Debits (seq, account_id, amount_minor) with ``outcome``: APPLIED, REJECTED, NOT_FOUND, INVALID or LATE.
 
     Every account's balance is the stream's own state, which starts from ``balances`` (id, balance_minor; one row per account) and is
     checkpointed with the stream: a batch that is run again after a crash changes nothing. Inside a batch the rows of an
     account are taken by ``seq``, whatever order they come in. Rows without seq, account or a positive amount are INVALID.
+    Accounts are followed in ``buckets`` groups, a number that stays the same as long as the checkpoint.
     """
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
     columns = ["seq", "account_id", "amount_minor"]
     valid = F.coalesce(F.col("seq").isNotNull() & F.col("account_id").isNotNull() & (F.col("amount_minor") > 0), F.lit(False))
     kinds = ", ".join(f"{c} {stream.schema[c].dataType.simpleString()}" for c in columns)
-    decided = stream.filter(valid).select(*columns).groupBy("account_id").transformWithStateInPandas(
-        statefulProcessor=RunningBalance(),
+    opening = balances.filter("id IS NOT NULL").select(F.col("id").cast(stream.schema["account_id"].dataType).alias("account_id"), "balance_minor")
+    decided = stream.filter(valid).select(*columns, bucket_of("account_id", buckets)).groupBy("_bucket").transformWithStateInPandas(
+        statefulProcessor=RunningBalance(stream.schema["account_id"].dataType.simpleString()),
         outputStructType=f"{kinds}, outcome STRING",
         outputMode="Append",
         timeMode="None",
-        initialState=balances.select(F.col("id").alias("account_id"), "balance_minor").groupBy("account_id"),
+        initialState=opening.select("*", bucket_of("account_id", buckets)).groupBy("_bucket"),
     )
     return decided.union(stream.filter(~valid).select(*columns, F.lit("INVALID").alias("outcome")))
 
@@ -314,11 +352,14 @@ def open_stuck_operations(operations: DataFrame, at: str, age_ms: int) -> DataFr
     return last.filter(stuck).select("idempotency_key", F.timestamp_millis("reserved_ms").alias("reserved_at"))
 
 
-def stream_stuck_operations(spark: SparkSession, stream: DataFrame, at: str, delay: str, age_ms: int) -> DataFrame:
-    """Operations (idempotency_key, status, ``at``) that stay RESERVED too long, with the time of the reservation."""
+def stream_stuck_operations(spark: SparkSession, stream: DataFrame, at: str, delay: str, age_ms: int, buckets: int = BUCKETS) -> DataFrame:
+    """Operations (idempotency_key, status, ``at``) that stay RESERVED too long, with the time of the reservation.
+
+    Operations are followed in ``buckets`` groups, a number that stays the same as long as the checkpoint.
+    """
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
-    rows = stream.withWatermark(at, delay).select("idempotency_key", "status", F.unix_millis(at).alias("at_ms"), at)
-    found = rows.groupBy("idempotency_key").transformWithStateInPandas(
+    rows = stream.withWatermark(at, delay).select("idempotency_key", "status", F.unix_millis(at).alias("at_ms"), at, bucket_of("idempotency_key", buckets))
+    found = rows.groupBy("_bucket").transformWithStateInPandas(
         statefulProcessor=StuckOperations(age_ms),
         outputStructType="idempotency_key STRING, reserved_ms BIGINT",
         outputMode="Append",
