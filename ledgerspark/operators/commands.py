@@ -11,29 +11,27 @@ from pyspark.sql import functions as F
 
 from ledgerspark.functions.batches import extended, lists
 from ledgerspark.functions.scalars import request_hash
-from ledgerspark.operators.scans import ROWS_PER_SPLIT, cut, global_rank
+from ledgerspark.operators.scans import ROWS_PER_SPLIT, cut, global_rank, with_key_values
 from ledgerspark.session import discard, materialize
 
 #: Maps of so many neighbouring ranges of a row are composed at once.
 FAN_OUT = 4
 
 
-def classify_requests(requests: DataFrame, payload: list[str]) -> DataFrame:
+def classify_requests(requests: DataFrame, payload: list[str], rows_per_split: int = ROWS_PER_SPLIT) -> DataFrame:
     """FIRST, REPLAY (same payload as the first of its key) or CONFLICT per request.
 
-    The first request of a key comes from an aggregate and is looked up by each request; no key is sorted.
+    Requests are shuffled once, by their key; no key is too large for a task.
     """
-    hashed = requests.withColumn("_hash", request_hash(*payload))
-    first = hashed.groupBy(F.col("idempotency_key").alias("_key")).agg(
-        F.min("seq").alias("_first"), F.min_by("_hash", "seq").alias("_first_hash")
-    )
+    of_first = {f"_first_{c}": F.min_by(c, "seq") for c in payload}
+    named = requests.filter("idempotency_key IS NOT NULL")
+    found = with_key_values(named, "idempotency_key", {"_first": F.min("seq"), **of_first}, rows_per_split=rows_per_split)
     kind = (
         F.when(F.col("seq") == F.col("_first"), "FIRST")
-        .when(F.col("_hash") == F.col("_first_hash"), "REPLAY")
+        .when(request_hash(*payload) == request_hash(*of_first), "REPLAY")
         .otherwise("CONFLICT")
     )
-    joined = hashed.join(first, F.col("idempotency_key") == F.col("_key"))
-    return joined.select(*requests.columns, kind.alias("kind"))
+    return found.select(*requests.columns, kind.alias("kind"))
 
 
 # ---- row versions. A missing row counts as version -1, so that a create is "version + 1" in every case.
